@@ -106,8 +106,7 @@ def append_raw(raw: DataFrame, path: str) -> None:
 
 def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     schema = T.StructType(
-        list(file_schema(spec).fields[:0])
-        + [T.StructField(spec.op_col, T.StringType()),
+        [T.StructField(spec.op_col, T.StringType()),
            T.StructField(spec.ts_col, T.TimestampNTZType())]
         + list(spec.schema.fields)
         + [T.StructField("_loaded_at", T.TimestampNTZType()),
