@@ -91,6 +91,13 @@ def apply_defaults(df: DataFrame, spec: TableSpec, now: _dt.datetime,
     return df.withColumns(add) if add else df
 
 
+def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Spec columns in spec order; a column the input lacks is a typed NULL."""
+    return df.select(*[F.col(f.name) if f.name in df.columns
+                       else F.lit(None).cast(spark_type(f.dtype)).alias(f.name)
+                       for f in spec.fields])
+
+
 def stamp_updated(df: DataFrame, spec: TableSpec, now: _dt.datetime) -> DataFrame:
     """Set the spec's updated-at column to ``now`` on every U row."""
     if not spec.stamp_updated:

@@ -45,12 +45,16 @@ def _normalise(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def read_changes(spark: SparkSession, path: str, spec: TableSpec,
                  fmt: str = "parquet") -> DataFrame:
-    """Batch read of the change files under ``path`` (S1 Parquet, S9 CSV)."""
+    """Batch read of the change files under ``path`` (S1 Parquet, S9 CSV).
+
+    Files are found at any depth below the prefix (capture tools write
+    date folders), and folder names are not taken as partition columns.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
     if fmt == "parquet":
-        df = spark.read.schema(file_schema(spec)).parquet(path)
+        df = reader.schema(file_schema(spec)).parquet(path)
     elif fmt == "csv":
-        df = (spark.read.schema(file_schema(spec, as_text=True))
-              .option("header", True).csv(path))
+        df = reader.schema(file_schema(spec, as_text=True)).option("header", True).csv(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
     return _normalise(df, spec)
@@ -60,7 +64,8 @@ def read_changes_stream(spark: SparkSession, path: str, spec: TableSpec,
                         fmt: str = "parquet", max_files_per_trigger: int | None = None
                         ) -> DataFrame:
     """Streaming read: each new file under ``path`` is delivered once."""
-    reader = spark.readStream.schema(file_schema(spec, as_text=fmt == "csv"))
+    reader = (spark.readStream.schema(file_schema(spec, as_text=fmt == "csv"))
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "parquet":

@@ -43,7 +43,7 @@ def seed_tables(spark: SparkSession, today: _dt.date, now: _dt.datetime
         (5, 4, 105, 'Monitor 27"', 1, Decimal("340.00"), Decimal("0")),
         (6, 5, 106, "Webcam HD", 1, Decimal("88.25"), Decimal("0")),
     ]
-    from tidemark.functions.casting import apply_defaults
+    from tidemark.functions.casting import apply_defaults, conform
 
     c = spark.createDataFrame(customers, "customer_id bigint, first_name string, "
                               "last_name string, email string, phone string, city string, "
@@ -59,5 +59,5 @@ def seed_tables(spark: SparkSession, today: _dt.date, now: _dt.datetime
     for name, df, spec in (("customers", c, CUSTOMERS), ("orders", o, ORDERS),
                            ("order_items", i, ORDER_ITEMS)):
         df = apply_defaults(df, spec, now, today)
-        out[name] = df.select(*spec.field_names)
+        out[name] = conform(df, spec)
     return out

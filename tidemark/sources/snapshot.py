@@ -31,7 +31,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("n_buckets", T.IntegerType()),
     T.StructField("max_key", T.LongType()),
-    T.StructField("buckets", T.MapType(T.IntegerType(), T.LongType())),
+    T.StructField("buckets", T.MapType(T.StringType(), T.LongType())),
     T.StructField("table_schema", T.StringType()),
     T.StructField("committed_at", T.TimestampNTZType()),
 ])
@@ -47,11 +47,18 @@ class SnapshotTable:
     def state(self) -> dict | None:
         """Newest commit row, or None for a table never written."""
         try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/_commits")
+            commits = (self.spark.read.schema(COMMIT_SCHEMA)
+                       .option("recursiveFileLookup", "true").json(f"{self.path}/_commits"))
             row = commits.orderBy(F.col("batch_id").desc()).limit(1).collect()
-        except AnalysisException:
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+        if not row:
             return None
-        return row[0].asDict() if row else None
+        st = row[0].asDict()
+        st["buckets"] = {int(b): int(v) for b, v in (st["buckets"] or {}).items()}
+        return st
 
     def last_batch_id(self) -> int | None:
         st = self.state()
@@ -105,7 +112,8 @@ class SnapshotTable:
                 max_key = max(max_key, int(r["mk"]))
         schema = merged.schema.json()
         commit = self.spark.createDataFrame(
-            [(int(batch_id), self.n_buckets, int(max_key), buckets, schema,
+            [(int(batch_id), self.n_buckets, int(max_key),
+              {str(b): v for b, v in buckets.items()}, schema,
               _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))], COMMIT_SCHEMA)
         commit.coalesce(1).write.mode("overwrite").json(f"{self.path}/_commits/{batch_id:020d}")
         return True

@@ -92,7 +92,8 @@ def start_merge(spark: SparkSession, raw_path: str, table: SnapshotTable, spec:
                 checkpoint: str, once: bool = False, schedule: str = DEFAULT_SCHEDULE,
                 max_files_per_trigger: int | None = None, **kwargs) -> StreamingQuery:
     """Change stream over RAW -> scheduled MERGE into the curated table."""
-    reader = spark.readStream.schema(read_raw(spark, raw_path, spec).schema)
+    reader = (spark.readStream.schema(read_raw(spark, raw_path, spec).schema)
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_path)
