@@ -35,14 +35,13 @@ from tidemark.spec import OP_DELETE, OP_INSERT, OP_UPDATE, TableSpec
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of ``df`` measured in one aggregation pass.
+def size_terms(df: DataFrame) -> tuple[int, Column]:
+    """(fixed bytes per row, per-row Column of variable bytes) for ``df``.
 
-    Bytes are the fixed width of every non-string column plus the actual
-    UTF-8 length of every string column, so the bound is proven by the data,
-    not guessed from statistics.
+    Atomic values count 16 bytes (>= their in-memory width), strings and
+    binaries their actual UTF-8 length, nested values their JSON length.
     """
-    fixed = 0
+    fixed = 16  # row overhead
     var: list[Column] = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -50,12 +49,17 @@ def estimated_bytes(df: DataFrame) -> tuple[int, int]:
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
             var.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)))
         else:
-            fixed += 16  # >= the in-memory width of any atomic value
-    exprs = [F.count(F.lit(1)).alias("n")]
-    exprs.append(F.sum(sum(var[1:], var[0]) if var else F.lit(0)).alias("v"))
-    row = df.agg(*exprs).first()
+            fixed += 16
+    return fixed, (sum(var[1:], var[0]) if var else F.lit(0))
+
+
+def estimated_bytes(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` measured in one aggregation pass, so the
+    broadcast bound is proven by the data, not guessed from statistics."""
+    fixed, var = size_terms(df)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(var).alias("v")).first()
     n = int(row["n"] or 0)
-    return n, n * (fixed + 16) + int(row["v"] or 0)
+    return n, n * fixed + int(row["v"] or 0)
 
 
 def broadcast_limit(df: DataFrame, override: int | None = None) -> int:
@@ -70,10 +74,13 @@ def broadcast_limit(df: DataFrame, override: int | None = None) -> int:
 
 
 def choose_strategy(latest: DataFrame, strategy: str = "auto",
-                    max_bytes: int | None = None) -> str:
+                    max_bytes: int | None = None, size: int | None = None) -> str:
+    """``broadcast`` when the measured delta fits under the limit, else
+    ``shuffle``; ``size`` skips the measuring job when already known."""
     if strategy != "auto":
         return strategy
-    _, size = estimated_bytes(latest)
+    if size is None:
+        _, size = estimated_bytes(latest)
     return "broadcast" if size <= broadcast_limit(latest, max_bytes) else "shuffle"
 
 
@@ -125,7 +132,8 @@ def _project(spec: TableSpec, keys: list[str], t_present: Column, s_present: Col
 def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
                   batch_ts: _dt.datetime | Column, *, strategy: str = "auto",
                   key_base: int | Column = 0, guard_late: bool = False,
-                  max_broadcast_bytes: int | None = None) -> DataFrame:
+                  max_broadcast_bytes: int | None = None,
+                  delta_bytes: int | None = None, key_slots: int | None = None) -> DataFrame:
     """Apply one batch of de-duplicated events ``latest`` to ``target``.
 
     ``latest`` has one row per key with ``spec.op_col``, ``spec.ts_col`` and
@@ -143,13 +151,15 @@ def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
     tset = set(tcols)
     insertable = F.col("s__" + spec.op_col) != F.lit(OP_DELETE)
 
-    chosen = choose_strategy(latest, strategy, max_broadcast_bytes)
+    chosen = choose_strategy(latest, strategy, max_broadcast_bytes, delta_bytes)
     if chosen == "broadcast":
         small = F.broadcast(s)
         kept = t.join(small, keys, "left")
         kept = kept.select(*_project(spec, keys, F.lit(True), F.col("_s").isNotNull(),
                                      bts, guard_late, tset))
-        touched = t.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi")
+        # same broadcast as above (exchange reuse): keys of the target that
+        # the delta touches
+        touched = t.select(*keys).join(small, keys, "left_semi")
         new = (s.where(insertable).join(F.broadcast(touched), keys, "left_anti")
                .withColumn("_t", F.lit(None).cast("boolean")))
         for c in tcols:
@@ -169,7 +179,8 @@ def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
         raise ValueError(f"unknown strategy {strategy!r}")
 
     if spec.surrogate_key:
-        new = assign_keys(new.drop(spec.surrogate_key), keys, spec.surrogate_key, key_base)
+        new = assign_keys(new.drop(spec.surrogate_key), keys, spec.surrogate_key, key_base,
+                          key_slots)
     out = kept.unionByName(new)
     out = with_computed(out, spec)
     cols = [c for c in spec.curated_columns if c in out.columns]

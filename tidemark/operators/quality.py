@@ -47,11 +47,20 @@ def split_valid(df: DataFrame, spec: TableSpec, strict_reference: bool = False,
     ``on_overflow="truncate"`` cuts over-long text with ``left(x, n)`` instead
     of rejecting the row.
     """
+    return split_tagged(tag_rejects(df, spec, strict_reference, on_overflow))
+
+
+def tag_rejects(df: DataFrame, spec: TableSpec, strict_reference: bool = False,
+                on_overflow: str = "quarantine") -> DataFrame:
+    """``df`` plus ``_reject_reason`` (NULL for mergeable rows)."""
     if on_overflow == "truncate":
         df = df.withColumns({f.name: F.left(F.col(f.name), F.lit(f.max_len))
                              for f in spec.fields if f.max_len and f.name in df.columns})
     reason = reject_reason(df, spec, strict_reference, check_lengths=on_overflow != "truncate")
-    tagged = df.withColumn("_reject_reason", reason)
+    return df.withColumn("_reject_reason", reason)
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = tagged.where(F.col("_reject_reason").isNull()).drop("_reject_reason")
     bad = tagged.where(F.col("_reject_reason").isNotNull())
     if "_cast_errors" in good.columns:

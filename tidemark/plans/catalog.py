@@ -17,7 +17,7 @@ from tidemark.functions.expr import (batch_time, days_before, full_name, is_dele
                                      is_upsert, line_total, not_delete)
 from tidemark.operators import audit, capture, marts, quality
 from tidemark.operators.latest import latest_events
-from tidemark.operators.merge import empty_target, merge_changes
+from tidemark.operators.merge import empty_target, merge_changes, size_terms
 from tidemark.operators.replay import replay_changes
 from tidemark.plans import views as V
 from tidemark.session import cut_lineage
@@ -76,18 +76,28 @@ def replay_items(spark, d):
 # -- J1 applied batch by batch -----------------------------------------------
 def merge_batches(log: DataFrame, spec: TableSpec, batch_col: str = "b",
                   strategy: str = "auto") -> DataFrame:
-    """Apply the MERGE once per batch, in batch order; lineage is cut after
-    every batch with a reliable checkpoint, as a pipeline writing each
-    version would."""
-    spark = log.sparkSession
-    batches = sorted(r[0] for r in log.select(batch_col).distinct().collect())
+    """Apply the MERGE once per batch, in batch order.
+
+    The per-batch de-duplication of every batch runs as one job (latest per
+    key and batch) and is written to the checkpoint folder; one small
+    aggregate measures every batch's delta.  Each batch's merge result is
+    written there too, which cuts the lineage as a pipeline writing each
+    version would.
+    """
+    latest_all = cut_lineage(latest_events(log, spec, method="agg", extra_keys=[batch_col]),
+                             "latest")
+    fixed, var = size_terms(latest_all.drop(batch_col))
+    sizes = {r[batch_col]: int(r["n"]) * fixed + int(r["v"] or 0) for r in
+             latest_all.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n"),
+                                               F.sum(var).alias("v")).collect()}
     target = None
-    for b in batches:
-        latest = latest_events(log.where(F.col(batch_col) == b), spec, method="agg")
+    for b in sorted(sizes):
+        latest = latest_all.where(F.col(batch_col) == b).drop(batch_col)
         if target is None:
-            target = empty_target(spark, spec, latest.schema)
+            target = empty_target(log.sparkSession, spec, latest.schema)
         bts = V.BATCH_BASE + _dt.timedelta(days=int(b))
-        target = cut_lineage(merge_changes(target, latest, spec, bts, strategy=strategy))
+        target = cut_lineage(merge_changes(target, latest, spec, bts, strategy=strategy,
+                                           delta_bytes=sizes[b]), spec.name)
     return target
 
 

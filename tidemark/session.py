@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,7 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    One job, one write: unlike ``checkpoint()`` the plan is not computed a
+    second time, and the table survives the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

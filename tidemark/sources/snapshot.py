@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.merge import empty_target, merge_changes
-from tidemark.spec import TableSpec
+from tidemark.operators.merge import empty_target, merge_changes, size_terms
+from tidemark.spec import OP_DELETE, TableSpec
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
@@ -39,9 +39,11 @@ COMMIT_SCHEMA = T.StructType([
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec,
-                 n_buckets: int = 1, guard_late: bool = False):
+                 n_buckets: int = 1, guard_late: bool = False, key_slots: int = 64):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.n_buckets, self.guard_late = n_buckets, guard_late
+        self.n_buckets, self.guard_late, self.key_slots = n_buckets, guard_late, key_slots
+        self._state: dict | None = None
+        self._state_loaded = False  # one writer per table: the commit is cached
 
     # -- commit log --------------------------------------------------------
     def state(self) -> dict | None:
@@ -57,6 +59,7 @@ class SnapshotTable:
         if not row:
             return None
         st = row[0].asDict()
+        self._state, self._state_loaded = st, True
         st["buckets"] = {int(b): int(v) for b, v in (st["buckets"] or {}).items()}
         return st
 
@@ -82,38 +85,56 @@ class SnapshotTable:
     # -- one batch ---------------------------------------------------------
     def apply(self, latest: DataFrame, batch_id: int, batch_ts: _dt.datetime,
               strategy: str = "auto") -> bool:
-        """Merge one batch of de-duplicated events; False if already applied."""
-        st = self.state()
+        """Merge one batch of de-duplicated events; False if already applied.
+
+        One aggregation measures the delta (rows, bytes, touched buckets,
+        buckets that can receive inserts); then one job merges and writes the
+        touched buckets; then the commit row is written.  Cache ``latest``
+        when calling: it is read by both jobs.
+        """
+        st = self._state if self._state_loaded else self.state()
         if st is not None and batch_id <= st["batch_id"]:
             return False
+        spec = self.spec
         latest = latest.withColumn("_b", self._bucket())
-        if self.n_buckets == 1:
-            touched = [0]
-        else:
-            touched = sorted(r[0] for r in latest.select("_b").distinct().collect())
+        fixed, var = size_terms(latest.drop("_b"))
+        row = latest.agg(
+            F.count(F.lit(1)).alias("n"), F.sum(var).alias("v"),
+            F.collect_set("_b").alias("touched"),
+            F.collect_set(F.when(F.col(spec.op_col) != OP_DELETE, F.col("_b"))).alias("ins"),
+        ).first()
+        n = int(row["n"])
+        if n == 0:
+            return False
+        touched, insertable = sorted(row["touched"]), set(row["ins"])
+        old = dict((st or {}).get("buckets") or {})
         target = self.read(touched, st) if st is not None else None
         if target is None:
-            target = empty_target(self.spark, self.spec, latest.schema, self.guard_late)
-        merged = merge_changes(target, latest.drop("_b"), self.spec, batch_ts,
-                               strategy=strategy, key_base=(st or {}).get("max_key") or 0,
-                               guard_late=self.guard_late)
+            target = empty_target(self.spark, spec, latest.schema, self.guard_late)
+        base = int((st or {}).get("max_key") or 0)
+        slots = self.key_slots
+        merged = merge_changes(target, latest.drop("_b"), spec, batch_ts, strategy=strategy,
+                               key_base=base, guard_late=self.guard_late,
+                               delta_bytes=n * fixed + int(row["v"] or 0), key_slots=slots)
         out = f"{self.path}/v={batch_id}"
-        (merged.withColumn("_b", self._bucket())
+        # one file per rewritten bucket: buckets hold unique keys, so they are
+        # balanced by the hash and sized by n_buckets, never by a hot key
+        (merged.withColumn("_b", self._bucket()).repartition(self.n_buckets, "_b")
          .write.mode("overwrite").partitionBy("_b").parquet(out))
-        written = self.spark.read.parquet(out)
-        sk = self.spec.surrogate_key
-        stats = written.groupBy("_b").agg(
-            (F.max(sk) if sk else F.lit(None).cast("bigint")).alias("mk")).collect()
-        buckets = dict((st or {}).get("buckets") or {})
-        max_key = (st or {}).get("max_key") or 0
-        for r in stats:
-            buckets[int(r["_b"])] = int(batch_id)
-            if r["mk"] is not None:
-                max_key = max(max_key, int(r["mk"]))
-        schema = merged.schema.json()
+        # a touched bucket holds rows iff it held rows before or got an insert
+        buckets = dict(old)
+        for b in touched:
+            if b in old or b in insertable:
+                buckets[int(b)] = int(batch_id)
+        # new keys are <= base + n * slots (see assign_keys): a safe next base
+        max_key = base + n * slots if spec.surrogate_key else 0
+        state = {"batch_id": int(batch_id), "n_buckets": self.n_buckets, "max_key": max_key,
+                 "buckets": buckets, "table_schema": merged.schema.json(),
+                 "committed_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)}
         commit = self.spark.createDataFrame(
-            [(int(batch_id), self.n_buckets, int(max_key),
-              {str(b): v for b, v in buckets.items()}, schema,
-              _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))], COMMIT_SCHEMA)
+            [(state["batch_id"], self.n_buckets, max_key,
+              {str(b): v for b, v in buckets.items()}, state["table_schema"],
+              state["committed_at"])], COMMIT_SCHEMA)
         commit.coalesce(1).write.mode("overwrite").json(f"{self.path}/_commits/{batch_id:020d}")
+        self._state, self._state_loaded = state, True
         return True

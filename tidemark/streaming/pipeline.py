@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.casting import rename_to_curated
 from tidemark.operators.latest import latest_events
-from tidemark.operators.quality import split_valid
+from tidemark.operators.quality import split_tagged, tag_rejects
 from tidemark.sources.changes import read_changes_stream, read_raw, to_raw
 from tidemark.sources.snapshot import SnapshotTable
 from tidemark.spec import TableSpec
@@ -65,17 +65,19 @@ def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableS
     spark = df.sparkSession
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     batch_ts = batch_ts or started
-    if df.isEmpty():  # a zero-row file still fires a batch: skip like no data
-        return False
-    df = df.persist()
+    tagged = tag_rejects(df, spec, strict_reference, on_overflow).persist()
     try:
-        good, bad = split_valid(df, spec, strict_reference, on_overflow)
-        n_in, n_bad = df.count(), bad.count()
+        counts = tagged.agg(F.count(F.lit(1)).alias("n"),
+                            F.count("_reject_reason").alias("bad")).first()
+        n_in, n_bad = int(counts["n"]), int(counts["bad"])
+        if n_in == 0:  # a zero-row file still fires a batch: skip like no data
+            return False
+        good, bad = split_tagged(tagged)
         if quarantine_path and n_bad:
             bad.write.mode("overwrite").parquet(f"{quarantine_path}/{batch_id:020d}")
         latest = latest_events(rename_to_curated(good, spec), spec).persist()
-        n_keys = latest.count()
-        applied = table.apply(latest, batch_id, batch_ts, strategy) if n_keys else False
+        applied = table.apply(latest, batch_id, batch_ts, strategy)
+        n_keys = latest.count() if audit_path else 0
         latest.unpersist()
         if audit_path:
             finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -85,7 +87,7 @@ def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableS
              .parquet(f"{audit_path}/{batch_id:020d}"))
         return applied
     finally:
-        df.unpersist()
+        tagged.unpersist()
 
 
 def start_merge(spark: SparkSession, raw_path: str, table: SnapshotTable, spec: TableSpec,
