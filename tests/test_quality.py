@@ -99,3 +99,17 @@ def test_layer_counts(spark):
     out = {r["layer"]: r["n"] for r in quality.layer_counts({"raw": a, "x": a.limit(1)}).collect()}
     assert out == {"raw": 3, "x": 1}
     assert ORDER_ITEMS.surrogate_key == "item_key"
+
+
+def test_project_and_json_fields(spark):
+    from tidemark.functions.casting import extract_json_fields, project_spec
+    from tidemark.spec import Field, TableSpec
+
+    df = spark.createDataFrame([("x", 1, "NY", 9)], "extra string, customer_id bigint, "
+                               "state string, ignored int")
+    assert project_spec(df, CUSTOMERS).columns == ["customer_id", "state"]
+    spec = TableSpec(name="j", keys=("k",), fields=(Field("k", "int"), Field("s", "string")))
+    js = spark.createDataFrame([('{"k": 5, "s": "a"}',), ('{"k": "bad"}',), (None,)], "p string")
+    got = [(r["k"], r["s"]) for r in extract_json_fields(js, "p", spec).collect()]
+    assert got == [(5, "a"), (None, None), (None, None)]
+    assert CUSTOMERS.source_prefix == "public/customers"

@@ -157,8 +157,7 @@ def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
         kept = t.join(small, keys, "left")
         kept = kept.select(*_project(spec, keys, F.lit(True), F.col("_s").isNotNull(),
                                      bts, guard_late, tset))
-        # same broadcast as above (exchange reuse): keys of the target that
-        # the delta touches
+        # keys of the target that the delta touches (semi join on the broadcast)
         touched = t.select(*keys).join(small, keys, "left_semi")
         new = (s.where(insertable).join(F.broadcast(touched), keys, "left_anti")
                .withColumn("_t", F.lit(None).cast("boolean")))

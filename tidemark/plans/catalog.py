@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.casting import cast_row, rename_to_curated
+from tidemark.functions.casting import cast_row, extract_json_fields, rename_to_curated
 from tidemark.functions.expr import (batch_time, days_before, full_name, is_delete,
                                      is_upsert, line_total, not_delete)
 from tidemark.operators import audit, capture, marts, quality
@@ -21,7 +21,7 @@ from tidemark.operators.merge import empty_target, merge_changes, size_terms
 from tidemark.operators.replay import replay_changes
 from tidemark.plans import views as V
 from tidemark.session import cut_lineage
-from tidemark.spec import ORDERS, TableSpec
+from tidemark.spec import ORDERS, Field, TableSpec
 
 SNAPSHOT_CUTOFF = _dt.datetime(1998, 7, 1)
 DIFF_CAPTURED_AT = _dt.datetime(2002, 1, 1)
@@ -150,10 +150,13 @@ def full_name_q(spark, d):
     return c.select("c_custkey", full_name("c_name", "c_mktsegment").alias("full_name"))
 
 
+PROPS_SPEC = TableSpec(name="props", keys=("k",), fields=(Field("k", "int"),))
+
+
 def extract_field(spark, d):
-    e = V.table(spark, d, "events")
-    return e.select("event_id",
-                    F.try_variant_get(F.try_parse_json("props"), "$.k", "int").alias("k"))
+    """``props:k::INT`` -- typed path access into the JSON text column."""
+    e = V.table(spark, d, "events").select("event_id", "props")
+    return extract_json_fields(e, "props", PROPS_SPEC).select("event_id", "k")
 
 
 def raw_project(spark, d):
