@@ -191,6 +191,15 @@ IC_ATTRS = ["pk", "sk", "q", "price", "disc", "tax"]
 
 
 def snapshot_diff(spark, d):
+    """Changes between the ``ic`` table as of 1998-07-01 and as of the end of
+    its log (both snapshots from one aggregation; see ``changes_between``)."""
+    return capture.changes_between(V.ic(spark, d), V.IC_SPEC, IC_ATTRS, SNAPSHOT_CUTOFF,
+                                   DIFF_CAPTURED_AT)
+
+
+def snapshot_diff_join(spark, d):
+    """The same changes from two materialised snapshots and a full outer join
+    (the general operator, for snapshots that do not share a log)."""
     log = V.ic(spark, d)
     prev = capture.snapshot_as_of(log, V.IC_SPEC, SNAPSHOT_CUTOFF)
     curr = capture.snapshot_as_of(log, V.IC_SPEC, None)
@@ -310,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "last_24h": last_24h,
     "newest_50": newest_50,
     "snapshot_diff": snapshot_diff,
+    "snapshot_diff_join": snapshot_diff_join,
     "full_load_then_changes": full_load_then_changes,
     "orphans": orphans,
     "star_revenue": star_revenue,

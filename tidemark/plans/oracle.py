@@ -132,6 +132,7 @@ WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 24 HOUR
   AND ts < TIMESTAMP '2024-01-15 00:00:00'""",
     "newest_50": "SELECT * FROM events ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 50",
     "snapshot_diff": SNAPSHOT_DIFF,
+    "snapshot_diff_join": SNAPSHOT_DIFF,
     "full_load_then_changes": f"""SELECT op, count(*) AS n FROM (
   SELECT 'I' AS op FROM customer UNION ALL SELECT op FROM ({EV_SQL}) e) u GROUP BY op""",
     "orphans": f"""SELECT o.o_orderkey, o.o_custkey FROM orders o
