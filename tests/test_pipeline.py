@@ -61,7 +61,7 @@ def test_read_changes_parquet_and_csv(spark, scratch):
     assert (st["landed"], st["loaded"], st["pending"]) == (1, 1, 0)
     hist = load_history(raw).collect()
     assert hist[0]["row_count"] == 2
-    assert layer_path("s3://b/", "RAW", "customers") == "s3://b/raw/customers"
+    assert layer_path("hdfs://nn/lake/", "RAW", "customers") == "hdfs://nn/lake/raw/customers"
 
 
 def test_snapshot_table_idempotent_and_keys(spark, scratch):

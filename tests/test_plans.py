@@ -36,7 +36,7 @@ def test_window_filter_reaches_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in p
 
 
-def test_star_broadcasts_only_nation(spark):
+def test_star_aggregates_below_joins(spark):
     p = plan(C.star_revenue(spark, SF))
     # aggregates sit below the joins: one partial aggregate per level
     assert p.count("HashAggregate") >= 6

@@ -58,14 +58,17 @@ def ingest_status(landed: DataFrame, raw: DataFrame) -> DataFrame:
     """Landed vs loaded vs pending file counts (A4).
 
     ``landed`` is a file listing (``path`` column, see ``list_files``); a file
-    is loaded when RAW holds rows from it.  Loaded files are de-duplicated
-    map-side, so the anti join moves one row per file.
+    is loaded when RAW holds rows from it.  Both sides are de-duplicated
+    map-side, so the one full outer join on the path moves one row per file.
     """
-    loaded = raw.select(F.col("_source_file").alias("path")).distinct()
-    pending = landed.select("path").join(loaded, "path", "left_anti")
-    return (landed.agg(F.count(F.lit(1)).alias("landed"))
-            .crossJoin(loaded.agg(F.count(F.lit(1)).alias("loaded")))
-            .crossJoin(pending.agg(F.count(F.lit(1)).alias("pending"))))
+    landed_p = landed.select("path", F.lit(True).alias("_landed")).distinct()
+    loaded_p = raw.select(F.col("_source_file").alias("path"), F.lit(True).alias("_loaded")) \
+        .distinct()
+    both = landed_p.join(loaded_p, "path", "full_outer")
+    return both.agg(
+        F.count_if(F.col("_landed").isNotNull()).alias("landed"),
+        F.count_if(F.col("_loaded").isNotNull()).alias("loaded"),
+        F.count_if(F.col("_landed").isNotNull() & F.col("_loaded").isNull()).alias("pending"))
 
 
 def run_history(audit: DataFrame, since: _dt.datetime | None = None,

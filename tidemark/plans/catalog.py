@@ -296,6 +296,34 @@ def layer_counts(spark, d):
     })
 
 
+# -- A3 / A4 / S4 / S7 (rows-only: outputs hold absolute file paths) ---------
+LOADED_AT = _dt.datetime(2024, 1, 15, 6)
+RAW_TABLES = ("orders", "lineitem", "events")
+
+
+def _raw_layer(spark, d):
+    """The three change-carrying tables as one RAW-like frame: source file,
+    row number in file and load time per row (``_metadata``)."""
+    from tidemark.sources.changes import with_ingest_metadata
+
+    out = None
+    for t in RAW_TABLES:
+        part = with_ingest_metadata(V.table(spark, d, t).select(F.lit(t).alias("tbl")),
+                                    LOADED_AT)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def load_history(spark, d):
+    return audit.load_history(_raw_layer(spark, d), since=LOADED_AT - _dt.timedelta(hours=24))
+
+
+def ingest_status(spark, d):
+    from tidemark.sources.changes import list_files
+
+    return audit.ingest_status(list_files(spark, d, "*.parquet"), _raw_layer(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "latest_event": latest_event,
     "latest_event_agg": latest_event_agg,
@@ -329,4 +357,6 @@ QUERIES: dict[str, Query] = {
     "quarantine_reasons": quarantine_reasons,
     "order_total_mismatch": order_total_mismatch,
     "layer_counts": layer_counts,
+    "load_history": load_history,
+    "ingest_status": ingest_status,
 }
