@@ -44,6 +44,7 @@ class SnapshotTable:
         self.n_buckets, self.guard_late, self.key_slots = n_buckets, guard_late, key_slots
         self._state: dict | None = None
         self._state_loaded = False  # one writer per table: the commit is cached
+        self.last_delta_rows: int | None = None  # rows of the last measured delta
 
     # -- commit log --------------------------------------------------------
     def state(self) -> dict | None:
@@ -104,6 +105,7 @@ class SnapshotTable:
             F.collect_set(F.when(F.col(spec.op_col) != OP_DELETE, F.col("_b"))).alias("ins"),
         ).first()
         n = int(row["n"])
+        self.last_delta_rows = n
         if n == 0:
             return False
         touched, insertable = sorted(row["touched"]), set(row["ins"])

@@ -76,8 +76,11 @@ def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableS
         if quarantine_path and n_bad:
             bad.write.mode("overwrite").parquet(f"{quarantine_path}/{batch_id:020d}")
         latest = latest_events(rename_to_curated(good, spec), spec).persist()
+        table.last_delta_rows = None
         applied = table.apply(latest, batch_id, batch_ts, strategy)
-        n_keys = latest.count() if audit_path else 0
+        n_keys = table.last_delta_rows
+        if n_keys is None:  # replayed batch: apply returned before measuring
+            n_keys = latest.count() if audit_path else 0
         latest.unpersist()
         if audit_path:
             finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
