@@ -13,9 +13,11 @@ texts.  The method is bucket-pointer refinement of the suffixes' leading bytes:
   reused by the next.  An anchor's bucket is refined by the names of the first
   and the last window that it stands for: together they fix all bytes of its
   extent.  Two members in one refined bucket settle all windows of both at once.
-* **Recursion.**  Buckets that the extents split further are refined once more
-  by the name of every single window, one representative per refined bucket
-  (all members of it would give the same names), so copies are never expanded.
+* **Recursion.**  Buckets that the extents split are refined again, one
+  representative per refined bucket (all members of it would give the same
+  names), so copies are never expanded: first by cells of neighbouring windows
+  (named by the bytes that all windows of the cell share, then by the cell's
+  extent), and where a cell splits once more, by every single window.
 
 Names are 64-bit fingerprints rather than ranks, since only equality counts;
 a comparison always rests on two of them (128 bits).  Grouping is by hash
@@ -63,19 +65,31 @@ def gram_size(length: int) -> int:
     return 1 << max(0, length.bit_length() - 3)
 
 
-def names(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the ``q``-grams and of the ``length``-byte strings at each position."""
-    q, h, name, grams = gram_size(length), 1, _NAME_OF_BYTE[data], None
+def names(data: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    """For each length, the names of its strings at each position."""
+    h, name, levels = 1, _NAME_OF_BYTE[data], {}
     while True:
-        if h == q:
-            grams = name
-        if 2 * h > length:
-            break
+        for x in lengths:
+            if h <= x < 2 * h:
+                levels[x] = name if h == x else _refine(name[: max(0, len(data) - x + 1)], name[x - h:])
+        if 2 * h > max(lengths):
+            return [levels[x] for x in lengths]
         name = _refine(name[:-h], name[h:])
         h *= 2
-    if h < length:
-        name = _refine(name[: len(data) - length + 1], name[length - h:])
-    return grams, name
+
+
+def names_at(value: bytes, places: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
+    """For each (length, positions) of one text: the names there."""
+    data = np.frombuffer(value, np.uint8)
+    longest = max(x for x, _ in places)
+    out = [np.zeros(len(p), U64) for _, p in places]
+    for a in range(0, len(value), PIECE):
+        mine = [np.flatnonzero((p >= a) & (p < a + PIECE)) for _, p in places]
+        if any(len(m) for m in mine):
+            got = names(data[a:a + PIECE + longest - 1], [x for x, _ in places])
+            for o, m, g, (_, p) in zip(out, mine, got, places):
+                o[m] = g[p[m] - a]
+    return out
 
 
 def anchors(grams: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,7 +155,7 @@ def _anchor_rows(length: int):
             values = texts(batch.column("text"))
             r1, r2 = batch.column("r1").to_numpy(), batch.column("r2").to_numpy()
             for data, rows, offsets, begins in pieces(values, length):
-                grams, whole = names(data, length)
+                grams, whole = names(data, [gram_size(length), length])
                 at, first, last = anchors(grams, width)
                 piece = np.searchsorted(begins, at, "right") - 1
                 first = np.maximum(first, begins[piece])
@@ -157,7 +171,15 @@ def _anchor_rows(length: int):
     return run
 
 
-def _window_rows(length: int):
+def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and value of every integer in first..last of each row."""
+    count = last - first + 1
+    row = np.repeat(np.arange(len(first)), count)
+    return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _each_text(make):
+    """Batches of ``make(text, needed members)`` with the text's digest in front."""
     def run(batches):
         seen: set[tuple[int, int]] = set()  # a text that meets a task again gives the same rows
         for batch in batches:
@@ -166,30 +188,51 @@ def _window_rows(length: int):
                 if key in seen:
                     continue
                 seen.add(key)
-                v = texts(batch.column("text").slice(i, 1))[0]
                 need = batch.column("need").slice(i, 1).flatten()
-                at, l0, l1, g, n = (need.field(k).to_numpy() for k in range(5))
-                count = l1 - l0 + 1
-                j = np.repeat(np.arange(len(at)), count)
-                dist = l0[j] + np.arange(len(j)) - np.repeat(np.cumsum(count) - count, count)
-                p = at[j] - dist
-                name = np.zeros(len(p), U64)
-                data = np.frombuffer(v, np.uint8)
-                for a in range(0, len(v) - length + 1, PIECE):
-                    mine = np.flatnonzero((p >= a) & (p < a + PIECE))
-                    if len(mine):
-                        name[mine] = names(data[a:a + PIECE + length - 1], length)[1][p[mine] - a]
-                for a in range(0, len(p), 1 << 17):
-                    s = slice(a, a + (1 << 17))
-                    m = len(p[s])
+                out = make(texts(batch.column("text").slice(i, 1))[0],
+                           [need.field(k).to_numpy(zero_copy_only=False) for k in range(need.type.num_fields)])
+                size = len(out["at"])
+                for a in range(0, size, 1 << 16):
+                    n = min(size - a, 1 << 16)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(m, key[0])), pa.array(np.full(m, key[1])), pa.array(p[s]),
-                         pa.array(g[j[s]]), pa.array(dist[s].astype(np.int32)), _signed(name[s]),
-                         pa.array(n[j[s]] == 1)],
-                        names=["r1", "r2", "p", "g", "l", "w", "single"])
+                        [pa.array(np.full(n, key[0])), pa.array(np.full(n, key[1])),
+                         *[_signed(x[a:a + n]) if x.dtype == U64 else pa.array(x[a:a + n]) for x in out.values()]],
+                        names=["r1", "r2", *out])
     return run
 
 
+def cell_size(length: int) -> int:
+    return max(2, length // 12)
+
+
+def _cells(length: int):
+    """An anchor's windows in cells of equal distances: the name of the bytes
+    that all windows of a whole cell have in common, and those of the extent."""
+    size = cell_size(length)
+    core = length - size + 1
+
+    def make(value, need):
+        at, l0, l1, g, single = need
+        row, cell = _expand(l0 // size, l1 // size)
+        at = at[row]
+        lo = np.maximum(l0[row], cell * size)
+        hi = np.minimum(l1[row], cell * size + size - 1)
+        c, x1, x2 = names_at(value, [(core, at - cell * size), (length, at - hi), (length, at - lo)])
+        return {"at": at, "g": g[row], "cell": cell.astype(np.int32), "core": c, "lo": lo.astype(np.int32),
+                "hi": hi.astype(np.int32), "x1": x1, "x2": x2, "single": single[row]}
+    return make
+
+
+def _windows(length: int):
+    def make(value, need):
+        at, lo, hi, g, single = need
+        row, dist = _expand(lo, hi)
+        at = at[row]
+        return {"at": at, "g": g[row], "l": dist.astype(np.int32),
+                "w": names_at(value, [(length, at - dist)])[0], "single": single[row]}
+    return make
+
+
 def _digest(text):
     return [F.xxhash64(text).alias("r1"), F.xxhash64(F.lit(7), text).alias("r2")]
 
@@ -203,24 +246,46 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     found = materialise(read.mapInArrow(
         _anchor_rows(length),
         "r1 bigint, r2 bigint, at bigint, l0 int, l1 int, g bigint, e1 bigint, e2 bigint"), "anchors")
-    refined = found.groupBy(*_KEYS).agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "at")).alias("rep"))
-    buckets = (refined.groupBy("g").agg(F.sum("n").alias("members"), F.count("*").alias("parts"))
-               .where("members > 1"))
-    refined = materialise(refined.join(buckets, "g"), "buckets")
-    settled = refined.where("n > 1").select(*_KEYS)
-    whole = (found.join(settled, _KEYS, "left_semi")
+    place = F.struct("r1", "r2", "at")
+
+    def split(rows, bucket, extent):
+        """Refined buckets of all buckets that have two members: whether one has
+        two itself (``settled``), into how many its bucket split, and a representative."""
+        parts = (rows.groupBy(*bucket, *extent)
+                 .agg(F.min(place).alias("rep"), F.sum("n").alias("n"))
+                 .withColumn("settled", F.col("n") > 1))
+        whole = (parts.groupBy(*bucket)
+                 .agg(F.count("*").alias("parts"), F.sum("n").alias("members"))
+                 .where("members > 1").select(*bucket, "parts"))
+        return materialise(parts.join(whole, bucket), "refined")
+
+    def needed(parts, fields):
+        reps = parts.where("parts > 1").select("rep.*", *fields, "g", (~F.col("settled")).alias("single"))
+        need = reps.groupBy("r1", "r2").agg(F.collect_list(F.struct("at", *fields, "g", "single")).alias("need"))
+        return read.join(need, ["r1", "r2"])
+
+    # First refinement: by the extents of the anchors.
+    parts = split(found.withColumn("n", F.lit(1)), ["g"], ["l0", "l1", "e1", "e2"])
+    whole = (found.join(parts.where("settled").select(*_KEYS), _KEYS, "left_semi")
              .select("r1", "r2", (F.col("at") - F.col("l1")).alias("s"), (F.col("at") - F.col("l0") + length).alias("e"))
              .distinct())
-    need = (refined.where("parts > 1").groupBy("rep.r1", "rep.r2")
-            .agg(F.collect_list(F.struct(F.col("rep.at").alias("at"), "l0", "l1", "g", "n")).alias("need")))
-    windows = materialise(read.join(need, ["r1", "r2"]).mapInArrow(
-        _window_rows(length), "r1 bigint, r2 bigint, p bigint, g bigint, l int, w bigint, single boolean"), "windows")
-    place = F.struct("r1", "r2", "p")
+    # Second: by cells of windows; third: by single windows.
+    cells = materialise(needed(parts, ["l0", "l1"]).mapInArrow(
+        _each_text(_cells(length)), "r1 bigint, r2 bigint, at bigint, g bigint, cell int, core bigint, lo int, "
+                                    "hi int, x1 bigint, x2 bigint, single boolean"), "cells")
+    bucket, extent = ["g", "cell", "core"], ["lo", "hi", "x1", "x2"]
+    parts = split(cells.withColumn("n", F.when(F.col("single"), 1).otherwise(2)), bucket, extent)
+    some = (cells.where("single").join(parts.where("settled").select(*bucket, *extent), bucket + extent, "left_semi")
+            .select("r1", "r2", (F.col("at") - F.col("hi")).alias("s"), (F.col("at") - F.col("lo") + length).alias("e")))
+    windows = materialise(needed(parts, ["lo", "hi"]).mapInArrow(
+        _each_text(_windows(length)), "r1 bigint, r2 bigint, at bigint, g bigint, l int, w bigint, single boolean"),
+        "windows")
     twice = (windows.groupBy("g", "l", "w").agg(F.min(place).alias("a"), F.max(place).alias("b"))
              .where("a <> b").select("g", "l", "w"))
     single = (windows.where("single").join(twice, ["g", "l", "w"], "left_semi")
-              .select("r1", "r2", F.col("p").alias("s"), (F.col("p") + length).alias("e")))
-    return (whole.unionByName(single).groupBy("r1", "r2")
+              .select("r1", "r2", (F.col("at") - F.col("l")).alias("s"),
+                      (F.col("at") - F.col("l") + length).alias("e")))
+    return (whole.unionByName(some).unionByName(single).groupBy("r1", "r2")
             .agg(F.collect_list(F.struct("s", "e")).alias("spans")))
 
 
