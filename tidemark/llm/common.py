@@ -32,8 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
-    return cut_lineage(df, f"llm-{name}")
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    The shuffles behind ``df`` are then garbage; the collection lets Spark's
+    cleaner drop their files at once instead of at the driver's next one.
+    """
+    out = cut_lineage(df, f"llm-{name}")
+    del df
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def record(df: DataFrame, name: str = "rec") -> Column:

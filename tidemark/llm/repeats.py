@@ -246,13 +246,13 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     found = materialise(read.mapInArrow(
         _anchor_rows(length),
         "r1 bigint, r2 bigint, at bigint, l0 int, l1 int, g bigint, e1 bigint, e2 bigint"), "anchors")
-    place = F.struct("r1", "r2", "at")
+    place = ["r1", "r2", "at"]
 
     def split(rows, bucket, extent):
         """Refined buckets of all buckets that have two members: whether one has
         two itself (``settled``), into how many its bucket split, and a representative."""
         parts = (rows.groupBy(*bucket, *extent)
-                 .agg(F.min(place).alias("rep"), F.sum("n").alias("n"))
+                 .agg(*[F.first(c).alias(f"p_{c}") for c in place], F.sum("n").alias("n"))  # of one row
                  .withColumn("settled", F.col("n") > 1))
         whole = (parts.groupBy(*bucket)
                  .agg(F.count("*").alias("parts"), F.sum("n").alias("members"))
@@ -260,7 +260,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
         return materialise(parts.join(whole, bucket), "refined")
 
     def needed(parts, fields):
-        reps = parts.where("parts > 1").select("rep.*", *fields, "g", (~F.col("settled")).alias("single"))
+        reps = parts.where("parts > 1").select(*[F.col(f"p_{c}").alias(c) for c in place], *fields, "g", (~F.col("settled")).alias("single"))
         need = reps.groupBy("r1", "r2").agg(F.collect_list(F.struct("at", *fields, "g", "single")).alias("need"))
         return read.join(need, ["r1", "r2"])
 
@@ -280,8 +280,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     windows = materialise(needed(parts, ["lo", "hi"]).mapInArrow(
         _each_text(_windows(length)), "r1 bigint, r2 bigint, at bigint, g bigint, l int, w bigint, single boolean"),
         "windows")
-    twice = (windows.groupBy("g", "l", "w").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-             .where("a <> b").select("g", "l", "w"))
+    twice = (windows.groupBy("g", "l", "w")
+             .agg(*[(F.min(c) != F.max(c)).alias(f"d_{c}") for c in place])
+             .where("d_r1 or d_r2 or d_at").select("g", "l", "w"))
     single = (windows.where("single").join(twice, ["g", "l", "w"], "left_semi")
               .select("r1", "r2", (F.col("at") - F.col("l")).alias("s"),
                       (F.col("at") - F.col("l") + length).alias("e")))
