@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tidemark.llm import lang_id, packing, repeats
+from tidemark.llm import jaccard, lang_id, packing, repeats
 from tidemark.llm.common import ship
 
 
@@ -20,6 +20,7 @@ QUERIES = {f.__name__: shipped(f) for f in (
     repeats.op2_bucket_pointers,
     lang_id.op5_language_filters,
     packing.op7_concatenate_cut,
+    jaccard.op10_vertical_partitions,
 )}
 
 ORACLE: dict[str, str] = {}
