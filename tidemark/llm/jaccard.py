@@ -8,15 +8,18 @@ vertical fragments, and with it every text's set.
   fragments they agree in one fragment at least.  Sets meet in a bucket when
   they have one same non-empty fragment.  The number of fragments follows from
   the size class (sizes within a factor of two; sizes near a class border also
-  enter the border's own class).  A set whose n-grams occupy only ``H``
+  enter the border's own class).  A set that occupies ``m`` fragments shares
+  ``m - H`` of them with any partner, so one that meets others in fewer is taken
+  out before anything is compared.  Nor is a pair compared whose n-grams that
+  other candidates have could not make up the overlap.  A set whose n-grams occupy only ``H``
   fragments or fewer could miss a set like itself; such sets (nearly always
   none) also meet by the n-grams of their prefixes.  No bucket is capped.
 * **Counting.**  For a candidate pair the overlap is counted in each of
   ``PARTS`` vertical parts separately and summed per pair; the exact integer
   test ``den * both >= num * union`` decides.
 * **Groups.**  Equal sets are one node from the start, so copies are never
-  expanded.  In each round every bucket's pivots (one a hash slot, twice as
-  many slots each round) are compared with the bucket's members of other
+  expanded.  In each round every bucket's pivots (one a hash slot, ``MORE``
+  times as many slots each round) are compared with the bucket's members of other
   components only; a compared pivot leaves its bucket, and a bucket whose
   members are all connected is closed.  The rounds go on until no bucket is
   open, so no link between components is lost, though pairs inside a component
@@ -42,7 +45,10 @@ N = 4
 NUM, DEN = 85, 100
 #: Vertical parts in which overlaps are counted.
 PARTS = 8
-SLOTS = 1  # pivots a bucket in the first round
+#: Pivots a bucket in the first round, and how much more in each next one.
+SLOTS, MORE = 1, 8
+#: How often sets that meet others too rarely are taken out before comparing.
+PEELS = 2
 
 
 def difference(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
@@ -100,45 +106,41 @@ def schemes(size: int, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
     return out
 
 
-def buckets(g: np.ndarray, per: np.ndarray, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys of all rows and the row of each key."""
-    keys, rows = [], []
+def buckets(g: np.ndarray, per: np.ndarray, num: int = NUM, den: int = DEN
+            ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """A tuple per scheme: its rows, how many keys each has, how many of them a
+    linked partner must share at least, and all keys.  A key's low byte is its scheme."""
     begins = np.cumsum(per) - per
-    by_size = np.zeros(len(per), np.int64)
-    plan: dict[int, list[tuple[int, int]]] = {}
-    for size in np.unique(per[per > 0]).tolist():
-        plan[size] = schemes(size, num, den)
-        by_size[per == size] = size
     wanted: dict[tuple[int, int], list[int]] = {}
-    for size, found in plan.items():
-        for s in found:
+    for size in np.unique(per[per > 0]).tolist():
+        for s in schemes(size, num, den):
             wanted.setdefault(s, []).append(size)
-    high = (g >> U64(32))
+    high = g >> U64(32)
     content = mix(g * K1 + K3)
+    out = []
     for (scheme, most), sizes in wanted.items():
-        chosen = np.flatnonzero(np.isin(by_size, sizes))
+        chosen = np.flatnonzero(np.isin(per, sizes))
         length = per[chosen]
-        row = np.repeat(chosen, length)
-        at = begins[row] + np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        place = np.repeat(np.arange(len(chosen)), length)
+        at = begins[chosen][place] + np.arange(len(place)) - np.repeat(np.cumsum(length) - length, length)
         fragments = 9 * (most + 1) // 8 + 6
         f = (high[at] * U64(fragments)) >> U64(32)  # ascending within a row
         new = np.ones(len(at), bool)
-        new[1:] = (f[1:] != f[:-1]) | (row[1:] != row[:-1])
+        new[1:] = (f[1:] != f[:-1]) | (place[1:] != place[:-1])
         first = np.flatnonzero(new)
-        name = _sums(content[at], first)
-        keys.append(mix(mix(name + U64(scheme) * K2) + f[first] * K3))
-        rows.append(row[first])
-        few = chosen[np.bincount(row[first], minlength=len(per))[chosen] <= most]
-        for r in few.tolist():  # prefixes in the global order
-            size = int(per[r])
-            prefix = g[begins[r]: begins[r] + size - (-(-size * num // den)) + 1]
-            keys.append(mix(mix(prefix ^ K1) + U64(scheme) * K1))
-            rows.append(np.full(len(prefix), r))
-    if not keys:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    keys, rows = np.concatenate(keys), np.concatenate(rows)
-    order = np.argsort(rows, kind="stable")
-    return keys[order], rows[order]
+        keys = mix(mix(_sums(content[at], first)) + f[first] * K3)
+        owner = place[first]
+        full = np.bincount(owner, minlength=len(chosen))
+        need = np.maximum(full - most, 1)
+        for r in np.flatnonzero(full <= most).tolist():  # prefixes in the global order
+            size = int(length[r])
+            prefix = g[begins[chosen[r]]:][: size - (-(-size * num // den)) + 1]
+            keys = np.concatenate((keys, mix(mix(prefix ^ K1) + K1)))
+            owner = np.concatenate((owner, np.full(len(prefix), r)))
+        order = np.argsort(owner, kind="stable")
+        keys = keys[order] & ~U64(255) | U64((scheme + 1) & 255)
+        out.append((chosen, np.bincount(owner, minlength=len(chosen)), need, keys))
+    return out
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -150,7 +152,7 @@ def _lists(x: np.ndarray, per: np.ndarray) -> pa.Array:
 
 
 def _keyed(n: int, num: int, den: int):
-    """(s1, list): a set's name and bucket keys, once a task for copies."""
+    """(s1, need, list): a set's name and a scheme's bucket keys, once a task for copies."""
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
@@ -164,9 +166,10 @@ def _keyed(n: int, num: int, den: int):
                         seen.add(s)
                         new[i] = True
                 g, per, s1 = g[np.repeat(new, per)], per[new], s1[new]
-                k, rows = buckets(g, per, num, den)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(s1), _lists(k, np.bincount(rows, minlength=len(per)))], names=["s1", "list"])
+                for rows, count, need, keys in buckets(g, per, num, den):
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(s1[rows]), pa.array(need.astype(np.int32)), _lists(keys, count)],
+                        names=["s1", "need", "list"])
     return run
 
 
@@ -251,19 +254,49 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
     """(node, comp) for the sets that are linked with another set; a ``node`` is
     the struct of the set's two name halves, a ``comp`` the smallest linked node."""
     node = F.struct("s1", "s2").alias("node")
-    keyed = (docs.select(F.col(text).alias("text")).mapInArrow(_keyed(n, num, den), "s1 bigint, list array<bigint>")
-             .select(F.explode("list").alias("k"), "s1"))
-    # Buckets of one set are dropped before anything else is shuffled.
-    shared = keyed.groupBy("k").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b").select("k")
-    near = materialise(keyed.join(shared, "k", "left_semi"), "near")
+    keyed = (docs.select(F.col(text).alias("text"))
+             .mapInArrow(_keyed(n, num, den), "s1 bigint, need int, list array<bigint>")
+             .select(F.explode("list").alias("k"), "s1", "need"))
+
+    def met(rows):
+        """Rows of buckets with two sets or more."""
+        shared = rows.groupBy("k").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b").select("k")
+        return rows.join(shared, "k", "left_semi")
+
+    near = materialise(met(keyed), "near")
+    for _ in range(PEELS):
+        # Linked sets share ``need`` buckets of a scheme at least: a set that
+        # meets others in fewer has no partner there.  Copies of a row from
+        # several tasks count once.
+        scheme = F.col("k").bitwiseAND(F.lit(255)).alias("scheme")
+        enough = (near.groupBy("s1", scheme, "need", "k").agg(F.lit(1))
+                  .groupBy("s1", "scheme", "need").agg(F.count("*").alias("n")).where("n >= need").select("s1", "scheme"))
+        near = materialise(met(near.withColumn("scheme", scheme).join(enough, ["s1", "scheme"], "left_semi")
+                               .select("k", "s1", "need")), "near")
     bodies = (named_sets(docs.select(F.struct(F.col(text).alias("t")).alias("rec"), F.col(text).alias("text")), n, once=True)
               .select("s1", "s2", F.col("rec.t").alias("text"))
               .join(near.select("s1").distinct(), "s1", "left_semi"))
     parts = materialise(bodies.mapInArrow(
         _cut_sets(n), "s1 bigint, s2 bigint, size bigint, part int, own array<bigint>")
         .dropDuplicates(["s1", "s2", "part"]).select(node, "size", "part", "own"), "parts")
-    whole = parts.where("part = 0").select("node", F.col("node.s1").alias("s1"))
-    members = materialise(near.join(whole, "s1").select("k", "node").distinct(), "members")
+    # N-grams of one candidate only are in no overlap: ``core`` counts the rest.
+    alone = (parts.select("node", F.explode("own").alias("h")).groupBy("h")
+             .agg(F.count("*").alias("n"), F.first("node.s1").alias("s1"), F.first("node.s2").alias("s2"))
+             .where("n = 1").groupBy(node).agg(F.count("*").alias("alone")))
+    cores = (parts.where("part = 0").join(alone, "node", "left")
+             .select("node", F.col("node.s1").alias("s1"), "size",
+                     (F.col("size") - F.coalesce("alone", F.lit(0))).alias("core")))
+
+    def linkable(core, x, y):
+        """Whether an overlap of ``core`` is enough for sizes ``x`` and ``y``."""
+        return den * core >= num * (x + y - core)
+
+    members = near.join(cores, "s1").select("k", "node", "size", "core").distinct()
+    smallest = members.groupBy("k").agg(F.min("size").alias("least"), F.count("*").alias("m")).where("m > 1")
+    members = materialise(
+        members.join(smallest, "k")
+        .where(linkable(F.col("core"), F.col("size"), F.greatest("least", "core")))
+        .select("k", "node", "size", "core"), "members")
     labels, links, done, slots, round_ = None, None, None, SLOTS, 0
     while True:
         named = (members.withColumn("comp", F.col("node")) if labels is None else
@@ -274,8 +307,10 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
         if named.isEmpty():
             break
         slot = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(slots))
-        pivots = named.groupBy("k", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("p")).select("k", "p")
-        pairs = (named.join(pivots, "k").where("comp <> p.comp")
+        pivots = (named.groupBy("k", slot.alias("slot"))
+                  .agg(F.min(F.struct("node", "comp", "size", "core")).alias("p")).select("k", "p"))
+        pairs = (named.join(pivots, (named["k"] == pivots["k"]) & (F.col("comp") != F.col("p.comp"))
+                            & linkable(F.least("core", "p.core"), F.col("size"), F.col("p.size")))
                  .select(F.least("node", "p.node").alias("x"), F.greatest("node", "p.node").alias("y")).distinct())
         if done is not None:
             pairs = pairs.join(done, ["x", "y"], "left_anti")
@@ -289,12 +324,15 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
                  .groupBy("x", "y", "xs", "ys").agg(F.sum("both").alias("both"))
                  .where(den * F.col("both") >= num * (F.col("xs") + F.col("ys") - F.col("both")))
                  .select(F.col("x").alias("u"), F.col("y").alias("v")))
-        links = materialise(found if links is None else found.union(links), "links")
-        labels = components(links)
+        found = materialise(found, "links")
+        if labels is None or not found.isEmpty():
+            links = found if links is None else found.union(links)
+            labels = components(links)
         # A pivot has met its whole bucket: it leaves.
         gone = pivots.select("k", F.col("p.node").alias("node"))
-        members = materialise(named.join(gone, ["k", "node"], "left_anti").select("k", "node"), "members")
-        slots, round_ = slots * 2, round_ + 1
+        members = materialise(named.join(gone, ["k", "node"], "left_anti")
+                              .select("k", "node", "size", "core"), "members")
+        slots, round_ = slots * MORE, round_ + 1
     return members.select("node", F.col("node").alias("comp")).where("false") if labels is None else labels
 
 
