@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tidemark.llm import jaccard, lang_id, packing, repeats
+from tidemark.llm import jaccard, lang_id, leaks, licenses, packing, ppm, repeats, sharding, token_counts, topk
 from tidemark.llm.common import ship
 
 
@@ -17,10 +17,16 @@ def shipped(query):
 
 
 QUERIES = {f.__name__: shipped(f) for f in (
+    sharding.op1_extendible_hashing,
     repeats.op2_bucket_pointers,
+    token_counts.op3_segment_trees,
+    ppm.op4_partial_matching,
     lang_id.op5_language_filters,
+    topk.op6_term_at_a_time,
     packing.op7_concatenate_cut,
+    leaks.op8_seed_and_align,
+    licenses.op9_signature_rules,
     jaccard.op10_vertical_partitions,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_extendible_hashing": sharding.OP1_SQL, "op6_term_at_a_time": topk.OP6_SQL}
