@@ -1,12 +1,85 @@
 """Corpus pipeline: language filter, near duplicates, repeated passages,
-benchmark leaks, packing.  See ``STAGES``."""
+benchmark leaks, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; every one but the last returns the columns it was given.
+
+* ``language_id`` drops texts without a language (null, or no letter) and texts
+  of which less than ``MIN_SHARE`` of the n-grams are in the predicted
+  language's filter (junk); everything else stays.
+* ``near_duplicates`` keeps one document of each group: the one with the
+  smallest id (null ids last); of equal rows one.
+* ``repeats`` cuts the bytes of strings of 400 bytes that occur elsewhere.  A
+  character cut in two goes as a whole.  Documents stay, even empty.
+* ``decontaminate`` drops documents that hold a benchmark passage.
+* ``packing`` returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
-from tidemark.llm import packing
+from pyspark.sql import functions as F
+
+from tidemark.llm import jaccard, lang_id, leaks, packing, repeats
 from tidemark.llm.common import materialise, ship, table
 
-STAGES = []
+MIN_SHARE = 0.2
+
+
+def language_id(spark, docs, sf_dir):
+    ship(spark)
+    model = lang_id.learn(docs.where(~lang_id.held_out()))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("rec"), F.col("text").alias("text"))
+    kept = lang_id.identify(rows, model).where(f"lang_pred <> 'und' and score >= {MIN_SHARE}")
+    return kept.select(*[F.col(f"rec.`{c}`").alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark, docs, sf_dir):
+    ship(spark)
+    columns = docs.columns
+    rec = F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec")
+    labels = jaccard.link_components(docs)
+    rows = docs.select(F.struct(rec).alias("rec"), F.col("text").alias("text"))
+    named = (jaccard.named_sets(rows).select("rec.rec", "size", F.struct("s1", "s2").alias("node"))
+             .join(labels, "node", "left")
+             .withColumn("group", F.when(F.col("size") > 0, F.coalesce("comp", "node")))
+             .withColumn("mark", F.struct(F.col("rec.doc_id").isNull().alias("z"), F.col("rec.doc_id").alias("id"),
+                                          F.xxhash64("rec").alias("h"))))
+    # One row a group and mark first, so a group of any size is a few rows a task.
+    best = (named.where("group is not null").groupBy("group", "mark").agg(F.count("*").alias("n"))
+            .groupBy("group").agg(F.min(F.struct("mark", "n")).alias("best")))
+    first = named.join(best, "group").where("mark = best.mark")
+    once = first.where("best.n = 1").select("rec")
+    equal = first.where("best.n > 1").select("rec").distinct()  # rows that are equal in all columns
+    alone = named.where("group is null").select("rec")
+    return once.union(equal).union(alone).select(*[F.col(f"rec.`{c}`").alias(c) for c in columns])
+
+
+def repeated_passages(spark, docs, sf_dir):
+    ship(spark)
+    columns = docs.columns
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec"), F.col("text").alias("text"))
+    cut = repeats.remove_repeats(rows)
+    # Invalid bytes at a cut are left out; texts that lose nothing stay as they are.
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(
+        F.replace(F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), F.lit("�"), F.lit("")))
+    return cut.select(*[text.alias(c) if c.lower() == "text" else F.col(f"rec.`{c}`").alias(c) for c in columns])
+
+
+def decontaminate(spark, docs, sf_dir):
+    ship(spark)
+    columns = docs.columns
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec"), F.col("text").alias("text"))
+    clean = leaks.without_leaks(rows, table(spark, sf_dir, "benchmark"))
+    return clean.select(*[F.col(f"rec.`{c}`").alias(c) for c in columns])
+
+
+def pack(spark, docs, sf_dir):
+    ship(spark)
+    return packing.pack(docs, keep=["doc_id"])
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("repeats", repeated_passages),
+          ("decontaminate", decontaminate), ("packing", pack)]
 
 #: Tokenisers, alignment and Bloom filters are beyond SQL; the tests compare
 #: every stage with a brute-force version instead.
@@ -15,7 +88,6 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir: str):
     """Apply the stages to ``documents``, each one's rows written and reread."""
-    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
