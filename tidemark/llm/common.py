@@ -8,6 +8,7 @@ of the Arrow batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import checkpoint_dir
 
 #: Bytes of text that one numpy step works on.
 BLOCK_BYTES = 1 << 20
@@ -37,10 +38,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     The shuffles behind ``df`` are then garbage; the collection lets Spark's
     cleaner drop their files at once instead of at the driver's next one.
     """
-    out = cut_lineage(df, f"llm-{name}")
-    del df
-    out.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def record(df: DataFrame, name: str = "rec") -> Column:

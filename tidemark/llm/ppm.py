@@ -39,8 +39,10 @@ ORDER = 4
 BORDER = 256
 SYMBOLS = 257
 #: Bytes of text whose events are kept and sent together.
-CHUNK = 8 << 20
+CHUNK = 16 << 20
 _WORD = U64(1) << U64(62)
+#: The key that counts the ends of texts.
+_END = _WORD
 
 
 def events(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,16 +68,24 @@ def word_keys(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, blob): compressed blocks of rows, numbered by chunk."""
     part, number, held = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        sizes = [len(v) for v in texts(batch.column("text"))]
-        chunk = np.zeros(len(sizes), np.int64)
-        for i, n in enumerate(sizes):
-            if held and held + n > CHUNK:
+        values = texts(batch.column("text"))
+        for a, b in blocks(values):
+            size = sum(map(len, values[a:b]))
+            if held and held + size > CHUNK:
                 number, held = number + 1, 0
-            held += n
-            chunk[i] = (part << 24) | number
-        yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], names=["chunk", *batch.schema.names])
+            held += size
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch.slice(a, b - a))
+            yield pa.RecordBatch.from_arrays([pa.array([(part << 24) | number], pa.int64()),
+                                              pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "blob"])
+
+
+def _rows(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all().combine_chunks()
 
 
 def _counted(keys: list[np.ndarray], train: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,24 +106,22 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(np.full(len(key), now, np.int64)), pa.array(key.view(np.int64)), pa.array(n)], names=["chunk", "key", "n"])
 
     for batch in batches:
-        values, chunk = texts(batch.column("text")), batch.column("chunk").to_numpy()
-        train = batch.column("train").to_numpy(zero_copy_only=False)
-        edge = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(values)]
-        for a, b in zip(edge, edge[1:]):
-            if a == b:
-                continue
-            if now is not None and chunk[a] != now:
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist()):
+            if now is not None and chunk != now:
                 yield out()
                 keys, counts = [], []
-            now = int(chunk[a])
-            for x, y in blocks(values[a:b]):
-                for use in (True, False):
-                    mine = [v for v, t in zip(values[a + x:a + y], train[a + x:a + y]) if t == use]
-                    if mine:
-                        for f in (events, word_keys):
-                            key, n = np.unique(f(mine)[0], return_counts=True)
-                            keys.append(key)
-                            counts.append(n.astype(np.int64) * int(use))
+            now = chunk
+            rows = _rows(blob)
+            values, train = texts(rows.column("text")), rows.column("train").to_numpy()
+            for use in (True, False):
+                mine = [v for v, t in zip(values, train) if t == use]
+                if mine:
+                    for f in (events, word_keys):
+                        key, n = np.unique(f(mine)[0], return_counts=True)
+                        keys.append(key)
+                        counts.append(n.astype(np.int64) * int(use))
+            keys.append(np.array([_END]))
+            counts.append(np.array([train.sum()], np.int64))
             if sum(map(len, keys)) > 4_000_000:
                 key, n = _counted(keys, counts)
                 keys, counts = [key], [n]
@@ -158,29 +166,45 @@ def _levels(counts: DataFrame) -> DataFrame:
     return done.select("key", F.col("f").alias("value"))
 
 
+def _nullable(kind: pa.DataType) -> pa.DataType:
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _nullable(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(_nullable(kind.value_type))
+    return kind
+
+
 def _score(key, docs: pa.Table, values: pa.Table) -> pa.Table:
-    docs, values = docs.combine_chunks(), values.combine_chunks()
+    values = values.combine_chunks()
     keys = values.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     keys, value = keys[order], values.column("value").to_numpy()[order]
-    data = texts(docs.column("text"))
-    out = np.zeros((4, len(data)))  # symbols' log10, words' log10(c + 1), words, known words
-    for a, b in blocks(data):
-        for f, row in ((events, 0), (word_keys, 1)):
-            found, per = f(data[a:b])
-            v = value[np.searchsorted(keys, found)] if len(found) else np.zeros(0)
-            ends = np.cumsum(per)
-
-            def total(x):
-                s = np.concatenate(([0.0], np.cumsum(x)))
-                return s[ends] - s[ends - per]
-
-            if row == 0:
-                out[0, a:b] = total(v)
-            else:
-                out[1, a:b], out[2, a:b], out[3, a:b] = total(np.log10(v + 1)), per, total(v > 0)
-    return pa.table({"rec": docs.column("rec"), "score": out[0], "log_words": out[1],
-                     "n_words": out[2].astype(np.int64), "known_words": out[3].astype(np.int64)})
+    rec, codes, found, per, used = [], [], [], [], []
+    blobs = docs.column("blob")
+
+    def total(x, per):
+        s, ends = np.concatenate(([0.0], np.cumsum(x))), np.cumsum(per)
+        return s[ends] - s[ends - per]
+
+    for blob in blobs:
+        rows = _rows(blob.as_py())
+        data, train = texts(rows.column("text")), rows.column("train").to_numpy()
+        rec += [c.cast(_nullable(c.type)) for c in rows.column("rec").chunks]
+        k, n = events(data)
+        codes.append(total(value[np.searchsorted(keys, k)], n))
+        k, n = word_keys(data)
+        found.append(k)
+        per.append(n)
+        used.append(np.repeat(train, n))
+    # Words of this chunk only have not come back: their count is here.
+    per = np.concatenate(per)
+    word, back = np.unique(np.concatenate(found), return_inverse=True)
+    count = np.bincount(back, weights=np.concatenate(used), minlength=len(word))
+    if len(word):
+        at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
+        count = np.where(keys[at] == word, value[at], count)
+    return pa.table({"rec": pa.chunked_array(rec), "score": np.concatenate(codes), "log_words": total(np.log10(count + 1)[back], per),
+                     "n_words": per, "known_words": total(count[back] > 0, per).astype(np.int64)})
 
 
 def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
@@ -189,17 +213,18 @@ def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
     rows = docs.select(record(docs), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
     rec = rows.schema["rec"].dataType.simpleString()
-    rows = materialise(rows.mapInArrow(_chunks, f"chunk bigint, rec {rec}, text string, train boolean"), "ppm-rows")
-    sent = materialise(rows.select("chunk", "text", "train").mapInArrow(_emit, "chunk bigint, key bigint, n bigint"), "ppm-events")
-    counts = materialise(sent.groupBy("key").agg(F.sum("n").alias("n")), "ppm-counts")
+    rows = materialise(rows.mapInArrow(_chunks, "chunk bigint, blob binary"), "ppm-rows")
+    sent = materialise(rows.mapInArrow(_emit, "chunk bigint, key bigint, n bigint"), "ppm-events")
+    counts = materialise(sent.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("senders")), "ppm-counts")
     is_word = F.col("key") >= int(_WORD)
-    ends = rows.where("train").count()
-    w = counts.where(is_word & (F.col("n") > 0)).agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    total, distinct = (w["n"] or 0) + ends, w["v"] + (1 if ends else 0)
+    w = counts.where(is_word & (F.col("n") > 0)).agg(
+        F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("key") == int(_END), F.col("n"))).alias("ends")).first()
+    total, distinct, ends = w["n"] or 0, w["v"], w["ends"] or 0
     values = _levels(counts.where(~is_word)).union(
-        counts.where(is_word).select("key", F.col("n").cast("double").alias("value")))
-    back = sent.select("chunk", "key").join(values, "key")
-    got = (rows.select("chunk", "rec", "text").groupBy("chunk").cogroup(back.groupBy("chunk"))
+        # A word of one chunk is counted there again instead of sent back.
+        counts.where(is_word & (F.col("senders") > 1)).select("key", F.col("n").cast("double").alias("value")))
+    back = materialise(sent.select("chunk", "key").join(values, "key"), "ppm-back")
+    got = (rows.groupBy("chunk").cogroup(back.groupBy("chunk"))
            .applyInArrow(_score, f"rec {rec}, score double, log_words double, n_words bigint, known_words bigint"))
     n = F.col("n_words") + 1
     return got.select(*unpack(docs.columns, {
