@@ -42,7 +42,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(frames: list[DataFrame]) -> None:
+    """Delete tables that ``materialise`` wrote and nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def record(df: DataFrame, name: str = "rec") -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K1, K2, K3, U64, blocks, materialise, mix, record, table, texts, unpack, words
+from tidemark.llm.common import K1, K2, K3, U64, blocks, discard, materialise, mix, record, table, texts, unpack, words
 
 N = 4
 NUM, DEN = 85, 100
@@ -234,6 +234,7 @@ def components(edges: DataFrame) -> DataFrame:
                         .distinct(), "edges")
     mark = None
     while True:
+        before = edges
         both = edges.union(edges.select(F.col("v"), F.col("u"))).toDF("x", "y")
         low = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("x", "m"))
         large = (both.where("y > x").join(low, "x").select(F.col("y").alias("u"), F.col("m").alias("v"))
@@ -243,6 +244,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges = (small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
                  .where("u <> v").distinct())
         edges = materialise(edges, "edges")
+        discard([before])
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(
@@ -254,6 +256,12 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
     """(node, comp) for the sets that are linked with another set; a ``node`` is
     the struct of the set's two name halves, a ``comp`` the smallest linked node."""
     node = F.struct("s1", "s2").alias("node")
+    used = []
+
+    def kept(df, name):
+        used.append(materialise(df, name))
+        return used[-1]
+
     keyed = (docs.select(F.col(text).alias("text"))
              .mapInArrow(_keyed(n, num, den), "s1 bigint, need int, list array<bigint>")
              .select(F.explode("list").alias("k"), "s1", "need"))
@@ -263,7 +271,7 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
         shared = rows.groupBy("k").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b").select("k")
         return rows.join(shared, "k", "left_semi")
 
-    near = materialise(met(keyed), "near")
+    near = kept(met(keyed), "near")
     for _ in range(PEELS):
         # Linked sets share ``need`` buckets of a scheme at least: a set that
         # meets others in fewer has no partner there.  Copies of a row from
@@ -271,12 +279,12 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
         scheme = F.col("k").bitwiseAND(F.lit(255)).alias("scheme")
         enough = (near.groupBy("s1", scheme, "need", "k").agg(F.lit(1))
                   .groupBy("s1", "scheme", "need").agg(F.count("*").alias("n")).where("n >= need").select("s1", "scheme"))
-        near = materialise(met(near.withColumn("scheme", scheme).join(enough, ["s1", "scheme"], "left_semi")
+        near = kept(met(near.withColumn("scheme", scheme).join(enough, ["s1", "scheme"], "left_semi")
                                .select("k", "s1", "need")), "near")
     bodies = (named_sets(docs.select(F.struct(F.col(text).alias("t")).alias("rec"), F.col(text).alias("text")), n, once=True)
               .select("s1", "s2", F.col("rec.t").alias("text"))
               .join(near.select("s1").distinct(), "s1", "left_semi"))
-    parts = materialise(bodies.mapInArrow(
+    parts = kept(bodies.mapInArrow(
         _cut_sets(n), "s1 bigint, s2 bigint, size bigint, part int, own array<bigint>")
         .dropDuplicates(["s1", "s2", "part"]).select(node, "size", "part", "own"), "parts")
     # N-grams of one candidate only are in no overlap: ``core`` counts the rest.
@@ -293,7 +301,7 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
 
     members = near.join(cores, "s1").select("k", "node", "size", "core").distinct()
     smallest = members.groupBy("k").agg(F.min("size").alias("least"), F.count("*").alias("m")).where("m > 1")
-    members = materialise(
+    members = kept(
         members.join(smallest, "k")
         .where(linkable(F.col("core"), F.col("size"), F.greatest("least", "core")))
         .select("k", "node", "size", "core"), "members")
@@ -303,7 +311,7 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
                  members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         open_ = (named.groupBy("k").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
                  .where("a <> b").select("k"))
-        named = materialise(named.join(open_, "k", "left_semi"), "open")
+        named = kept(named.join(open_, "k", "left_semi"), "open")
         if named.isEmpty():
             break
         slot = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(slots))
@@ -314,7 +322,7 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
                  .select(F.least("node", "p.node").alias("x"), F.greatest("node", "p.node").alias("y")).distinct())
         if done is not None:
             pairs = pairs.join(done, ["x", "y"], "left_anti")
-        pairs = materialise(pairs, "pairs")
+        pairs = kept(pairs, "pairs")
         done = pairs if done is None else done.union(pairs)
         left = parts.select(F.col("node").alias("x"), F.col("size").alias("xs"), "part", F.col("own").alias("xo"))
         right = parts.select(F.col("node").alias("y"), F.col("size").alias("ys"), "part", F.col("own").alias("yo"))
@@ -324,16 +332,19 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
                  .groupBy("x", "y", "xs", "ys").agg(F.sum("both").alias("both"))
                  .where(den * F.col("both") >= num * (F.col("xs") + F.col("ys") - F.col("both")))
                  .select(F.col("x").alias("u"), F.col("y").alias("v")))
-        found = materialise(found, "links")
+        found = kept(found, "links")
         if labels is None or not found.isEmpty():
             links = found if links is None else found.union(links)
-            labels = components(links)
+            labels = kept(components(links), "labels")
         # A pivot has met its whole bucket: it leaves.
         gone = pivots.select("k", F.col("p.node").alias("node"))
-        members = materialise(named.join(gone, ["k", "node"], "left_anti")
+        members = kept(named.join(gone, ["k", "node"], "left_anti")
                               .select("k", "node", "size", "core"), "members")
         slots, round_ = slots * MORE, round_ + 1
-    return members.select("node", F.col("node").alias("comp")).where("false") if labels is None else labels
+    out = materialise(members.select("node", F.col("node").alias("comp")).where("false") if labels is None else labels,
+                      "labels")
+    discard(used)
+    return out
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = N,

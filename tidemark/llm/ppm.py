@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, blocks, fold, joined, materialise, record, table, texts, unpack, words
+from tidemark.llm.common import U64, blocks, discard, fold, joined, materialise, record, table, texts, unpack, words
 
 ORDER = 4
 BORDER = 256
@@ -129,12 +129,15 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _levels(counts: DataFrame) -> DataFrame:
-    """(key, value): log10 probability of each event after its whole context."""
+def _levels(counts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, value): log10 probability of each event after its whole context;
+    and the tables written on the way."""
+    used: list[DataFrame] = []
     level = [counts.select("key", F.col("n").alias("c"))]
     for k in range(ORDER - 1, -1, -1):
         shorter = F.col("key").bitwiseAND(F.lit((1 << (9 * (k + 1))) - 1)).alias("key")
         level.append(materialise(level[-1].groupBy(shorter).agg(F.sum("c").alias("c")), "ppm-level"))
+        used.append(level[-1])
     level.reverse()  # level[k]: contexts of k symbols
     done = None
     for k, rows in enumerate(level):
@@ -163,7 +166,8 @@ def _levels(counts: DataFrame) -> DataFrame:
         done = rows.select("key", "c", "t", "q", "f", "g")
         if k < ORDER:
             done = materialise(done, "ppm-node")
-    return done.select("key", F.col("f").alias("value"))
+            used.append(done)
+    return done.select("key", F.col("f").alias("value")), used
 
 
 def _nullable(kind: pa.DataType) -> pa.DataType:
@@ -220,10 +224,12 @@ def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
     w = counts.where(is_word & (F.col("n") > 0)).agg(
         F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("key") == int(_END), F.col("n"))).alias("ends")).first()
     total, distinct, ends = w["n"] or 0, w["v"], w["ends"] or 0
-    values = _levels(counts.where(~is_word)).union(
+    codes, used = _levels(counts.where(~is_word))
+    values = codes.union(
         # A word of one chunk is counted there again instead of sent back.
         counts.where(is_word & (F.col("senders") > 1)).select("key", F.col("n").cast("double").alias("value")))
     back = materialise(sent.select("chunk", "key").join(values, "key"), "ppm-back")
+    discard([sent, counts, *used])
     got = (rows.groupBy("chunk").cogroup(back.groupBy("chunk"))
            .applyInArrow(_score, f"rec {rec}, score double, log_words double, n_words bigint, known_words bigint"))
     n = F.col("n_words") + 1

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K1, K2, U64, materialise, record, table, texts, unpack
+from tidemark.llm.common import K1, K2, U64, discard, materialise, record, table, texts, unpack
 
 LENGTH = 400
 #: Window starts handled at a time.
@@ -265,7 +265,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
         return read.join(need, ["r1", "r2"])
 
     # First refinement: by the extents of the anchors.
-    parts = split(found.withColumn("n", F.lit(1)), ["g"], ["l0", "l1", "e1", "e2"])
+    parts = coarse = split(found.withColumn("n", F.lit(1)), ["g"], ["l0", "l1", "e1", "e2"])
     whole = (found.join(parts.where("settled").select(*_KEYS), _KEYS, "left_semi")
              .select("r1", "r2", (F.col("at") - F.col("l1")).alias("s"), (F.col("at") - F.col("l0") + length).alias("e"))
              .distinct())
@@ -286,8 +286,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     single = (windows.where("single").join(twice, ["g", "l", "w"], "left_semi")
               .select("r1", "r2", (F.col("at") - F.col("l")).alias("s"),
                       (F.col("at") - F.col("l") + length).alias("e")))
-    return (whole.unionByName(some).unionByName(single).groupBy("r1", "r2")
-            .agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    spans = materialise(whole.unionByName(some).unionByName(single).groupBy("r1", "r2")
+                        .agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
+    discard([found, coarse, cells, parts, windows])
+    return spans
 
 
 def _cut(batches):
