@@ -3,8 +3,8 @@
 Vectors become integer rows, ``floor(scale * x)``.  Candidates and queries are
 dealt into blocks; each pair of a query block and a candidate block is one
 group.  There the candidates are turned into postings (per component, the rows
-with a non-zero weight); for each component the queries that have it scatter
-their weight times the postings into dense score arrays, and a partition
+with a non-zero weight); for a few components at a time the queries scatter
+their weights times the postings into dense score arrays, and a partition
 selection keeps each query's best.  A merge by query ranks what the blocks kept.
 
 Edge cases: rows whose vector is null, or holds a null, NaN or infinite
@@ -28,6 +28,8 @@ K, SCALE = 20, 64
 CANDIDATES, QUERIES = 8192, 2048
 #: Queries and candidates whose score array is filled at a time (stays in cache).
 TILE_Q, TILE_C = 64, 2048
+#: Components whose postings are scattered together.
+TERMS = 16
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -45,7 +47,8 @@ def _best(k: int):
             dim = max(max(map(len, t.column("v").to_pylist())) for t in (queries, rows))
             q, c = _matrix(queries.column("v"), dim), _matrix(rows.column("v"), dim)
             bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(dim, 1)
-            kind = np.int32 if bound < 2 ** 31 else np.int64
+            # Sums of this size are exact in the type.
+            kind = np.float32 if bound < 2 ** 24 else np.float64 if bound < 2 ** 53 else np.int64
             q, c = q.astype(kind), c.astype(kind)
             qid, cid = queries.column("id").to_numpy(), rows.column("id").to_numpy()
             twin = queries.column("twin").to_numpy()
@@ -56,17 +59,13 @@ def _best(k: int):
                 score = np.zeros((len(part), len(c)), kind)
                 for b in range(0, len(c), TILE_C):
                     tile, block = score[:, b:b + TILE_C], c[b:b + TILE_C]
-                    room = np.empty(tile.shape, kind)
-                    for term in range(dim):  # postings of one component
-                        weight = part[:, term]
-                        posting = np.flatnonzero(block[:, term])
-                        if not weight.any() or not len(posting):
-                            continue
-                        if len(posting) == len(block):
-                            np.multiply.outer(weight, block[:, term], out=room)
-                            tile += room
-                        else:
-                            tile[:, posting] += np.multiply.outer(weight, block[posting, term])
+                    for t in range(0, dim, TERMS):  # the postings of a few components
+                        weight, posting = part[:, t:t + TERMS], block[:, t:t + TERMS]
+                        has = np.flatnonzero(posting.any(1))
+                        if len(has) == len(block):
+                            tile += weight @ posting.T
+                        elif len(has) and weight.any():
+                            tile[:, has] += weight @ posting[has].T
                 for i in range(len(part)):
                     s, ids = score[i], cid
                     own = np.searchsorted(ids, qid[a + i]), np.searchsorted(ids, qid[a + i], "right")
