@@ -26,14 +26,22 @@ def extract_json_fields(df: DataFrame, source: str, spec: TableSpec,
 
     ``$1:field::TYPE`` becomes ``try_variant_get(parse_json(src), '$.field',
     type)``: the text is parsed once per row into a variant and each field is
-    read with its declared type; a value that does not fit gives NULL.
+    read with its declared type.  Text that is no JSON and values that do not
+    fit give NULL and a reason in ``_cast_errors`` (``bad_json``,
+    ``bad_cast:<col>``; empty when none) for the quarantine split.
     """
     v = F.try_parse_json(F.col(source))
     names = list(names) if names is not None else spec.field_names
     types = {f.name: f.dtype for f in spec.fields}
+    doc = F.col("_v")
+    got = {n: F.try_variant_get(doc, f"$.{n}", types[n]) for n in names}
+    held = {n: F.try_variant_get(doc, f"$.{n}", "variant") for n in names}
+    errors = [F.when(F.col(source).isNotNull() & doc.isNull(), F.lit("bad_json"))]
+    errors += [F.when(held[n].isNotNull() & ~F.is_variant_null(held[n]) & got[n].isNull(),
+                      F.lit(f"bad_cast:{n}")) for n in names]
     return df.withColumn("_v", v).select(
-        "*", *[F.try_variant_get(F.col("_v"), f"$.{n}", types[n]).alias(n) for n in names]
-    ).drop("_v")
+        "*", *[c.alias(n) for n, c in got.items()],
+        F.concat_ws(",", *errors).alias("_cast_errors")).drop("_v")
 
 
 def cast_row(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -10,7 +10,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.spec import OPS, TableSpec
+from tidemark.spec import OP_INSERT, OP_UPDATE, OPS, TableSpec
 
 
 def reject_reason(df: DataFrame, spec: TableSpec, strict_reference: bool = False,
@@ -19,8 +19,10 @@ def reject_reason(df: DataFrame, spec: TableSpec, strict_reference: bool = False
 
     ``null_key`` (the curated key is NOT NULL), ``null_op`` (matches no merge
     clause), ``bad_op`` (an op outside I/U/D; with ``strict_reference`` it is
-    let through, reproducing insert-if-unknown / ignore-if-known), and
-    ``too_long:<col>`` for text over its declared length.
+    let through, reproducing insert-if-unknown / ignore-if-known),
+    ``null_required:<col>`` (NULL in a NOT NULL column of the curated table; a
+    D needs no attributes) and ``too_long:<col>`` for text over its declared
+    length.
     """
     op = F.col(spec.op_col)
     parts = [F.when(F.greatest(*[F.col(k).isNull() for k in spec.keys])
@@ -29,6 +31,10 @@ def reject_reason(df: DataFrame, spec: TableSpec, strict_reference: bool = False
              F.when(op.isNull(), F.lit("null_op"))]
     if not strict_reference:
         parts.append(F.when(op.isNotNull() & ~op.isin(*OPS), F.lit("bad_op")))
+    for c in spec.required:
+        if c in df.columns:
+            parts.append(F.when(op.isin(OP_INSERT, OP_UPDATE) & F.col(c).isNull(),
+                                F.lit(f"null_required:{c}")))
     if check_lengths:
         for f in spec.fields:
             if f.max_len and f.name in df.columns:

@@ -4,12 +4,15 @@ A change file holds ``Op``, ``_timestamp`` and the source row.  RAW keeps
 every event, append-only, with its load time, source file and row number in
 the file.  Reads use an explicit schema (no inference); columns the file
 lacks read as NULL, extra file columns are ignored, names match without
-regard to case.
+regard to case.  CSV columns go by the header's names: a batch read takes the
+order from the files, a stream from ``header`` (default: declared order), and a
+file with any other header fails the read instead of being shifted.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +46,26 @@ def _normalise(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumnsRenamed({FILE_OP: spec.op_col, FILE_TS: spec.ts_col})
 
 
+def _read_csv(reader, path: str, spec: TableSpec, header: Sequence[str]) -> DataFrame:
+    """CSV columns under the names of ``header``, as text, in file-schema order."""
+    names = [h.strip() for h in header]
+    here = {h.lower(): h for h in names}
+    if len(here) < len(names):
+        raise ValueError(f"CSV header names a column twice: {names}")
+    missing = [k for k in (FILE_OP, FILE_TS, *spec.keys) if k.lower() not in here]
+    if missing:
+        raise ValueError(f"CSV header lacks {missing}: {names}")
+    # every file's header is held against this one; pruning would hide columns
+    df = (reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in names]))
+          .option("header", True).option("enforceSchema", False).option("columnPruning", False)
+          .csv(path))
+    return df.select(*[F.col(f"`{here[f.name.lower()]}`").alias(f.name) if f.name.lower() in here
+                       else F.lit(None).cast("string").alias(f.name)
+                       for f in file_schema(spec, as_text=True).fields])
+
+
 def read_changes(spark: SparkSession, path: str, spec: TableSpec,
-                 fmt: str = "parquet") -> DataFrame:
+                 fmt: str = "parquet", header: Sequence[str] | None = None) -> DataFrame:
     """Batch read of the change files under ``path`` (S1 Parquet, S9 CSV).
 
     Files are found at any depth below the prefix (capture tools write
@@ -54,24 +75,24 @@ def read_changes(spark: SparkSession, path: str, spec: TableSpec,
     if fmt == "parquet":
         df = reader.schema(file_schema(spec)).parquet(path)
     elif fmt == "csv":
-        df = reader.schema(file_schema(spec, as_text=True)).option("header", True).csv(path)
+        names = header or reader.option("header", True).csv(path).columns
+        df = _read_csv(spark.read.option("recursiveFileLookup", "true"), path, spec, names)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
     return _normalise(df, spec)
 
 
 def read_changes_stream(spark: SparkSession, path: str, spec: TableSpec,
-                        fmt: str = "parquet", max_files_per_trigger: int | None = None
-                        ) -> DataFrame:
+                        fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                        header: Sequence[str] | None = None) -> DataFrame:
     """Streaming read: each new file under ``path`` is delivered once."""
-    reader = (spark.readStream.schema(file_schema(spec, as_text=fmt == "csv"))
-              .option("recursiveFileLookup", "true"))
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "parquet":
-        df = reader.parquet(path)
+        df = reader.schema(file_schema(spec)).parquet(path)
     elif fmt == "csv":
-        df = reader.option("header", True).csv(path)
+        df = _read_csv(reader, path, spec, header or file_schema(spec).fieldNames())
     else:
         raise ValueError(f"unsupported format {fmt!r}")
     return _normalise(df, spec)
@@ -95,17 +116,31 @@ def with_ingest_metadata(df: DataFrame, loaded_at: _dt.datetime | None = None,
 
 def raw_columns(spec: TableSpec) -> list[str]:
     return ([spec.op_col, spec.ts_col] + spec.field_names
-            + ["_loaded_at", "_source_file", "_source_file_row"])
+            + ["_loaded_at", "_source_file", "_source_file_row", "_cast_errors"])
 
 
 def to_raw(changes: DataFrame, spec: TableSpec, loaded_at: _dt.datetime | None = None,
            row_index: bool = True) -> DataFrame:
-    """Change rows in RAW shape: explicit column list, metadata appended."""
+    """Change rows in RAW shape: explicit column list, metadata appended.
+
+    ``_cast_errors`` keeps the reasons of values that did not fit their type
+    (NULL or empty: none), for the quarantine split before the merge.
+    """
+    if "_cast_errors" not in changes.columns:
+        changes = changes.withColumn("_cast_errors", F.lit(None).cast("string"))
     return with_ingest_metadata(changes, loaded_at, row_index).select(*raw_columns(spec))
 
 
 def append_raw(raw: DataFrame, path: str) -> None:
-    """Append to the RAW directory (S3); RAW is never rewritten."""
+    """Append to the RAW directory (S3); RAW is never rewritten.
+
+    A directory that a streaming query writes is refused: readers follow that
+    query's log there, so rows beside it would never be seen.
+    """
+    spark = raw.sparkSession
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} belongs to a streaming sink; append to another directory")
     raw.write.mode("append").parquet(path)
 
 
@@ -116,7 +151,8 @@ def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
         + list(spec.schema.fields)
         + [T.StructField("_loaded_at", T.TimestampNTZType()),
            T.StructField("_source_file", T.StringType()),
-           T.StructField("_source_file_row", T.LongType())])
+           T.StructField("_source_file_row", T.LongType()),
+           T.StructField("_cast_errors", T.StringType())])
     return spark.read.schema(schema).parquet(path)
 
 

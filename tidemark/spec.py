@@ -73,6 +73,7 @@ class TableSpec:
     domains: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     foreign_keys: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     unique: tuple[tuple[str, ...], ...] = ()
+    required: tuple[str, ...] = ()  # NOT NULL in the curated table, beside the key
     # where change files land, relative to the landing root
     source_prefix: str = ""
     stamp_updated: str | None = None  # column stamped on update (P9)
@@ -196,6 +197,7 @@ ORDERS = TableSpec(
     surrogate_key="order_key",
     domains={"status": ORDER_STATUSES},
     foreign_keys={"customer_id": ("customers", "customer_id")},
+    required=("customer_id",),
     unique=(("order_id",),),
     source_prefix="public/orders",
     stamp_updated="updated_at",
@@ -222,6 +224,7 @@ ORDER_ITEMS = TableSpec(
     insert_only=("src_created_at",),
     surrogate_key="item_key",
     foreign_keys={"order_id": ("orders", "order_id")},
+    required=("order_id",),
     unique=(("item_id",),),
     source_prefix="public/order_items",
 )

@@ -6,9 +6,10 @@ Two independent queries per table, each with its own checkpoint:
    source's log delivers each file once; the Parquet file sink's commit log
    makes the append exactly-once.  ``_metadata`` gives file and row.
 2. **merge** -- RAW as a stream -> ``foreachBatch``: quarantine, latest event
-   per key, MERGE into the :class:`SnapshotTable`.  The micro-batch id is the
-   commit id of the table, so a batch replayed after a failure is a no-op and
-   the offset only moves on after the table committed.
+   per key, MERGE into the :class:`SnapshotTable`.  The table records the
+   query's id and micro-batch id, so a batch replayed after a failure is a
+   no-op, a query on a new checkpoint is applied, and the offset only moves on
+   after the table committed.
 
 No watermark and no late guard by default: a later batch wins even with an
 older capture time (the modelled behaviour); ``guard_late=True`` on the table
@@ -18,12 +19,13 @@ keeps the newest applied event time per key and refuses older events.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.casting import rename_to_curated
+from tidemark.functions.casting import cast_row, rename_to_curated
 from tidemark.operators.latest import latest_events
 from tidemark.operators.quality import split_tagged, tag_rejects
 from tidemark.sources.changes import read_changes_stream, read_raw, to_raw
@@ -43,14 +45,22 @@ def _trigger(writer, once: bool, schedule: str):
 
 def start_ingest(spark: SparkSession, landing: str, raw_path: str, spec: TableSpec,
                  checkpoint: str, fmt: str = "parquet", once: bool = False,
-                 schedule: str = DEFAULT_SCHEDULE) -> StreamingQuery:
-    """Auto-ingest: every new change file under ``landing`` is appended to RAW."""
-    changes = read_changes_stream(spark, landing, spec, fmt)
+                 schedule: str = DEFAULT_SCHEDULE,
+                 header: Sequence[str] | None = None) -> StreamingQuery:
+    """Auto-ingest: every new change file under ``landing`` is appended to RAW.
+
+    CSV values that do not fit their type go to RAW as NULL with their reason
+    in ``_cast_errors``; the merge quarantines such rows.
+    """
+    changes = read_changes_stream(spark, landing, spec, fmt, header=header)
     if fmt == "csv":
-        from tidemark.functions.casting import cast_row
-        changes = cast_row(changes.withColumn(spec.ts_col, F.col(spec.ts_col)
-                                              .try_cast("timestamp_ntz")), spec) \
-            .drop("_cast_errors")
+        ts = F.col(spec.ts_col)
+        bad_ts = F.when(ts.isNotNull() & ts.try_cast("timestamp_ntz").isNull(),
+                        F.lit(f"bad_cast:{spec.ts_col}"))
+        changes = (cast_row(changes.withColumn("_bad_ts", bad_ts), spec)
+                   .withColumn("_cast_errors", F.concat_ws(
+                       ",", "_bad_ts", F.nullif("_cast_errors", F.lit(""))))
+                   .withColumn(spec.ts_col, ts.try_cast("timestamp_ntz")))
     raw = to_raw(changes, spec, row_index=fmt == "parquet")
     w = (raw.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .option("path", raw_path).outputMode("append"))
@@ -60,8 +70,10 @@ def start_ingest(spark: SparkSession, landing: str, raw_path: str, spec: TableSp
 def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableSpec,
                 batch_ts: _dt.datetime | None = None, strict_reference: bool = False,
                 on_overflow: str = "quarantine", quarantine_path: str | None = None,
-                audit_path: str | None = None, strategy: str = "auto") -> bool:
-    """One micro-batch: quarantine, de-duplicate, merge, audit.  Idempotent."""
+                audit_path: str | None = None, strategy: str = "auto",
+                source: str = "") -> bool:
+    """One micro-batch: quarantine, de-duplicate, merge, audit.  Idempotent
+    per ``source``, the id of the query that numbers the batches."""
     spark = df.sparkSession
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     batch_ts = batch_ts or started
@@ -74,10 +86,10 @@ def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableS
             return False
         good, bad = split_tagged(tagged)
         if quarantine_path and n_bad:
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/{batch_id:020d}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/{source}{batch_id:020d}")
         latest = latest_events(rename_to_curated(good, spec), spec).persist()
         table.last_delta_rows = None
-        applied = table.apply(latest, batch_id, batch_ts, strategy)
+        applied = table.apply(latest, batch_id, batch_ts, strategy, source)
         n_keys = table.last_delta_rows
         if n_keys is None:  # replayed batch: apply returned before measuring
             n_keys = latest.count() if audit_path else 0
@@ -87,7 +99,7 @@ def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableS
             row = [(int(batch_id), spec.name, started, finished, n_in, n_bad, n_keys,
                     applied, "SUCCEEDED" if applied else "SKIPPED")]
             (spark.createDataFrame(row, AUDIT_COLUMNS).coalesce(1).write.mode("overwrite")
-             .parquet(f"{audit_path}/{batch_id:020d}"))
+             .parquet(f"{audit_path}/{source}{batch_id:020d}"))
         return applied
     finally:
         tagged.unpersist()
@@ -104,7 +116,9 @@ def start_merge(spark: SparkSession, raw_path: str, table: SnapshotTable, spec:
     stream = reader.parquet(raw_path)
 
     def _run(df: DataFrame, batch_id: int) -> None:
-        merge_batch(df, batch_id, table, spec, **kwargs)
+        # the id of the query's checkpoint: a new checkpoint has another one
+        query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_batch(df, batch_id, table, spec, **{"source": query, **kwargs})
 
     w = stream.writeStream.foreachBatch(_run).option("checkpointLocation", checkpoint)
     return _trigger(w, once, schedule).start()
