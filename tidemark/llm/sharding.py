@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import record, table, unpack
+from tidemark.llm.common import materialise, record, table, unpack
 
 BITS = 60
 LIMIT = 1 << 20
@@ -59,8 +59,9 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
     while True:
         cells = (open_.groupBy(F.call_function("shiftright", F.col("h"), F.lit(BITS - high)).alias("cell"))
                  .agg(F.sum("b").alias("bytes"), F.count("*").alias("n")))
-        # One row a cell: a few for each shard.
-        found = directory(cells, low, high, limit)
+        # One row a cell: a few for each shard.  Written, so that the plan of a
+        # further round grows by one join only.
+        found = materialise(directory(cells, low, high, limit), "directory")
         named = (open_.withColumn("cell", F.call_function("shiftright", F.col("h"), F.lit(BITS - high)))
                  .join(found, "cell"))
         placed.append(named.where("depth >= 0").select(
