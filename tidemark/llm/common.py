@@ -32,15 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     The shuffles behind ``df`` are then garbage; the collection lets Spark's
     cleaner drop their files at once instead of at the driver's next one.
+    ``options`` go to the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path

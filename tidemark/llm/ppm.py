@@ -40,6 +40,8 @@ BORDER = 256
 SYMBOLS = 257
 #: Bytes of text whose events are kept and sent together.
 CHUNK = 16 << 20
+#: Keys are written in order, so their differences are smaller than they are.
+_DELTAS = {"parquet.writer.version": "v2"}
 _WORD = U64(1) << U64(62)
 #: The key that counts the ends of texts.
 _END = _WORD
@@ -131,16 +133,16 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _levels(counts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(key, value): log10 probability of each event after its whole context;
-    and the tables written on the way."""
+    and the written tables that these still read."""
     used: list[DataFrame] = []
     level = [counts.select("key", F.col("n").alias("c"))]
     for k in range(ORDER - 1, -1, -1):
         shorter = F.col("key").bitwiseAND(F.lit((1 << (9 * (k + 1))) - 1)).alias("key")
-        level.append(materialise(level[-1].groupBy(shorter).agg(F.sum("c").alias("c")), "ppm-level"))
-        used.append(level[-1])
+        level.append(materialise(level[-1].groupBy(shorter).agg(F.sum("c").alias("c")), "ppm-level", **_DELTAS))
     level.reverse()  # level[k]: contexts of k symbols
     done = None
     for k, rows in enumerate(level):
+        source = [rows] if k < ORDER else []
         # A context has at most 257 symbols, so its window is small.
         own = Window.partitionBy(F.call_function("shiftright", F.col("key"), F.lit(9)))
         seen = F.when(F.col("c") > 0, 1).otherwise(0)
@@ -165,8 +167,9 @@ def _levels(counts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
                                .otherwise(F.log10(F.col("q") / whole) + F.col("g")))
         done = rows.select("key", "c", "t", "q", "f", "g")
         if k < ORDER:
-            done = materialise(done, "ppm-node")
-            used.append(done)
+            done = materialise(done, "ppm-node", **_DELTAS)
+            discard([*used, *source])
+            used = [done]
     return done.select("key", F.col("f").alias("value")), used
 
 
@@ -218,8 +221,8 @@ def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
                        F.coalesce(train, F.lit(False)).alias("train"))
     rec = rows.schema["rec"].dataType.simpleString()
     rows = materialise(rows.mapInArrow(_chunks, "chunk bigint, blob binary"), "ppm-rows")
-    sent = materialise(rows.mapInArrow(_emit, "chunk bigint, key bigint, n bigint"), "ppm-events")
-    counts = materialise(sent.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("senders")), "ppm-counts")
+    sent = materialise(rows.mapInArrow(_emit, "chunk bigint, key bigint, n bigint"), "ppm-events", **_DELTAS)
+    counts = materialise(sent.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("senders")), "ppm-counts", **_DELTAS)
     is_word = F.col("key") >= int(_WORD)
     w = counts.where(is_word & (F.col("n") > 0)).agg(
         F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("key") == int(_END), F.col("n"))).alias("ends")).first()
