@@ -56,9 +56,9 @@ def discard(frames: list[DataFrame]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def record(df: DataFrame, name: str = "rec") -> Column:
-    """All columns of ``df`` as one struct."""
-    return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(name)
+def record(df: DataFrame, name: str = "rec", keep: list[str] | None = None) -> Column:
+    """All columns of ``df``, or those to ``keep`` (one at least), as one struct."""
+    return F.struct(*[df[f"`{c}`"] for c in (df.columns if keep is None else keep)]).alias(name)
 
 
 def unpack(names: list[str], outputs: dict[str, Column], rec: str = "rec") -> list[Column]:

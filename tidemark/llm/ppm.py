@@ -214,10 +214,12 @@ def _score(key, docs: pa.Table, values: pa.Table) -> pa.Table:
                      "n_words": per, "known_words": total(count[back] > 0, per).astype(np.int64)})
 
 
-def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``
-    and ``score`` (log10 probability of the text and its end)."""
-    rows = docs.select(record(docs), F.coalesce(F.col(text), F.lit("")).alias("text"),
+def score(docs: DataFrame, train: Column, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep`` only, so that texts need not travel
+    twice) with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
+    ``score`` (log10 probability of the text and its end)."""
+    kept = docs.columns if keep is None else keep
+    rows = docs.select(record(docs, keep=kept), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
     rec = rows.schema["rec"].dataType.simpleString()
     rows = materialise(rows.mapInArrow(_chunks, "chunk bigint, blob binary"), "ppm-rows")
@@ -236,7 +238,7 @@ def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
     got = (rows.groupBy("chunk").cogroup(back.groupBy("chunk"))
            .applyInArrow(_score, f"rec {rec}, score double, log_words double, n_words bigint, known_words bigint"))
     n = F.col("n_words") + 1
-    return got.select(*unpack(docs.columns, {
+    return got.select(*unpack(kept, {
         "n_tokens": n, "n_known": F.col("known_words") + (1 if ends else 0),
         "train_tokens": F.lit(total).cast("bigint"),
         "base_score": F.col("log_words") + float(np.log10(ends + 1)) - n * float(np.log10(total + distinct + 1)),
@@ -246,5 +248,5 @@ def score(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:
 def op4_partial_matching(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = fold("doc_id") % 7 == 2
-    return score(docs, ~held).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+    return score(docs, ~held, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens",
                                      "base_score", "score")
