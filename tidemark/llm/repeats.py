@@ -292,7 +292,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     return spans
 
 
-def _cut(batches):
+def _cut(batches, whole_characters: bool):
     for batch in batches:
         values = texts(batch.column("text"))
         kept, removed, runs = [], [], []
@@ -307,6 +307,10 @@ def _cut(batches):
             np.add.at(edge, places.field(0).to_numpy(), 1)
             np.add.at(edge, places.field(1).to_numpy(), -1)
             hit = np.cumsum(edge[:-1]) > 0
+            if whole_characters:
+                lead = np.flatnonzero((np.frombuffer(v, np.uint8) & 0xC0) != 0x80)
+                lead = np.union1d(lead, [0])
+                hit = np.repeat(np.logical_or.reduceat(hit, lead), np.diff(np.append(lead, len(v))))
             turn = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
             kept.append(np.frombuffer(v, np.uint8)[~hit].tobytes())
             removed.append(int(hit.sum()))
@@ -319,21 +323,25 @@ def _cut(batches):
             names=["rec", "n_bytes", "n_removed", "removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``removed`` (maximal runs, an
-    array of start and stop) and ``kept`` (the remaining bytes)."""
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, keep: list[str] | None = None,
+                   whole_characters: bool = False) -> DataFrame:
+    """``docs`` (or its columns ``keep`` only, so that texts need not travel
+    twice) with ``n_bytes``, ``n_removed``, ``removed`` (maximal runs, an array of
+    start and stop) and ``kept`` (the remaining bytes).  With
+    ``whole_characters`` a character that a run cuts in two goes as a whole."""
     spans = repeated_spans(docs, text, length)
-    rows = docs.select(record(docs), F.col(text).alias("text"), *_digest(F.col(text)))
+    names = docs.columns if keep is None else keep
+    rows = docs.select(record(docs, keep=names), F.col(text).alias("text"), *_digest(F.col(text)))
     rec = rows.schema["rec"].dataType.simpleString()
     cut = (rows.join(spans, ["r1", "r2"], "left").select("rec", "text", "spans")
-           .mapInArrow(_cut, f"rec {rec}, n_bytes bigint, n_removed bigint, "
+           .mapInArrow(lambda batches: _cut(batches, whole_characters), f"rec {rec}, n_bytes bigint, n_removed bigint, "
                              "removed array<struct<start:bigint,stop:bigint>>, kept binary"))
     outs = {c: F.col(c) for c in ("n_bytes", "n_removed", "removed", "kept")}
-    return cut.select(*unpack(docs.columns, outs))
+    return cut.select(*unpack(names, outs))
 
 
 def op2_bucket_pointers(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = remove_repeats(docs)
+    cut = remove_repeats(docs, keep=["doc_id"])
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
