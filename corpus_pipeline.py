@@ -23,6 +23,8 @@ from tidemark.llm import jaccard, lang_id, leaks, packing, repeats
 from tidemark.llm.common import materialise, ship, table
 
 MIN_SHARE = 0.2
+#: Words a shingle of the near-duplicate stage, and the similarity from which two texts are near.
+SHINGLE, SIMILAR = 5, (80, 100)
 
 
 def language_id(spark, docs, sf_dir):
@@ -36,41 +38,40 @@ def language_id(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     ship(spark)
     columns = docs.columns
-    rec = F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec")
-    labels = jaccard.link_components(docs)
-    rows = docs.select(F.struct(rec).alias("rec"), F.col("text").alias("text"))
-    named = (jaccard.named_sets(rows).select("rec.rec", "size", F.struct("s1", "s2").alias("node"))
-             .join(labels, "node", "left")
-             .withColumn("group", F.when(F.col("size") > 0, F.coalesce("comp", "node")))
-             .withColumn("mark", F.struct(F.col("rec.doc_id").isNull().alias("z"), F.col("rec.doc_id").alias("id"),
-                                          F.xxhash64("rec").alias("h"))))
-    # One row a group and mark first, so a group of any size is a few rows a task.
-    best = (named.where("group is not null").groupBy("group", "mark").agg(F.count("*").alias("n"))
-            .groupBy("group").agg(F.min(F.struct("mark", "n")).alias("best")))
-    first = named.join(best, "group").where("mark = best.mark")
-    once = first.where("best.n = 1").select("rec")
-    equal = first.where("best.n > 1").select("rec").distinct()  # rows that are equal in all columns
-    alone = named.where("group is null").select("rec")
-    return once.union(equal).union(alone).select(*[F.col(f"rec.`{c}`").alias(c) for c in columns])
+    labels = jaccard.link_components(docs, n=SHINGLE, num=SIMILAR[0], den=SIMILAR[1])
+    # Nulls are skipped by the hash, so each column's null goes in as a flag.
+    cells = [x for c in columns for x in (docs[f"`{c}`"], docs[f"`{c}`"].isNull())]
+    digest = {"h1": F.xxhash64(*cells), "h2": F.xxhash64(F.lit(7), *cells)}
+    slim = docs.select(F.struct(docs["doc_id"].alias("id"), *[v.alias(k) for k, v in digest.items()]).alias("rec"),
+                       F.col("text").alias("text"))
+    mark = F.struct(F.col("rec.id").isNull().alias("z"), F.col("rec.id").alias("id"), "rec.h1", "rec.h2")
+    # One mark a set first, so a set that any number of rows have is a row a task.
+    best = (jaccard.named_sets(slim, SHINGLE).where("size > 0")
+            .groupBy(F.struct("s1", "s2").alias("node")).agg(F.min(mark).alias("mark"))
+            .join(labels, "node", "left").groupBy(F.coalesce("comp", "node").alias("group"))
+            .agg(F.min("mark").alias("mark")).select("mark.h1", "mark.h2"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec"),
+                       F.coalesce(docs["text"], F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("has_words"),
+                       *[v.alias(k) for k, v in digest.items()])
+    chosen = rows.where("has_words").join(best, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])  # equal rows
+    return (chosen.select("rec").union(rows.where("not has_words").select("rec"))
+            .select(*[F.col(f"rec.`{c}`").alias(c) for c in columns]))
 
 
 def repeated_passages(spark, docs, sf_dir):
     ship(spark)
     columns = docs.columns
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec"), F.col("text").alias("text"))
-    cut = repeats.remove_repeats(rows)
-    # Invalid bytes at a cut are left out; texts that lose nothing stay as they are.
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(
-        F.replace(F.try_validate_utf8(F.make_valid_utf8(F.col("kept").cast("string"))), F.lit("�"), F.lit("")))
-    return cut.select(*[text.alias(c) if c.lower() == "text" else F.col(f"rec.`{c}`").alias(c) for c in columns])
+    rest = F.struct(*[docs[f"`{c}`"] for c in columns if c.lower() != "text"])
+    rows = docs.select(F.struct(docs["text"].isNull().alias("none"), rest.alias("rest")).alias("rec"),
+                       F.col("text").alias("text"))
+    cut = repeats.remove_repeats(rows, keep=["rec"], whole_characters=True)
+    text = F.when(~F.col("rec.none"), F.col("kept").cast("string"))
+    return cut.select(*[text.alias(c) if c.lower() == "text" else F.col(f"rec.rest.`{c}`").alias(c) for c in columns])
 
 
 def decontaminate(spark, docs, sf_dir):
     ship(spark)
-    columns = docs.columns
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("rec"), F.col("text").alias("text"))
-    clean = leaks.without_leaks(rows, table(spark, sf_dir, "benchmark"))
-    return clean.select(*[F.col(f"rec.`{c}`").alias(c) for c in columns])
+    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark, docs, sf_dir):
