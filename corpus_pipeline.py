@@ -9,8 +9,10 @@ kept; every one but the last returns the columns it was given.
   language's filter (junk); everything else stays.
 * ``near_duplicates`` keeps one document of each group: the one with the
   smallest id (null ids last); of equal rows one.
-* ``repeats`` cuts the bytes of strings of 400 bytes that occur elsewhere.  A
-  character cut in two goes as a whole.  Documents stay, even empty.
+* ``repeats`` cuts strings of more than ``PASSAGE`` words that occur elsewhere,
+  however short the words, and strings of ``PASSAGE_BYTES`` bytes, which have
+  fewer words where those are long or not set apart by blanks.  A character cut
+  in two goes as a whole.  Documents stay, even empty.
 * ``decontaminate`` drops documents that hold a benchmark passage.
 * ``packing`` returns the pieces of the packed sequences.
 """
@@ -25,6 +27,8 @@ from tidemark.llm.common import materialise, ship, table
 MIN_SHARE = 0.2
 #: Words a shingle of the near-duplicate stage, and the similarity from which two texts are near.
 SHINGLE, SIMILAR = 5, (80, 100)
+#: A repeated passage has more words than this, or this many bytes.
+PASSAGE, PASSAGE_BYTES = 50, 400
 
 
 def language_id(spark, docs, sf_dir):
@@ -64,7 +68,7 @@ def repeated_passages(spark, docs, sf_dir):
     rest = F.struct(*[docs[f"`{c}`"] for c in columns if c.lower() != "text"])
     rows = docs.select(F.struct(docs["text"].isNull().alias("none"), rest.alias("rest")).alias("rec"),
                        F.col("text").alias("text"))
-    cut = repeats.remove_repeats(rows, keep=["rec"], whole_characters=True)
+    cut = repeats.remove_repeats(rows, length=PASSAGE_BYTES, keep=["rec"], whole_characters=True, over_words=PASSAGE)
     text = F.when(~F.col("rec.none"), F.col("kept").cast("string"))
     return cut.select(*[text.alias(c) if c.lower() == "text" else F.col(f"rec.rest.`{c}`").alias(c) for c in columns])
 

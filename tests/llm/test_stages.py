@@ -183,3 +183,26 @@ def test_edge_cases(spark, folder):
         out = stage(spark, df, folder)
         assert out.columns == df.columns, name
         assert Counter(map(tuple, out.collect())) == Counter(want[name]), name
+
+
+def test_passages_of_short_words(spark, folder):
+    """51 shared words go, however few their bytes; 50 stay."""
+    rng = random.Random(5)
+
+    def prose(n, low=2, high=5):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(low, high))) for _ in range(n))
+
+    exact, tiny, short = prose(51), " ".join("abcdefghij"[i * i % 7 + i % 3] for i in range(51)), prose(50)
+    assert len(exact) < 300 and len(tiny) == 101
+    half = [prose(30), prose(30)]  # two repeats of 30 words side by side are no repeat of 60
+    rows = []
+    for passage, gone, marks in ((exact, True, ("", "")), (tiny, True, ("(", "!")), (short, False, ("", ""))):
+        for k in range(3):
+            a, b = f"{prose(40)} u{len(rows)}k", f"v{len(rows)}k {prose(40)}"
+            left, right = marks if k == 1 else ("", "")
+            rows.append((len(rows), f"{a} {left}{passage}{right} {b}", f"{a} {left}{right} {b}" if gone else None))
+    for x in (f"q1q {half[0]} {half[1]} q2q", f"q3q {half[0]} q4q", f"q5q {half[1]} q6q"):
+        rows.append((len(rows), x, None))
+    df = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t, _ in rows], SCHEMA).repartition(3)
+    got = {r.doc_id: r.text for r in P.repeated_passages(spark, df, folder).collect()}
+    assert got == {i: t if want is None else want for i, t, want in rows}

@@ -32,6 +32,7 @@ long texts are cut into overlapping pieces (``PIECE`` windows), no window lost.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K1, K2, U64, discard, materialise, record, table, texts, unpack
+from tidemark.llm.common import K1, K2, SPACES, U64, byte_class, discard, materialise, record, table, texts, unpack
 
 LENGTH = 400
 #: Window starts handled at a time.
 PIECE = 1 << 18
 #: One position in so many is a candidate for an anchor at first.
 SPARSE = 32
+#: Bytes that a word needs one of: letters and digits of ASCII, and all beyond ASCII.
+_LETTERS = ~byte_class("".join(chr(i) for i in range(128) if not chr(i).isalnum()))
 
 _NAME_OF_BYTE = (np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93)) ^ (
     np.arange(1, 257, dtype=U64) * K1 >> U64(31))
@@ -292,6 +295,85 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     return spans
 
 
+def _covered(spans: pa.Scalar, size: int) -> np.ndarray:
+    """One boolean per byte of a text: whether a span covers it."""
+    edge = np.zeros(size + 1, np.int32)
+    np.add.at(edge, spans.values.field(0).to_numpy(), 1)
+    np.add.at(edge, spans.values.field(1).to_numpy(), -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def word_places(value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word: what stands between blanks and has a letter
+    or digit, without the marks at its two ends."""
+    data = np.frombuffer(value, np.uint8)
+    at = np.flatnonzero(_LETTERS[data])
+    if not len(at):
+        return at, at
+    token = np.cumsum(SPACES[data])[at]  # letters with no blank between are one word's
+    new = np.flatnonzero(np.diff(token))
+    return at[np.append(0, new + 1)], at[np.append(new, len(at) - 1)] + 1
+
+
+def _word_windows(count: int):
+    """Every string of ``count`` words that lies in the spans, with a 128-bit name."""
+    def run(batches):
+        for batch in batches:
+            r1, r2 = batch.column("r1"), batch.column("r2")
+            for i, (v, spans) in enumerate(zip(texts(batch.column("text")), batch.column("spans"))):
+                begin, end = word_places(v)
+                if len(begin) < count:
+                    continue
+                s, e = begin[:len(begin) - count + 1], end[count - 1:]
+                bare = np.concatenate(([0], np.cumsum(~_covered(spans, len(v)))))
+                inside = bare[s] == bare[e]
+                s, e = s[inside], e[inside]
+                for a in range(0, len(s), 1 << 14):
+                    x, y = s[a:a + (1 << 14)], e[a:a + (1 << 14)]
+                    name = [hashlib.blake2b(v[m:n], digest_size=16).digest() for m, n in zip(x.tolist(), y.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r1[i].as_py()] * len(x), pa.int64()), pa.array([r2[i].as_py()] * len(x), pa.int64()),
+                         pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(name, pa.binary())],
+                        names=["r1", "r2", "s", "e", "name"])
+    return run
+
+
+def _long_runs(length: int):
+    """The texts of which spans cover a run of ``length`` bytes."""
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for v, spans in zip(texts(batch.column("text")), batch.column("spans")):
+                turn = np.flatnonzero(np.diff(np.concatenate(([0], _covered(spans, len(v)).view(np.int8), [0]))))
+                keep.append(len(turn) > 0 and int((turn[1::2] - turn[::2]).max()) >= length)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["text"])
+    return run
+
+
+def repeated_passages(docs: DataFrame, text: str, length: int, over_words: int) -> DataFrame:
+    """As ``repeated_spans``, of the strings of ``length`` bytes and those of
+    more than ``over_words`` words, whatever their bytes.
+
+    A string of n words has 2n - 1 bytes or more.  So the spans of that many
+    bytes hold all places of both kinds; only within them are words named and
+    the longer strings looked for."""
+    least = max(8, 2 * over_words + 1)
+    near = repeated_spans(docs, text, min(length, least))
+    rows = docs.select(*_digest(F.col(text)), F.col(text).alias("text")).join(near, ["r1", "r2"])
+    rows = materialise(rows, "near")  # a row each of the texts with a span
+    windows = materialise(rows.mapInArrow(
+        _word_windows(over_words + 1), "r1 bigint, r2 bigint, s bigint, e bigint, name binary"), "word-windows")
+    twice = windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    wide = windows.join(twice, "name", "left_semi").select("r1", "r2", "s", "e").distinct()
+    long = near
+    if length > least:
+        long = repeated_spans(rows.mapInArrow(_long_runs(length), rows.select("text").schema), "text", length)
+    spans = materialise(wide.unionByName(long.select("r1", "r2", F.inline("spans"))).groupBy("r1", "r2")
+                        .agg(F.collect_list(F.struct("s", "e")).alias("spans")), "passages")
+    discard([rows, windows, near] + [long] * (length > least))
+    return spans
+
+
 def _cut(batches, whole_characters: bool):
     for batch in batches:
         values = texts(batch.column("text"))
@@ -303,10 +385,7 @@ def _cut(batches, whole_characters: bool):
                 removed.append(0)
                 runs.append([])
                 continue
-            edge = np.zeros(len(v) + 1, np.int32)
-            np.add.at(edge, places.field(0).to_numpy(), 1)
-            np.add.at(edge, places.field(1).to_numpy(), -1)
-            hit = np.cumsum(edge[:-1]) > 0
+            hit = _covered(spans, len(v))
             if whole_characters:
                 lead = np.flatnonzero((np.frombuffer(v, np.uint8) & 0xC0) != 0x80)
                 lead = np.union1d(lead, [0])
@@ -324,12 +403,14 @@ def _cut(batches, whole_characters: bool):
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, keep: list[str] | None = None,
-                   whole_characters: bool = False) -> DataFrame:
+                   whole_characters: bool = False, over_words: int | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep`` only, so that texts need not travel
     twice) with ``n_bytes``, ``n_removed``, ``removed`` (maximal runs, an array of
     start and stop) and ``kept`` (the remaining bytes).  With
-    ``whole_characters`` a character that a run cuts in two goes as a whole."""
-    spans = repeated_spans(docs, text, length)
+    ``whole_characters`` a character that a run cuts in two goes as a whole.
+    With ``over_words`` repeated strings of more words than that go too, though
+    they have fewer bytes than ``length``."""
+    spans = repeated_spans(docs, text, length) if over_words is None else repeated_passages(docs, text, length, over_words)
     names = docs.columns if keep is None else keep
     rows = docs.select(record(docs, keep=names), F.col(text).alias("text"), *_digest(F.col(text)))
     rec = rows.schema["rec"].dataType.simpleString()
