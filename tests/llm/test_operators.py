@@ -184,3 +184,35 @@ def test_licenses(spark):
     by = {r.doc_id: r.labels.split(",") for r in got}
     assert "cc-by-sa-4.0" in by[-1] and "apache-2.0" in by[-2] and "lgpl-3" in by[-3] and "gpl" in by[-3]
     assert licenses.scan(frame(spark).where("false")).count() == 0
+
+
+def samples_of(parts):
+    """Every text that a parsed regex stands for."""
+    out = [""]
+    for op, x in list(parts):
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(x)]
+        elif name == "IN":
+            more = [chr(c) for _, c in x]
+        elif name == "BRANCH":
+            more = [t for b in x[1] for t in samples_of(b)]
+        elif name == "SUBPATTERN":
+            more = samples_of(x[3])
+        else:
+            assert name == "MAX_REPEAT" and x[:2] == (0, 1)
+            more = ["", *samples_of(x[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_rules_alone(spark):
+    """Every text that a rule matches is found where it stands alone."""
+    rows = [(x, label) for _, regex, label, *_ in licenses.rules() for x in samples_of(re._parser.parse(regex))]
+    assert len(rows) > 1000
+    rows += [("Licensed under the LGPL 2.1", "lgpl-2.1"), ("AGPL v3", "agpl-3"), ("SPDX-License-Identifier: MPL-2.0", "mpl-2.0"),
+             ("SPDX-License-Identifier: LGPL-2.1", "lgpl-2.1"), ("the Expat License", "mit"), ("ODbL", "odbl")]
+    df = spark.createDataFrame(rows, "text string, want string").repartition(8)
+    lost = [(r.text, r.want, r.labels) for r in licenses.scan(df).collect()
+            if r.want not in r.labels.split(",")]
+    assert not lost, lost[:20]

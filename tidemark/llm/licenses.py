@@ -30,28 +30,36 @@ from tidemark.llm.common import table, unpack
 #: Fixed by the contract: phrase and label.
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
-#: (keyword, name regex, label, versions).
+#: (keyword, name regex, label, versions).  Every match of the regex has the
+#: keyword at the beginning of a word, so a name without it has its own row.
 FAMILIES = (
-    ("general public", "gnu affero general public licen[cs]e|affero gpl|agpl", "agpl", ("1", "3")),
-    ("general public", "gnu (?:lesser|library) general public licen[cs]e|lgpl", "lgpl", ("2", "2 1", "3")),
-    ("gpl", "agpl|gnu agpl", "agpl", ("1", "3")),
-    ("gpl", "lgpl|gnu lgpl", "lgpl", ("2", "2 1", "3")),
+    ("general public", "gnu affero general public licen[cs]e", "agpl", ("1", "3")),
+    ("general public", "gnu (?:lesser|library) general public licen[cs]e", "lgpl", ("2", "2 1", "3")),
+    ("affero gpl", "affero gpl", "agpl", ("1", "3")),
+    ("agpl", "agpl|gnu agpl", "agpl", ("1", "3")),
+    ("lgpl", "lgpl|gnu lgpl", "lgpl", ("2", "2 1", "3")),
     ("gpl", "gpl|gnu gpl", "gpl", ("1", "2", "3")),
     ("general public", "gnu general public licen[cs]e|general public licen[cs]e", "gpl", ("1", "2", "3")),
-    ("free documentation", "gnu free documentation licen[cs]e|gfdl", "gfdl", ("1 1", "1 2", "1 3")),
+    ("free documentation", "gnu free documentation licen[cs]e", "gfdl", ("1 1", "1 2", "1 3")),
+    ("gfdl", "gfdl", "gfdl", ("1 1", "1 2", "1 3")),
     ("apache", "apache (?:software )?licen[cs]e", "apache", ("1 0", "1 1", "2 0", "2")),
-    ("mit ", "mit licen[cs]e|mit x11 licen[cs]e|expat licen[cs]e", "mit", ()),
-    ("bsd", "bsd(?: style)? licen[cs]e|berkeley software distribution licen[cs]e", "bsd", ("2 clause", "3 clause", "4 clause")),
+    ("mit ", "mit licen[cs]e|mit x11 licen[cs]e", "mit", ()),
+    ("expat ", "expat licen[cs]e", "mit", ()),
+    ("bsd", "bsd(?: style)? licen[cs]e", "bsd", ("2 clause", "3 clause", "4 clause")),
+    ("berkeley", "berkeley software distribution licen[cs]e", "bsd", ("2 clause", "3 clause", "4 clause")),
     ("bsd", "(?:new|simplified|modified|revised) bsd licen[cs]e", "bsd", ()),
-    ("mozilla", "mozilla public licen[cs]e|mpl", "mpl", ("1 0", "1 1", "2 0")),
-    ("eclipse", "eclipse public licen[cs]e|epl", "epl", ("1 0", "2 0")),
+    ("mozilla", "mozilla public licen[cs]e", "mpl", ("1 0", "1 1", "2 0")),
+    ("mpl ", "mpl", "mpl", ("1 0", "1 1", "2 0")),
+    ("eclipse", "eclipse public licen[cs]e", "epl", ("1 0", "2 0")),
+    ("epl ", "epl", "epl", ("1 0", "2 0")),
     ("cc ", "cc by nc nd", "cc-by-nc-nd", ("2 0", "2 5", "3 0", "4 0")),
     ("cc ", "cc by nc sa", "cc-by-nc-sa", ("2 0", "2 5", "3 0", "4 0")),
     ("cc ", "cc by nc", "cc-by-nc", ("2 0", "2 5", "3 0", "4 0")),
     ("cc ", "cc by nd", "cc-by-nd", ("2 0", "2 5", "3 0", "4 0")),
     ("cc ", "cc by sa", "cc-by-sa", ("2 0", "2 5", "3 0", "4 0")),
     ("cc ", "cc by", "cc-by", ("2 0", "2 5", "3 0", "4 0")),
-    ("cc", "cc0|creative commons zero", "cc0", ("1 0",)),
+    ("cc0 ", "cc0", "cc0", ("1 0",)),
+    ("creative commons", "creative commons zero", "cc0", ("1 0",)),
     ("creative commons", "creative commons attribution share ?alike", "cc-by-sa", ("2 0", "2 5", "3 0", "4 0")),
     ("creative commons", "creative commons attribution non ?commercial", "cc-by-nc", ("2 0", "2 5", "3 0", "4 0")),
     ("creative commons", "creative commons attribution no ?deriv(?:ative)?s", "cc-by-nd", ("2 0", "2 5", "3 0", "4 0")),
@@ -61,14 +69,17 @@ FAMILIES = (
     ("isc ", "isc licen[cs]e", "isc", ()),
     ("zlib", "zlib(?: libpng)? licen[cs]e", "zlib", ()),
     ("unlicense", "the unlicense|unlicense", "unlicense", ()),
-    ("wtfpl", "wtfpl|do what the fuck you want to public licen[cs]e", "wtfpl", ("2",)),
+    ("wtfpl", "wtfpl", "wtfpl", ("2",)),
+    ("do what the", "do what the fuck you want to public licen[cs]e", "wtfpl", ("2",)),
     ("european union", "european union public licen[cs]e", "eupl", ("1 0", "1 1", "1 2")),
     ("common development", "common development and distribution licen[cs]e", "cddl", ("1 0", "1 1")),
     ("common public", "common public licen[cs]e", "cpl", ("1 0",)),
     ("microsoft", "microsoft public licen[cs]e", "ms-pl", ()),
     ("microsoft", "microsoft reciprocal licen[cs]e", "ms-rl", ()),
-    ("python", "python software foundation licen[cs]e|psf licen[cs]e", "psf", ("2", "2 0")),
-    ("open database", "open database licen[cs]e|odbl", "odbl", ("1 0",)),
+    ("python", "python software foundation licen[cs]e", "psf", ("2", "2 0")),
+    ("psf ", "psf licen[cs]e", "psf", ("2", "2 0")),
+    ("open database", "open database licen[cs]e", "odbl", ("1 0",)),
+    ("odbl", "odbl", "odbl", ("1 0",)),
     ("open font", "sil open font licen[cs]e|open font licen[cs]e", "ofl", ("1 0", "1 1")),
     ("academic free", "academic free licen[cs]e", "afl", ("2 0", "2 1", "3 0")),
     ("server side", "server side public licen[cs]e", "sspl", ("1",)),
@@ -133,17 +144,21 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     line = F.concat(F.lit(" "), F.regexp_replace(low, _GAP, " "), F.lit(" "))
     line = F.regexp_replace(line, "^ +| +$", " ")
-    table_ = F.from_json(F.lit(json.dumps([dict(zip(("k", "r", "label", "p", "w", "base"), r)) for r in rules()])),
-                         "array<struct<k:string,r:string,label:string,p:int,w:double,base:boolean>>")
+    gated: dict[str, list[dict]] = {}
+    for k, *rule in rules():
+        gated.setdefault(k, []).append(dict(zip(("r", "label", "p", "w", "base"), rule)))
+    table_ = F.from_json(F.lit(json.dumps([{"k": k, "rules": r} for k, r in gated.items()])),
+                         "array<struct<k:string,rules:array<struct<r:string,label:string,p:int,w:double,base:boolean>>>>")
     work = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("rec"), line.alias("line"))
     has = lambda k: F.contains(F.col("line"), F.concat(F.lit(" "), k))
-    keyword = reduce(or_, [has(F.lit(k)) for k in sorted({r[0] for r in rules()})])
+    keyword = reduce(or_, [has(F.lit(k)) for k in sorted(gated)])
 
     def hits_of(r: Column) -> Column:
         return F.transform(_spans(F.col("line"), r["r"]), lambda x: F.struct(
             x["s"], x["e"], r["label"].alias("label"), r["p"].alias("p"), r["w"].alias("w"), r["base"].alias("base")))
 
-    found = F.flatten(F.transform(F.filter(table_, lambda r: has(r["k"])), hits_of)).cast(_HIT)
+    run = F.flatten(F.transform(F.filter(table_, lambda g: has(g["k"])), lambda g: g["rules"]))
+    found = F.flatten(F.transform(run, hits_of)).cast(_HIT)
     work = work.select("rec", F.greatest(_blanks(F.col("line")) - 1, F.lit(0)).cast("bigint").alias("n_words"),
                        F.when(keyword, found).otherwise(F.array().cast(_HIT)).alias("hits"))
     hits = F.col("hits")
