@@ -216,3 +216,18 @@ def test_license_rules_alone(spark):
     lost = [(r.text, r.want, r.labels) for r in licenses.scan(df).collect()
             if r.want not in r.labels.split(",")]
     assert not lost, lost[:20]
+
+
+def test_packing_added_tokens(spark):
+    """The string of an added token is its id, in Latin and in other texts."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    engine = Tokenizer.from_file(str(path("byte_bpe_50k.json")))
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "你好<|endoftext|>é"), (4, "a <|endoftext| > b")]
+    want = {i: [*engine.encode(t, add_special_tokens=False).ids, 1] for i, t in rows}
+    assert want[1] == [64, 220, 50256, 275, 1]
+    got = defaultdict(dict)
+    for r in packing.pack(frame(spark, rows), window=5, with_ids=True).collect():
+        got[r.doc_id].update(enumerate(np.frombuffer(r.ids, "<u4").tolist(), r.start))
+    assert {i: [x[k] for k in sorted(x)] for i, x in got.items()} == want

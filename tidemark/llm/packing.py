@@ -8,10 +8,12 @@ of the window: each piece is a boundary record that says where the piece lies
 in its document and in its window.  No token is shuffled; only the last window
 can be short, and it alone is padded.
 
-Ids are those of ``tokenizers`` for the vocabulary file, special-token strings
-taken as ordinary text.  Texts of plain Latin script are encoded by the faster
-``tiktoken`` engine over the same vocabulary (``byte_bpe_50k.tiktoken``), which
-gives the same ids there (tested); every other text goes through ``tokenizers``.
+Ids are those of ``tokenizers`` for the vocabulary file, called with
+``add_special_tokens=False``: none is added, but the string of an added token
+(``<|endoftext|>``) in a text is that token's id.  Texts of plain Latin script
+without such a string are encoded by the faster ``tiktoken`` engine over the
+same vocabulary (``byte_bpe_50k.tiktoken``), which gives the same ids there
+(tested); every other text goes through ``tokenizers``.
 
 Edge cases: a null or empty text has the end id alone; an empty table gives no
 row; repeated rows are packed as often as they occur.
@@ -48,17 +50,22 @@ def _engines(vocabulary: str):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(P.path(f"{vocabulary}.json"))
-    exact.encode_special_tokens = True
     with open(P.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return exact, fast
 
 
+@lru_cache(maxsize=4)
+def _added(vocabulary: str) -> tuple[str, ...]:
+    return tuple(t.content for t in _engines(vocabulary)[0].get_added_tokens_decoder().values())
+
+
 def encode(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
     """The text's ids, without an end id."""
     exact, fast = _engines(vocabulary)
-    if text.isascii() or max(text) < chr(FAST_BELOW):
+    latin = text.isascii() or max(text) < chr(FAST_BELOW)
+    if latin and not any(t in text for t in _added(vocabulary)):
         return np.array(fast.encode_ordinary(text), np.uint32)
     return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
