@@ -231,3 +231,20 @@ def test_packing_added_tokens(spark):
     for r in packing.pack(frame(spark, rows), window=5, with_ids=True).collect():
         got[r.doc_id].update(enumerate(np.frombuffer(r.ids, "<u4").tolist(), r.start))
     assert {i: [x[k] for k in sorted(x)] for i, x in got.items()} == want
+
+
+def test_leaks_in_common_prose(spark):
+    """A copy with its two rare words edited is found however common the rest is."""
+    common = [f"c{j}" for j in range(24)]
+    item = common[:8] + ["rare1"] + common[8:16] + ["rare2"] + common[16:]
+    copy = [w if not w.startswith("rare") else "edited" for w in item]
+    filler = [" ".join(f"f{i}x{j}" for j in range(5)) for i in range(150)]
+    rows = [(1, f"some words {' '.join(copy)} and more")]
+    # Each common gram in 150 documents, every time between other words.
+    rows += [(10 + i, " ".join(f"{x}{j} {' '.join(common[j:j + 4])}" for j in range(21))) for i, x in enumerate(
+        f.replace(" ", "") for f in filler)]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id int, text string")
+    want = {i for i, t in rows if best_share(plain(" ".join(item)), plain(t)) >= leaks.MIN_SCORE}
+    assert 1 in want
+    assert {r.doc_id for r in leaks.find_leaks(frame(spark, rows), bench).collect()} == want
+    assert {r.doc_id for r in leaks.without_leaks(frame(spark, rows), bench).collect()} == {i for i, _ in rows} - want

@@ -1,12 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Seeds are the benchmark's word 4-grams that are rare in the corpus.  Rarity is
-the number of different contexts (word before, word after) of the seed over all
-documents, so a leaked passage that thousands of documents repeat stays rare.
-An item always keeps its ``KEEP`` rarest seeds, whatever their counts.  A second
-scan joins each document's 4-grams with the seeds; hits of one item on
-neighbouring diagonals make a window, and the window is aligned with the whole
-item by Smith-Waterman on words (match 2, mismatch and gap -1).  The score is
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Seeds are all word 4-grams of the benchmark, so what is found in a document
+depends on nothing else in the corpus.  A scan joins each document's 4-grams
+with the seeds; hits of one item on neighbouring diagonals make a window, and
+the window is aligned with the whole item by Smith-Waterman on words (match 2,
+mismatch and gap -1).  The score is
 the alignment's share of the item's best, 0 to 1; a copy with a fifth of its
 words edited still scores about 0.5, unrelated prose below 0.2.
 
@@ -31,9 +29,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import K2, K3, U64, blocks, mix, record, table, texts, unpack, words, byte_class
 
 N = 4
-#: Contexts up to which a seed is rare.
-RARE = 100
-KEEP = 8
 #: Share of the item's best alignment score that makes a leak.
 MIN_SCORE = 0.5
 BLOCK = 8 << 20
@@ -95,15 +90,6 @@ class Items:
         order = np.argsort(g[at], kind="stable")
         self.seed, self.item, self.at = g[at][order], row[at][order], (at - self.begins[row[at]])[order]
 
-    def keep(self, contexts: dict[int, int], rare: int, least: int) -> None:
-        count = np.array([contexts.get(int(s), 0) for s in self.seed.view(np.int64)])
-        order = np.lexsort((count, self.item))
-        item = self.item[order]
-        rank = np.arange(len(item)) - np.searchsorted(item, item)
-        ok = np.zeros(len(item), bool)
-        ok[order] = (rank < least) | (count[order] <= rare)
-        self.seed, self.item, self.at = self.seed[ok], self.item[ok], self.at[ok]
-
     def hits(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers with a seed, and the seed's rows as (word, seed row)."""
         if not len(self.seed):
@@ -116,25 +102,6 @@ class Items:
                 np.repeat(low[at], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
 
 
-def _contexts(items):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b = items.value
-        for batch in batches:
-            values = texts(batch.column("text"))
-            for x, y in blocks(values):
-                ids, per, _ = words(values[x:y], _SEPARATORS)
-                g, row = grams(ids, per, b.n)
-                at = np.unique(b.hits(g)[0])
-                ends = np.cumsum(per)
-                before = np.where(at > (ends - per)[row[at]], ids[np.maximum(at - 1, 0)], U64(0))
-                nxt = np.minimum(at + b.n, len(ids) - 1)
-                after = np.where(at + b.n < ends[row[at]], ids[nxt], U64(0)) if len(at) else np.zeros(0, U64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g[at].view(np.int64)), pa.array(mix(before * K2 + after).view(np.int64))],
-                    names=["seed", "context"])
-    return run
-
-
 def _leaks(items, min_score: float, clean: bool = False):
     """Leaks of each batch; or, if ``clean``, the records without any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,32 +164,28 @@ def _blocks(benchmark: DataFrame, text: str, item_id: str, limit: int) -> Iterat
         yield ids, values
 
 
-def _prepared(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str, rare: int, block: int):
-    """Blocks of the benchmark with their rare seeds, broadcast."""
+def _prepared(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str, block: int):
+    """Blocks of the benchmark with their seeds, broadcast."""
     sc = rows.sparkSession.sparkContext
     kind = benchmark.schema[item_id].dataType.simpleString()
     for ids, values in _blocks(benchmark, item_text, item_id, block):
         items = Items(ids, values)
-        seen = (rows.select("text").mapInArrow(_contexts(sc.broadcast(items)), "seed bigint, context bigint")
-                .distinct().groupBy("seed").agg(F.count("*").alias("n")))
-        # At most a row per seed of the block.
-        items.keep({r["seed"]: r["n"] for r in seen.collect()}, rare, KEEP)
         items.names = pa.array(ids, pa.int64() if kind in ("int", "bigint", "smallint") else pa.string())
         yield sc.broadcast(items)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text",
-                  item_id: str = "item_id", rare: int = RARE, min_score: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
+                  item_id: str = "item_id", min_score: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
     """The documents that hold no benchmark passage."""
     rows = docs.select(record(docs), F.col(text).alias("text"))
     out = rows
-    for items in _prepared(rows, benchmark, item_text, item_id, rare, block):
+    for items in _prepared(rows, benchmark, item_text, item_id, block):
         out = out.mapInArrow(_leaks(items, min_score, clean=True), rows.schema)
     return out.select(*unpack(docs.columns, {}))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text",
-               item_id: str = "item_id", rare: int = RARE, min_score: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
+               item_id: str = "item_id", min_score: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
     """A row per document and aligned passage: the document's columns,
     ``item_id``, ``score`` and ``stop`` (word where the passage ends)."""
     rows = docs.select(record(docs), F.col(text).alias("text"))
@@ -230,7 +193,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
     kind = benchmark.schema[item_id].dataType
     name = "bigint" if kind.simpleString() in ("int", "bigint", "smallint") else "string"
     out = None
-    for items in _prepared(rows, benchmark, item_text, item_id, rare, block):
+    for items in _prepared(rows, benchmark, item_text, item_id, block):
         found = rows.mapInArrow(_leaks(items, min_score), f"rec {rec}, item {name}, score double, stop bigint")
         out = found if out is None else out.union(found)
     if out is None:
