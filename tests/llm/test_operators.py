@@ -2,6 +2,7 @@
 repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -248,3 +249,42 @@ def test_leaks_in_common_prose(spark):
     assert 1 in want
     assert {r.doc_id for r in leaks.find_leaks(frame(spark, rows), bench).collect()} == want
     assert {r.doc_id for r in leaks.without_leaks(frame(spark, rows), bench).collect()} == {i for i, _ in rows} - want
+
+
+def test_leaks_edited_to_the_threshold(spark, monkeypatch):
+    """Copies with words replaced, dropped and put in, up to the score that makes
+    a leak and beyond, and short items in longer texts, against whole alignments."""
+    rng = random.Random(3)
+    vocabulary = [f"w{j}" for j in range(60)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate((24, 24, 40, 9, 5, 4, 3))]
+    items += [(20, "one two"), (21, "three"), (22, " ".join(f"u{j}" for j in range(24)))]
+    own = items[-1][1].split()
+    rows = [" ".join(w if j % 4 else "changed" for j, w in enumerate(own)), " changed ".join(own), " a changed b ".join(own),
+            "zero one two more", "one and nothing else", "a three in a text", "text without", f"{items[0][1]} {items[0][1]}"]
+    for _ in range(300):
+        words = rng.choice(items)[1].split()
+        rate, out = rng.choice((0.2, 0.35, 0.45, 0.5, 0.55, 0.6)), []
+        for w in words:
+            x = rng.random()
+            out += [f"x{rng.randrange(99)}"] if x < rate / 2 else [] if x < rate * 0.75 else [w, "put"] if x < rate else [w]
+        around = [" ".join(rng.choice((f"y{rng.randrange(99)}", rng.choice(vocabulary))) for _ in range(rng.randrange(30))) for _ in "ab"]
+        rows.append(f"{around[0]} {' '.join(out)} {around[1]}")
+    rows = list(enumerate(rows))
+    shares = {(i, k): best_share(plain(x), plain(t)) for i, t in rows for k, x in items}
+    want = {p: s for p, s in shares.items() if s >= leaks.MIN_SCORE}
+    assert {(0, 22), (1, 22), (3, 20), (4, 20), (5, 21)} <= set(want) and (2, 22) not in want
+    assert sum(s < 0.55 for s in want.values()) > 20 and sum(0.4 < s < 0.5 for s in shares.values()) > 20
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    found = leaks.find_leaks(frame(spark, rows), bench).collect()
+    best = defaultdict(float)
+    for r in found:
+        best[r.doc_id, r.item_id] = max(best[r.doc_id, r.item_id], r.score)
+    assert best == want
+    assert sorted(r.stop for r in found if (r.doc_id, r.item_id) == (7, 0)) == [24, 48]
+    assert {r.doc_id for r in leaks.without_leaks(frame(spark, rows), bench).collect()} == set(range(len(rows))) - {i for i, _ in want}
+    # Few hits at a time give the same regions.
+    block = leaks.Items([k for k, _ in items], [x.encode() for _, x in items])
+    ids, per, _ = leaks.words([t.encode() for _, t in rows], leaks._SEPARATORS)
+    whole = sorted(block.regions(ids, per))
+    monkeypatch.setattr(leaks, "HITS", 5)
+    assert sorted(block.regions(ids, per)) == whole

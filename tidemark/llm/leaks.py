@@ -1,20 +1,25 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: gapped word-pair seeds, then Smith-Waterman alignment.
 
-Seeds are all word 4-grams of the benchmark, so what is found in a document
-depends on nothing else in the corpus.  A scan joins each document's 4-grams
-with the seeds; hits of one item on neighbouring diagonals make a window, and
-the window is aligned with the whole item by Smith-Waterman on words (match 2,
-mismatch and gap -1).  The score is
-the alignment's share of the item's best, 0 to 1; a copy with a fifth of its
-words edited still scores about 0.5, unrelated prose below 0.2.
+A leak is a document's alignment with an item (Smith-Waterman on words, match
+2, mismatch and gap -1) that scores ``MIN_SCORE`` of the item's best or more.
+The seeds miss none of them: with m matches, x edits and n words in the item,
+2m - x >= 2sn for a score of s.  So of the m - 1 pairs of consecutive matches at
+most x / 2 <= m - sn have two or more edits between them, and ``ceil(sn) - 1`` or
+more have one edit or none: words that are one or two apart in the item and in
+the document.  These ordered pairs are the seeds.  An item of which no pair need
+be left (two words at 0.5) is looked up by its single words.
+
+Of an item's seeds the commonest of the benchmark go, half as many as must be
+hit; the rest must still be hit as often as that leaves, on diagonals no farther
+apart than the alignment's gaps allow, before anything is aligned.  What is found
+in a document depends on nothing else in the corpus.
 
 The benchmark is taken in blocks of ``BLOCK`` bytes of text, each broadcast and
 scanned for by itself; so what is sent never grows with the benchmark.  No
 document text is shuffled.
 
-Edge cases: null and empty texts and items match nothing; an item of fewer than
-four words is one seed of all its words; repeated items give a row each;
-repeated documents too.
+Edge cases: null and empty texts and items match nothing; repeated items give a
+row each; repeated documents too.
 """
 
 from __future__ import annotations
@@ -26,36 +31,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K2, K3, U64, blocks, mix, record, table, texts, unpack, words, byte_class
+from tidemark.llm.common import K2, blocks, byte_class, mix, record, table, texts, unpack, words
 
-N = 4
 #: Share of the item's best alignment score that makes a leak.
 MIN_SCORE = 0.5
 BLOCK = 8 << 20
+#: Seed hits that one numpy step works on.
+HITS = 1 << 21
 #: Everything that is not a letter or digit of ASCII, or beyond ASCII, separates words.
 _SEPARATORS = byte_class("".join(chr(i) for i in range(128) if not chr(i).isalnum()))
 
 MATCH, OTHER, GAP = 2, -1, -1
 
 
-def grams(ids: np.ndarray, per: np.ndarray, n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """n-gram name at each word (0 where too few words follow in the row), and
-    the row of each word.  Rows shorter than ``n`` have one name, at their first word."""
-    row = np.repeat(np.arange(len(per)), per)
-    ends = np.cumsum(per)
-    left = ends[row] - np.arange(len(ids))
-    out = np.zeros(len(ids), U64)
-    full = np.flatnonzero(left >= n)
-    g = np.zeros(len(full), U64)
-    for i in range(n):
-        g = mix(g * K2 + ids[full + i] + K3)
-    out[full] = g | U64(1)
-    for r in np.flatnonzero((per > 0) & (per < n)).tolist():
-        g = np.zeros(1, U64)
-        for i in range(ends[r] - per[r], ends[r]):
-            g = mix(g * K3 + ids[i:i + 1] + K2)
-        out[ends[r] - per[r]] = (g | U64(1))[0]
-    return out, row
+def pairs(ids: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the pairs of words one and two apart in a row, and the word
+    that each pair begins at."""
+    left = np.repeat(np.cumsum(per), per) - np.arange(len(ids))
+    head = mix(ids) * K2
+    one, two = np.flatnonzero(left > 1), np.flatnonzero(left > 2)
+    at = np.concatenate((one, two))
+    return mix(head[at] + ids[np.concatenate((one + 1, two + 2))]), at
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -78,31 +74,112 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 class Items:
-    """A block of the benchmark: item ids, words and sorted seeds."""
+    """A block of the benchmark: item ids, words and seeds sorted by name and item."""
 
-    def __init__(self, ids: list, values: list[bytes], n: int = N):
-        self.ids, self.n = ids, n
-        w, self.per, _ = words(values, _SEPARATORS)
+    def __init__(self, ids: list, values: list[bytes], min_score: float = MIN_SCORE):
+        self.ids = ids
+        self.words, self.per, _ = words(values, _SEPARATORS)
         self.begins = np.concatenate(([0], np.cumsum(self.per)))
-        self.words = w
-        g, row = grams(w, self.per, n)
-        at = np.flatnonzero(g)
-        order = np.argsort(g[at], kind="stable")
-        self.seed, self.item, self.at = g[at][order], row[at][order], (at - self.begins[row[at]])[order]
-
-    def hits(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers with a seed, and the seed's rows as (word, seed row)."""
-        if not len(self.seed):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        low = np.searchsorted(self.seed, g)
-        at = np.flatnonzero((self.seed[np.minimum(low, len(self.seed) - 1)] == g) & (g != 0))
-        high = np.searchsorted(self.seed, g[at], "right")
-        count = high - low[at]
-        return (np.repeat(at, count),
-                np.repeat(low[at], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-
-
-def _leaks(items, min_score: float, clean: bool = False):
+        # Least score, seeds that it leaves, and words that its gaps can shift it by.
+        self.least = np.maximum(1, np.ceil(2 * min_score * self.per - 1e-9)).astype(np.int64)
+        left = (self.least + 1) // 2 - 1
+        self.shift = np.maximum(0, 2 * self.per - self.least)
+        row = np.repeat(np.arange(len(self.per)), self.per)
+        single = (left < 1)[row]
+        name, at = pairs(self.words, self.per)
+        pair = ~single[at]
+        name, at = name[pair], at[pair]
+        self.pairs = self._sorted(name, row[at], at, np.maximum(left, 0) // 2)
+        at = np.flatnonzero(single)
+        self.singles = self._sorted(self.words[at], row[at], at, np.zeros(len(self.per), np.int64))
+        self.hits = np.maximum(1, left - np.maximum(left, 0) // 2)
+
+    def _sorted(self, name, item, at, drop):
+        """(distinct names, rank and item as one key, place in the item) of the
+        seeds but the ``drop`` commonest of each item."""
+        _, back, count = np.unique(name, return_inverse=True, return_counts=True)
+        order = np.lexsort((-count[back], item))
+        rank = np.arange(len(order)) - np.searchsorted(item[order], item[order])
+        keep = order[rank >= drop[item[order]]]
+        names, back = np.unique(name[keep], return_inverse=True)
+        key = back * len(self.per) + item[keep]
+        order = np.argsort(key, kind="stable")
+        return names, key[order], (at - self.begins[item])[keep][order]
+
+    def _hits(self, seeds, name, word, row, first: int, last: int):
+        """Pieces of at most ``HITS`` hits, or one item of one row: (row, item, diagonal)."""
+        names, key, at = seeds
+        if not len(names) or not len(name):
+            return
+        low = np.searchsorted(names, name)
+        ok = np.flatnonzero(names[np.minimum(low, len(names) - 1)] == name)
+        ok = ok[np.argsort(row[ok], kind="stable")]
+        rank, word, row = low[ok], word[ok], row[ok]
+        todo = [(0, len(ok), first, last)]
+        while todo:
+            a, b, i, j = todo.pop()
+            begin = np.searchsorted(key, rank[a:b] * len(self.per) + i)
+            count = np.searchsorted(key, rank[a:b] * len(self.per) + j) - begin
+            total = int(count.sum())
+            if total > HITS and row[a] != row[b - 1]:  # between two rows
+                cut = int(np.searchsorted(row[a:b], row[(a + b) // 2]))
+                cut = a + (cut or int(np.searchsorted(row[a:b], row[a], "right")))
+                todo += [(cut, b, i, j), (a, cut, i, j)]
+            elif total > HITS and j - i > 1:
+                todo += [(a, b, (i + j) // 2, j), (a, b, i, (i + j) // 2)]
+            elif total:
+                seed = np.repeat(begin, count) + np.arange(total) - np.repeat(np.cumsum(count) - count, count)
+                yield np.repeat(row[a:b], count), key[seed] % len(self.per), np.repeat(word[a:b], count) - at[seed]
+
+    def regions(self, ids: np.ndarray, per: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item, begin, end) of the words that every leak of the rows lies in."""
+        row = np.repeat(np.arange(len(per)), per)
+        ends = np.cumsum(per)
+        found = []
+        name, at = pairs(ids, per)
+        for seeds, n, w in ((self.pairs, name, at), (self.singles, ids, np.arange(len(ids)))):
+            for r, item, diagonal in self._hits(seeds, n, w, row[w], 0, len(self.per)):
+                order = np.lexsort((diagonal, item, r))
+                r, item, diagonal = r[order], item[order], diagonal[order]
+                i = np.arange(len(r))
+                j = i + self.hits[item] - 1
+                ok = j < len(r)
+                i, j = i[ok], j[ok]
+                ok = (r[i] == r[j]) & (item[i] == item[j]) & (diagonal[j] - diagonal[i] <= self.shift[item[i]])
+                i, j = i[ok], j[ok]
+                r, item, shift = r[i], item[i], self.shift[item[i]]
+                begin = np.maximum(diagonal[j] - shift, (ends - per)[r])
+                end = np.minimum(diagonal[i] + shift + self.per[item], ends[r])
+                # Begins and ends both rise within a row and item: overlapping ones are one region.
+                new = np.ones(len(r), bool)
+                new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (begin[1:] > end[:-1])
+                f = np.flatnonzero(new)
+                l = np.append(f[1:], len(r)) - 1 if len(f) else f
+                found.append(np.stack((r[f], item[f], begin[f], end[l])))
+        for r, item, begin, end in np.concatenate(found, 1).T.tolist() if found else ():
+            yield r, item, begin, end
+
+    def leaks(self, ids: np.ndarray, item: int, begin: int, end: int) -> list[tuple[float, int]]:
+        """(score, one past its last word) of the passages in a region: the best
+        first, then those left and right of it."""
+        own = self.words[self.begins[item]:self.begins[item + 1]]
+        out, todo = [], [(begin, end)]
+        while todo:
+            a, b = todo.pop()
+            if MATCH * min(len(own), b - a) < self.least[item]:
+                continue
+            best, size = align(own, ids[a:b])
+            if best < self.least[item]:
+                continue
+            stop = a + size
+            back = max(a, stop - len(own) - int(self.shift[item]))
+            start = stop - align(own[::-1], ids[back:stop][::-1])[1]
+            out.append((best / (MATCH * len(own)), stop))
+            todo += [(a, start), (stop, b)]
+        return out
+
+
+def _leaks(items, clean: bool = False):
     """Leaks of each batch; or, if ``clean``, the records without any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = items.value
@@ -111,33 +188,13 @@ def _leaks(items, min_score: float, clean: bool = False):
             rows, found = [], []
             for x, y in blocks(values):
                 ids, per, _ = words(values[x:y], _SEPARATORS)
-                g, row = grams(ids, per, b.n)
-                ends = np.cumsum(per)
-                at, seed = b.hits(g)
-                item = b.item[seed]
-                diagonal = at - b.at[seed]
-                order = np.lexsort((diagonal, item, row[at]))
-                i = 0
-                while i < len(order):  # hits of a document and item on close diagonals
-                    o = order[i]
-                    r, t = int(row[at[o]]), int(item[o])
-                    size = int(b.per[t])
-                    slack = size // 2 + b.n
-                    first = last = int(diagonal[o])
-                    j = i + 1
-                    while (j < len(order) and row[at[order[j]]] == r and item[order[j]] == t
-                           and diagonal[order[j]] - last <= slack):
-                        last = int(diagonal[order[j]])
-                        j += 1
-                    i = j
-                    start = max(int(ends[r] - per[r]), first - slack)
-                    stop = min(int(ends[r]), last + size + slack)
-                    own = b.words[b.begins[t]:b.begins[t] + size]
-                    best, where = align(own, ids[start:stop])
-                    score = best / (MATCH * size)
-                    if score >= min_score:
+                begins = np.cumsum(per) - per
+                for r, item, begin, end in b.regions(ids, per):
+                    if clean and rows and rows[-1] == x + r:
+                        continue
+                    for score, stop in b.leaks(ids, item, begin, end):
                         rows.append(x + r)
-                        found.append((t, score, start + where - int(ends[r] - per[r])))
+                        found.append((item, score, stop - int(begins[r])))
             if clean:
                 left = np.setdiff1d(np.arange(len(values)), rows)
                 yield batch.take(pa.array(left, pa.int64()))
@@ -164,12 +221,12 @@ def _blocks(benchmark: DataFrame, text: str, item_id: str, limit: int) -> Iterat
         yield ids, values
 
 
-def _prepared(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str, block: int):
+def _prepared(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str, min_score: float, block: int):
     """Blocks of the benchmark with their seeds, broadcast."""
     sc = rows.sparkSession.sparkContext
     kind = benchmark.schema[item_id].dataType.simpleString()
     for ids, values in _blocks(benchmark, item_text, item_id, block):
-        items = Items(ids, values)
+        items = Items(ids, values, min_score)
         items.names = pa.array(ids, pa.int64() if kind in ("int", "bigint", "smallint") else pa.string())
         yield sc.broadcast(items)
 
@@ -179,8 +236,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """The documents that hold no benchmark passage."""
     rows = docs.select(record(docs), F.col(text).alias("text"))
     out = rows
-    for items in _prepared(rows, benchmark, item_text, item_id, block):
-        out = out.mapInArrow(_leaks(items, min_score, clean=True), rows.schema)
+    for items in _prepared(rows, benchmark, item_text, item_id, min_score, block):
+        out = out.mapInArrow(_leaks(items, clean=True), rows.schema)
     return out.select(*unpack(docs.columns, {}))
 
 
@@ -193,8 +250,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
     kind = benchmark.schema[item_id].dataType
     name = "bigint" if kind.simpleString() in ("int", "bigint", "smallint") else "string"
     out = None
-    for items in _prepared(rows, benchmark, item_text, item_id, block):
-        found = rows.mapInArrow(_leaks(items, min_score), f"rec {rec}, item {name}, score double, stop bigint")
+    for items in _prepared(rows, benchmark, item_text, item_id, min_score, block):
+        found = rows.mapInArrow(_leaks(items), f"rec {rec}, item {name}, score double, stop bigint")
         out = found if out is None else out.union(found)
     if out is None:
         out = rows.select("rec", F.lit(None).cast(name).alias("item"), F.lit(0.0).alias("score"),
