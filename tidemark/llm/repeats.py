@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import K1, K2, SPACES, U64, byte_class, discard, materialise, record, table, texts, unpack
+from tidemark.llm.common import (K1, K2, SPACES, U64, blocks, byte_class, discard, joined, materialise, mix,
+                                 powers, record, table, texts, unpack)
 
 LENGTH = 400
 #: Window starts handled at a time.
@@ -295,18 +296,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     return spans
 
 
-def _covered(spans: pa.Scalar, size: int) -> np.ndarray:
-    """One boolean per byte of a text: whether a span covers it."""
-    edge = np.zeros(size + 1, np.int32)
-    np.add.at(edge, spans.values.field(0).to_numpy(), 1)
-    np.add.at(edge, spans.values.field(1).to_numpy(), -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
-def word_places(value: bytes) -> tuple[np.ndarray, np.ndarray]:
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each word: what stands between blanks and has a letter
     or digit, without the marks at its two ends."""
-    data = np.frombuffer(value, np.uint8)
     at = np.flatnonzero(_LETTERS[data])
     if not len(at):
         return at, at
@@ -315,62 +307,77 @@ def word_places(value: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at[np.append(0, new + 1)], at[np.append(new, len(at) - 1)] + 1
 
 
-def _word_windows(count: int):
-    """Every string of ``count`` words that lies in the spans, with a 128-bit name."""
+def _word_anchors(count: int):
+    """As ``_anchor_rows`` with words for bytes: the name of an anchor's words,
+    and the words that its first and last window begin at."""
+    size = 1 << max(0, (count // 3).bit_length() - 1)
+    width = count - size + 1
+
     def run(batches):
         for batch in batches:
-            r1, r2 = batch.column("r1"), batch.column("r2")
-            for i, (v, spans) in enumerate(zip(texts(batch.column("text")), batch.column("spans"))):
-                begin, end = word_places(v)
+            values = texts(batch.column("text"))
+            r1, r2 = batch.column("r1").to_numpy(), batch.column("r2").to_numpy()
+            for x, y in blocks(values):
+                data, edges = joined(values[x:y])
+                begin, end = word_places(data)
                 if len(begin) < count:
                     continue
-                s, e = begin[:len(begin) - count + 1], end[count - 1:]
-                bare = np.concatenate(([0], np.cumsum(~_covered(spans, len(v)))))
-                inside = bare[s] == bare[e]
-                s, e = s[inside], e[inside]
-                for a in range(0, len(s), 1 << 14):
-                    x, y = s[a:a + (1 << 14)], e[a:a + (1 << 14)]
-                    name = [hashlib.blake2b(v[m:n], digest_size=16).digest() for m, n in zip(x.tolist(), y.tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r1[i].as_py()] * len(x), pa.int64()), pa.array([r2[i].as_py()] * len(x), pa.int64()),
-                         pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(name, pa.binary())],
-                        names=["r1", "r2", "s", "e", "name"])
+                power, inverse = powers(len(data) + 1)
+                sums = np.concatenate((np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * power[:-1])))
+                name = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(U64) * K2)
+                h = 1
+                while h < size:
+                    name = _refine(name[:-h], name[h:])
+                    h *= 2
+                at, first, last = anchors(name, width)
+                lines = np.searchsorted(begin, edges)  # words before each row
+                row = np.searchsorted(lines, at, "right") - 1
+                first = np.maximum(first, lines[row])
+                last = np.minimum(last, lines[row + 1] - count)
+                ok = first <= last
+                at, first, last, row = at[ok], first[ok], last[ok], row[ok]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(r1[x + row]), pa.array(r2[x + row]), pa.array(first - lines[row]),
+                     pa.array(last - lines[row]), _signed(name[at])], names=["r1", "r2", "first", "last", "g"])
     return run
 
 
-def _long_runs(length: int):
-    """The texts of which spans cover a run of ``length`` bytes."""
+def _word_windows(count: int):
+    """Every string of ``count`` words of the needed anchors, with a 128-bit name."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for v, spans in zip(texts(batch.column("text")), batch.column("spans")):
-                turn = np.flatnonzero(np.diff(np.concatenate(([0], _covered(spans, len(v)).view(np.int8), [0]))))
-                keep.append(len(turn) > 0 and int((turn[1::2] - turn[::2]).max()) >= length)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["text"])
+            r1, r2 = batch.column("r1"), batch.column("r2")
+            for i, v in enumerate(texts(batch.column("text"))):
+                need = batch.column("need").slice(i, 1).flatten()
+                at = _expand(need.field("first").to_numpy(), need.field("last").to_numpy())[1]
+                begin, end = word_places(np.frombuffer(v, np.uint8))
+                s, e = begin[at], end[at + count - 1]
+                for a in range(0, len(s), 1 << 14):
+                    x, y = s[a:a + (1 << 14)], e[a:a + (1 << 14)]
+                    name = [hashlib.blake2b(v[m:n], digest_size=16).digest() for m, n in zip(x.tolist(), y.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r1[i].as_py()] * len(x), pa.int64()), pa.array([r2[i].as_py()] * len(x), pa.int64()),
+                         pa.array(x), pa.array(y), pa.array(name, pa.binary())], names=["r1", "r2", "s", "e", "name"])
     return run
 
 
-def repeated_passages(docs: DataFrame, text: str, length: int, over_words: int) -> DataFrame:
-    """As ``repeated_spans``, of the strings of ``length`` bytes and those of
-    more than ``over_words`` words, whatever their bytes.
-
-    A string of n words has 2n - 1 bytes or more.  So the spans of that many
-    bytes hold all places of both kinds; only within them are words named and
-    the longer strings looked for."""
-    least = max(8, 2 * over_words + 1)
-    near = repeated_spans(docs, text, min(length, least))
-    rows = docs.select(*_digest(F.col(text)), F.col(text).alias("text")).join(near, ["r1", "r2"])
-    rows = materialise(rows, "near")  # a row each of the texts with a span
-    windows = materialise(rows.mapInArrow(
-        _word_windows(over_words + 1), "r1 bigint, r2 bigint, s bigint, e bigint, name binary"), "word-windows")
-    twice = windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    wide = windows.join(twice, "name", "left_semi").select("r1", "r2", "s", "e").distinct()
-    long = near
-    if length > least:
-        long = repeated_spans(rows.mapInArrow(_long_runs(length), rows.select("text").schema), "text", length)
-    spans = materialise(wide.unionByName(long.select("r1", "r2", F.inline("spans"))).groupBy("r1", "r2")
-                        .agg(F.collect_list(F.struct("s", "e")).alias("spans")), "passages")
-    discard([rows, windows, near] + [long] * (length > least))
+def repeated_words(docs: DataFrame, text: str, over: int) -> DataFrame:
+    """As ``repeated_spans``, of the strings of more than ``over`` words, whatever
+    their bytes: anchors are groups of words, and the strings of those that
+    have two members are named and counted."""
+    read = docs.select(*_digest(F.col(text)), F.col(text).alias("text"))
+    found = materialise(read.mapInArrow(
+        _word_anchors(over + 1), "r1 bigint, r2 bigint, first bigint, last bigint, g bigint"), "word-anchors")
+    twice = found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    # Rows with one text have the same anchors.
+    need = (found.join(twice, "g", "left_semi").groupBy("r1", "r2")
+            .agg(F.collect_set(F.struct("first", "last")).alias("need")))
+    windows = materialise(read.join(need, ["r1", "r2"]).mapInArrow(
+        _word_windows(over + 1), "r1 bigint, r2 bigint, s bigint, e bigint, name binary"), "word-windows")
+    again = windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    spans = materialise(windows.join(again, "name", "left_semi").select("r1", "r2", "s", "e").distinct()
+                        .groupBy("r1", "r2").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "word-spans")
+    discard([found, windows])
     return spans
 
 
@@ -385,7 +392,10 @@ def _cut(batches, whole_characters: bool):
                 removed.append(0)
                 runs.append([])
                 continue
-            hit = _covered(spans, len(v))
+            edge = np.zeros(len(v) + 1, np.int32)
+            np.add.at(edge, places.field(0).to_numpy(), 1)
+            np.add.at(edge, places.field(1).to_numpy(), -1)
+            hit = np.cumsum(edge[:-1]) > 0
             if whole_characters:
                 lead = np.flatnonzero((np.frombuffer(v, np.uint8) & 0xC0) != 0x80)
                 lead = np.union1d(lead, [0])
@@ -410,7 +420,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
     ``whole_characters`` a character that a run cuts in two goes as a whole.
     With ``over_words`` repeated strings of more words than that go too, though
     they have fewer bytes than ``length``."""
-    spans = repeated_spans(docs, text, length) if over_words is None else repeated_passages(docs, text, length, over_words)
+    spans = repeated_spans(docs, text, length)
+    if over_words is not None:
+        both = spans.unionByName(repeated_words(docs, text, over_words))
+        spans = both.groupBy("r1", "r2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     names = docs.columns if keep is None else keep
     rows = docs.select(record(docs, keep=names), F.col(text).alias("text"), *_digest(F.col(text)))
     rec = rows.schema["rec"].dataType.simpleString()
