@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 from tidemark.llm.repeats import op2_bucket_pointers, remove_repeats
@@ -80,3 +81,27 @@ def test_query(spark):
             for r, (a, b, c, k) in zip(docs, brute([r.text for r in docs], 400))}
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op2_bucket_pointers(spark, d).collect()}
     assert got == want
+
+
+def test_over_words(spark):
+    """Strings of more than a number of words against a direct version."""
+    rng = random.Random(8)
+    alphabet = ["a", "bé", "c.", "(d", "--", "e-e", "f"]
+    values = ["".join(rng.choice(alphabet) + rng.choice((" ", " ", " ", "\n", "  ")) for _ in range(rng.randrange(90)))
+              for _ in range(60)]
+    values += [values[3], f"x{values[4]}y", "", None]
+    for over in (5, 9):
+        places, hits = defaultdict(list), [bytearray(len((v or "").encode())) for v in values]
+        for i, v in enumerate(values):
+            v = (v or "").encode()
+            w = [(t.start() + m.start(), t.start() + m.end()) for t in re.finditer(rb"[^\x20\x09-\x0D]+", v)
+                 for m in [re.search(rb"[0-9A-Za-z\x80-\xff](?:.*[0-9A-Za-z\x80-\xff])?", t.group())] if m]
+            for (s, _), (_, e) in zip(w, w[over:]):
+                places[v[s:e]].append((i, s, e))
+        for found in places.values():
+            for i, s, e in found if len(found) > 1 else ():
+                hits[i][s:e] = b"\1" * (e - s)
+        df = spark.createDataFrame(list(enumerate(values)), "doc_id int, text string").repartition(3)
+        got = {r.doc_id: r.kept for r in remove_repeats(df, length=4000, over_words=over).collect()}
+        want = {i: bytes(c for c, h in zip((v or "").encode(), hits[i]) if not h) for i, v in enumerate(values)}
+        assert got == want and any(map(any, hits)) and not all(map(all, hits))
