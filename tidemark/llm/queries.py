@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tidemark.llm import jaccard, lang_id, leaks, licenses, packing, ppm, repeats, sharding, token_counts, topk
+from tidemark.llm import jaccard, lang_id, leaks, licenses, packing, pieces, ppm, repeats, sharding, token_counts, topk
 from tidemark.llm.common import ship
 
 
@@ -27,6 +27,7 @@ QUERIES = {f.__name__: shipped(f) for f in (
     leaks.op8_seed_and_align,
     licenses.op9_signature_rules,
     jaccard.op10_vertical_partitions,
+    pieces.op11_prefix_table,
 )}
 
 ORACLE: dict[str, str] = {"op1_extendible_hashing": sharding.OP1_SQL, "op6_term_at_a_time": topk.OP6_SQL}
