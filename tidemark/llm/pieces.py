@@ -41,7 +41,7 @@ from tidemark.llm.common import blocks, record, table, texts, unpack
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Segments that a worker remembers, and the characters of the longest of them.
-REMEMBERED, SHORT = 1 << 18, 64
+REMEMBERED, SHORT = 1 << 17, 64
 #: Kinds of a piece in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
