@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tidemark.llm import jaccard, lang_id, leaks, licenses, packing, pieces, ppm, repeats, sharding, token_counts, topk
+from tidemark.llm import (alignment, jaccard, lang_id, leaks, licenses, packing, pieces, ppm, repeats, sharding,
+                          token_counts, topk, whitening)
 from tidemark.llm.common import ship
 
 
@@ -28,6 +29,8 @@ QUERIES = {f.__name__: shipped(f) for f in (
     licenses.op9_signature_rules,
     jaccard.op10_vertical_partitions,
     pieces.op11_prefix_table,
+    alignment.op12_merge_path,
+    whitening.op13_cholesky_jacobi,
 )}
 
 ORACLE: dict[str, str] = {"op1_extendible_hashing": sharding.OP1_SQL, "op6_term_at_a_time": topk.OP6_SQL}
