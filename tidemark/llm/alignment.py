@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import pieces as sentence
-from tidemark.llm.common import blocks, discard, materialise, record, table, texts, unpack
+from tidemark.llm.common import blocks, materialise, record, table, texts, unpack
 
 VOCABULARY = "byte_bpe_50k"
 #: Merged token ends of a piece.
@@ -45,12 +45,15 @@ PIECE = 1 << 16
 #: Highest code point that the fast byte-pair engine is used for (Latin, IPA excluded).
 FAST_BELOW = 0x250
 
-_CUT = [("row", T.LongType()), ("piece", T.IntegerType()), ("pieces", T.IntegerType()), ("a_from", T.LongType()),
-        ("b_from", T.LongType()), ("a", T.BinaryType()), ("b", T.BinaryType())]
-_MET = [("row", T.LongType()), ("piece", T.IntegerType()), ("pieces", T.IntegerType()), ("n_a", T.LongType()),
-        ("n_b", T.LongType()), ("head_a", T.StringType()), ("head_b", T.StringType()), ("mid", T.StringType()),
+#: A piece that is to be met: its ids, and the bytes before it on both sides.
+_CUT = [("row", T.LongType()), ("piece", T.IntegerType()), ("a_from", T.LongType()), ("b_from", T.LongType()),
+        ("a", T.BinaryType()), ("b", T.BinaryType())]
+_MET = [("row", T.LongType()), ("piece", T.IntegerType()), ("n_a", T.LongType()), ("n_b", T.LongType()),
+        ("head_a", T.StringType()), ("head_b", T.StringType()), ("mid", T.StringType()),
         ("tail_a", T.StringType()), ("tail_b", T.StringType()), ("links", T.ArrayType(T.LongType()))]
 _DONE = [("n_a", T.LongType()), ("n_b", T.LongType()), ("groups", T.StringType()), ("links", T.ArrayType(T.LongType()))]
+#: Small row groups: a writer holds one in memory, and the rows are wide.
+_WRITER = {"parquet.block.size": str(16 << 20)}
 
 
 def _schema(rec: T.DataType, fields: list) -> T.StructType:
@@ -73,21 +76,27 @@ class Spelling:
 
 
 @lru_cache(maxsize=2)
-def _engines(vocabulary: str):
-    """Exact engine, fast engine and spelling of a byte-level vocabulary."""
+def _exact(vocabulary: str):
     import public_tokenizers as P
-    import tiktoken
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(P.path(f"{vocabulary}.json"))
     exact.encode_special_tokens = True
+    return exact
+
+
+@lru_cache(maxsize=2)
+def _fast(vocabulary: str):
+    """Fast engine over the same vocabulary, and its spelling."""
+    import public_tokenizers as P
+    import tiktoken
+
     with open(P.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     entries = [b""] * (max(ranks.values()) + 1)
     for spelt, i in ranks.items():
         entries[i] = spelt
-    return exact, fast, Spelling(entries)
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), Spelling(entries)
 
 
 @lru_cache(maxsize=2)
@@ -108,7 +117,7 @@ def _decimals(n: int, after: str) -> np.ndarray:
 def tokenise(values: list[bytes], vocabulary: str = VOCABULARY, model: str = sentence.MODEL):
     """(a, n_a, b, n_b): ids of both tokenizers, text behind text, and how many
     a text has; none for a text that is not given back byte for byte."""
-    exact, fast, spell_a = _engines(vocabulary)
+    fast, spell_a = _fast(vocabulary)
     whole = [v.decode("utf-8", "replace") for v in values]
     ids = []
     for v in whole:
@@ -117,7 +126,7 @@ def tokenise(values: list[bytes], vocabulary: str = VOCABULARY, model: str = sen
         elif v.isascii() or max(v) < chr(FAST_BELOW):
             ids.append(np.array(fast.encode_ordinary(" " + v), np.int32))
         else:
-            ids.append(np.array(exact.encode(" " + v, add_special_tokens=False).ids, np.int32))
+            ids.append(np.array(_exact(vocabulary).encode(" " + v, add_special_tokens=False).ids, np.int32))
     n_a = np.array([len(x) for x in ids], np.int64)
     a = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     b, n_b = sentence.load(model).encode(whole)
@@ -149,35 +158,45 @@ def diagonal(a_end: np.ndarray, b_end: np.ndarray, d: int) -> tuple[int, int]:
 
 
 def _cut(piece: int, vocabulary: str, model: str):
-    """Rows -> pieces; the record goes with a document's first piece."""
+    """Rows -> documents of one piece, met at once, and the pieces of longer
+    ones as they are; the record goes with a document's first piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell_a, spell_b = _engines(vocabulary)[2], _piece_spelling(model)
+        spell_a, spell_b = _fast(vocabulary)[1], _piece_spelling(model)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             raw = texts(batch.column("text"))
             for lo, hi in blocks(raw):
                 a, n_a, b, n_b = tokenise(raw[lo:hi], vocabulary, model)
                 a_at, b_at = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
-                out = []  # document, piece, its tokens in a and b, bytes before them
-                for k, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist())):
-                    i0, j0 = int(a_at[k]), int(b_at[k])
-                    if x + y <= piece:
-                        out.append((k, 0, 1, i0, i0 + x, j0, j0 + y, 0, 0))
-                        continue
+                data_a, data_b = a.astype("<i4").tobytes(), b.astype("<i4").tobytes()
+                short = np.flatnonzero(n_a + n_b <= piece)
+                zero = np.zeros(len(short), np.int64)
+                met = meet([data_a[4 * i:4 * j] for i, j in zip(a_at[short].tolist(), (a_at + n_a)[short].tolist())],
+                           [data_b[4 * i:4 * j] for i, j in zip(b_at[short].tolist(), (b_at + n_b)[short].tolist())],
+                           zero, zero, zero == 0, spell_a, spell_b)
+                out = []  # document, piece, bytes before it, its ids
+                for k in np.flatnonzero(n_a + n_b > piece).tolist():
+                    x, y, i0, j0 = int(n_a[k]), int(n_b[k]), int(a_at[k]), int(b_at[k])
                     a_end, b_end = np.cumsum(spell_a.size[a[i0:i0 + x]]), np.cumsum(spell_b.size[b[j0:j0 + y]])
                     cuts = [(0, 0)] + [diagonal(a_end, b_end, d) for d in range(piece, x + y, piece)] + [(x, y)]
                     for p, ((i, j), (u, v)) in enumerate(zip(cuts, cuts[1:])):
-                        out.append((k, p, len(cuts) - 1, i0 + i, i0 + u, j0 + j, j0 + v,
-                                    int(a_end[i - 1]) if i else 0, int(b_end[j - 1]) if j else 0))
-                data_a, data_b = a.astype("<i4").tobytes(), b.astype("<i4").tobytes()
+                        out.append((k, p, int(a_end[i - 1]) if i else 0, int(b_end[j - 1]) if j else 0,
+                                    data_a[4 * (i0 + i):4 * (i0 + u)], data_b[4 * (j0 + j):4 * (j0 + v)]))
+                rows, wide = len(short), len(out)
+
+                def column(values, kind):  # nothing of the kind for the met documents
+                    return pa.array([None] * rows + values, kind)
+
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rec").take(pa.array([None if o[1] else lo + o[0] for o in out], pa.int64())),
-                     pa.array([row + o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                     pa.array([o[2] for o in out], pa.int32()), pa.array([o[7] for o in out], pa.int64()),
-                     pa.array([o[8] for o in out], pa.int64()),
-                     pa.array([data_a[4 * o[3]:4 * o[4]] for o in out], pa.binary()),
-                     pa.array([data_b[4 * o[5]:4 * o[6]] for o in out], pa.binary())],
-                    names=["rec"] + [n for n, _ in _CUT])
+                    [batch.column("rec").take(pa.array((lo + short).tolist() + [None if o[1] else lo + o[0] for o in out], pa.int64())),
+                     column([row + o[0] for o in out], pa.int64()), column([o[1] for o in out], pa.int32()),
+                     column([o[2] for o in out], pa.int64()), column([o[3] for o in out], pa.int64()),
+                     column([o[4] for o in out], pa.binary()), column([o[5] for o in out], pa.binary()),
+                     pa.array(met["n_a"].tolist() + [None] * wide, pa.int64()),
+                     pa.array(met["n_b"].tolist() + [None] * wide, pa.int64()),
+                     pa.array(met["mid"] + [None] * wide, pa.string()),
+                     pa.concat_arrays([met["links"], pa.nulls(wide, met["links"].type)])],
+                    names=["rec"] + [n for n, _ in _CUT + _DONE])
                 row += hi - lo
     return run
 
@@ -248,7 +267,7 @@ def meet(a: list[bytes], b: list[bytes], a_from: np.ndarray, b_from: np.ndarray,
 
 def _meet(vocabulary: str, model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell_a, spell_b = _engines(vocabulary)[2], _piece_spelling(model)
+        spell_a, spell_b = _fast(vocabulary)[1], _piece_spelling(model)
         for batch in batches:
             a, b = texts(batch.column("a")), texts(batch.column("b"))
             for lo, hi in blocks(a):
@@ -257,7 +276,7 @@ def _meet(vocabulary: str, model: str):
                            part.column("piece").to_numpy() == 0, spell_a, spell_b)
                 kinds = {"n_a": pa.int64(), "n_b": pa.int64()}
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in ("rec", "row", "piece", "pieces")]
+                    [part.column(c) for c in ("rec", "row", "piece")]
                     + [v if isinstance(v, pa.Array) else pa.array(v, kinds.get(k, pa.string())) for k, v in got.items()],
                     names=["rec"] + [n for n, _ in _MET])
     return run
@@ -298,14 +317,13 @@ def align(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, mod
     rec = (record(docs, keep=kept) if kept else F.struct(F.lit(None).cast("int").alias("k")).alias("rec"))
     rows = docs.select(rec, F.col(text).alias("text"))
     kind = rows.schema["rec"].dataType
-    cut = materialise(rows.mapInArrow(_cut(piece, vocabulary, model), _schema(kind, _CUT)), "alignment-pieces")
-    met = _schema(kind, _MET)
-    whole = cut.where("pieces = 1").mapInArrow(_meet(vocabulary, model), met)
-    parts = cut.where("pieces > 1").repartition("row", "piece").mapInArrow(_meet(vocabulary, model), met)
-    stitched = parts.groupBy("row").applyInArrow(_stitch, _schema(kind, _DONE))
-    done = materialise(whole.select("rec", "n_a", "n_b", F.col("mid").alias("groups"), "links").union(stitched),
-                       "alignment-groups")
-    discard([cut])
+    cut = materialise(rows.mapInArrow(_cut(piece, vocabulary, model), _schema(kind, _CUT + _DONE)),
+                      "alignment", **_WRITER)
+    names = ["rec"] + [n for n, _ in _DONE]
+    parts = (cut.where("row is not null").select("rec", *[n for n, _ in _CUT]).repartition("row", "piece")
+             .mapInArrow(_meet(vocabulary, model), _schema(kind, _MET)))
+    stitched = materialise(parts.groupBy("row").applyInArrow(_stitch, _schema(kind, _DONE)), "alignment-stitched", **_WRITER)
+    done = cut.where("row is null").select(*names).union(stitched)
     # Bounded by the vocabularies: see above.
     pairs = done.select(F.explode("links").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
     best = F.max("n").over(Window.partitionBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))))
