@@ -9,8 +9,10 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.spec import OP_UPDATE, TableSpec, spark_type
 
@@ -44,13 +46,44 @@ def extract_json_fields(df: DataFrame, source: str, spec: TableSpec,
         F.concat_ws(",", *errors).alias("_cast_errors")).drop("_v")
 
 
-def cast_row(df: DataFrame, spec: TableSpec) -> DataFrame:
+ON_ERROR = ("quarantine", "null", "fail")
+
+
+def _castable(spark: SparkSession, have: T.DataType, target: T.DataType) -> bool:
+    """Whether the analyzer has a cast between the two types at all."""
+    try:
+        spark.range(0).select(F.lit(None).cast(have).try_cast(target)).schema
+    except AnalysisException:
+        return False
+    return True
+
+
+def try_cast(df: DataFrame, column: str, target: T.DataType) -> tuple[Column, Column]:
+    """(value, failed): the column in the target type, NULL where it does not
+    fit.  Types without a cast, overflow, text that is no such value, and a
+    fraction that an integer cannot hold do not fit; a NULL is no failure."""
+    have, src = df.schema[column].dataType, F.col(f"`{column}`")
+    if not _castable(df.sparkSession, have, target):
+        return F.lit(None).cast(target), src.isNotNull()
+    value = src.try_cast(target)
+    failed = src.isNotNull() & value.isNull()
+    if isinstance(target, T.IntegralType) and isinstance(have, (T.FractionalType, T.DecimalType)):
+        whole = value.cast("decimal(20,0)") == src.try_cast("decimal(38,18)")
+        failed = src.isNotNull() & ~F.coalesce(whole, F.lit(False))
+        value = F.when(~failed, value)
+    return value, failed
+
+
+def cast_row(df: DataFrame, spec: TableSpec, on_error: str = "quarantine") -> DataFrame:
     """Cast every spec field to its declared type.
 
-    Uses ``try_cast`` so one bad value cannot abort a whole batch under ANSI
-    mode; failures are listed in ``_cast_errors`` as ``bad_cast:<col>`` for
-    the quarantine split.
+    ``on_error`` says what a value that does not fit does: ``quarantine`` gives
+    NULL and lists ``bad_cast:<col>`` in ``_cast_errors`` (empty when none) for
+    the quarantine split, ``null`` gives NULL without a word, ``fail`` ends the
+    query with the column's name.
     """
+    if on_error not in ON_ERROR:
+        raise ValueError(f"on_error must be one of {ON_ERROR}, not {on_error!r}")
     errors: list[Column] = []
     cols: dict[str, Column] = {}
     for f in spec.fields:
@@ -59,11 +92,13 @@ def cast_row(df: DataFrame, spec: TableSpec) -> DataFrame:
         target = spark_type(f.dtype)
         if df.schema[f.name].dataType == target:
             continue
-        src = F.col(f.name)
-        casted = src.try_cast(target)
-        cols[f.name] = casted
-        errors.append(F.when(src.isNotNull() & casted.isNull(), F.lit(f"bad_cast:{f.name}")))
-    out = df.withColumn("_cast_errors", F.concat_ws(",", *errors) if errors else F.lit(""))
+        value, failed = try_cast(df, f.name, target)
+        if on_error == "fail":
+            value = F.when(failed, F.raise_error(F.lit(f"bad_cast:{f.name}")).cast(target)).otherwise(value)
+        cols[f.name] = value
+        errors.append(F.when(failed, F.lit(f"bad_cast:{f.name}")))
+    listed = F.concat_ws(",", *errors) if errors and on_error == "quarantine" else F.lit("")
+    out = df.withColumn("_cast_errors", listed)
     return out.withColumns(cols) if cols else out
 
 

@@ -36,35 +36,67 @@ def in_last_hours(df: DataFrame, ts_col: str, end: _dt.datetime, hours: int = 24
     return df.where(within_hours_before(ts_col, end, hours))
 
 
-def load_history(raw: DataFrame, since: _dt.datetime | None = None,
+def plain_path(column: str = "_source_file") -> Column:
+    """A scan's file path as a listing spells it: ``_metadata.file_path`` is a
+    URI, with blanks and other signs escaped and three slashes after ``file:``."""
+    c = F.regexp_replace(F.col(column), r"^file:/+", "file:/")
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+LOG_COLUMNS = ("table_name string, path string, row_count bigint, rejected bigint, "
+               "loaded_at timestamp_ntz")
+
+
+def file_log(rows: DataFrame, files: Sequence[str], table: str, loaded_at: _dt.datetime) -> DataFrame:
+    """One row per file of a batch: rows loaded from it and rows with a cast
+    error.  ``files`` are the batch's landed files, so one without rows is
+    logged too; ``rows`` are the batch's RAW rows only."""
+    spark = rows.sparkSession
+    landed = spark.createDataFrame([(f,) for f in files], "path string").select(
+        F.regexp_replace("path", r"^file:/+", "file:/").alias("path"))
+    counts = rows.groupBy(plain_path().alias("path")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_cast_errors") != "").alias("bad"))
+    return landed.join(counts, "path", "left").select(
+        F.lit(table).alias("table_name"), "path", F.coalesce("n", F.lit(0)).cast("bigint").alias("row_count"),
+        F.coalesce("bad", F.lit(0)).cast("bigint").alias("rejected"), F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
+
+
+def read_file_log(spark, path: str) -> DataFrame:
+    return spark.read.schema(LOG_COLUMNS).option("recursiveFileLookup", "true").parquet(path)
+
+
+def load_history(loads: DataFrame, since: _dt.datetime | None = None,
                  until: _dt.datetime | None = None) -> DataFrame:
     """Rows and first/last load time per source file, newest first (A3).
 
-    The window filter is applied to the load time before grouping, so the
-    Parquet scan skips older row groups.
+    ``loads`` is the file log (a row per file and batch) or, where none is
+    kept, RAW itself.  The window filter is applied to the load time before
+    grouping, so the Parquet scan skips older row groups.
     """
+    logged = "row_count" in loads.columns
+    at = F.col("loaded_at" if logged else "_loaded_at")
     if since is not None:
-        raw = raw.where(F.col("_loaded_at") >= F.lit(since))
+        loads = loads.where(at >= F.lit(since))
     if until is not None:
-        raw = raw.where(F.col("_loaded_at") < F.lit(until))
-    return (raw.groupBy("_source_file")
-            .agg(F.count(F.lit(1)).alias("row_count"),
-                 F.min("_loaded_at").alias("first_load_time"),
-                 F.max("_loaded_at").alias("last_load_time"))
+        loads = loads.where(at < F.lit(until))
+    name = F.col("path") if logged else F.col("_source_file")
+    return (loads.groupBy(name.alias("_source_file"))
+            .agg((F.sum("row_count") if logged else F.count(F.lit(1))).alias("row_count"),
+                 F.min(at).alias("first_load_time"), F.max(at).alias("last_load_time"))
             .orderBy(F.col("last_load_time").desc_nulls_last(), F.col("_source_file")))
 
 
-def ingest_status(landed: DataFrame, raw: DataFrame) -> DataFrame:
+def ingest_status(landed: DataFrame, loads: DataFrame) -> DataFrame:
     """Landed vs loaded vs pending file counts (A4).
 
     ``landed`` is a file listing (``path`` column, see ``list_files``); a file
-    is loaded when RAW holds rows from it.  Both sides are de-duplicated
-    map-side, so the one full outer join on the path moves one row per file.
+    is loaded when the file log names it or, where ``loads`` is RAW, when RAW
+    holds rows from it.  Both sides are de-duplicated map-side, so the one full
+    outer join on the path moves one row per file.
     """
-    landed_p = landed.select("path", F.lit(True).alias("_landed")).distinct()
-    loaded_p = raw.select(F.col("_source_file").alias("path"), F.lit(True).alias("_loaded")) \
-        .distinct()
-    both = landed_p.join(loaded_p, "path", "full_outer")
+    loaded = loads.select(F.col("path") if "row_count" in loads.columns else plain_path().alias("path"))
+    landed_p = landed.select(F.regexp_replace("path", r"^file:/+", "file:/").alias("path"), F.lit(True).alias("_landed"))
+    both = landed_p.distinct().join(loaded.withColumn("_loaded", F.lit(True)).distinct(), "path", "full_outer")
     return both.agg(
         F.count_if(F.col("_landed").isNotNull()).alias("landed"),
         F.count_if(F.col("_loaded").isNotNull()).alias("loaded"),

@@ -144,8 +144,8 @@ def append_raw(raw: DataFrame, path: str) -> None:
     raw.write.mode("append").parquet(path)
 
 
-def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    schema = T.StructType(
+def raw_schema(spec: TableSpec) -> T.StructType:
+    return T.StructType(
         [T.StructField(spec.op_col, T.StringType()),
            T.StructField(spec.ts_col, T.TimestampNTZType())]
         + list(spec.schema.fields)
@@ -153,7 +153,10 @@ def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
            T.StructField("_source_file", T.StringType()),
            T.StructField("_source_file_row", T.LongType()),
            T.StructField("_cast_errors", T.StringType())])
-    return spark.read.schema(schema).parquet(path)
+
+
+def read_raw(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    return spark.read.schema(raw_schema(spec)).option("recursiveFileLookup", "true").parquet(path)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

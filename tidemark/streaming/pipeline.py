@@ -28,15 +28,16 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.casting import cast_row, rename_to_curated
 from tidemark.operators.latest import latest_events
 from tidemark.operators.quality import split_tagged, tag_rejects
-from tidemark.sources.changes import read_changes_stream, read_raw, to_raw
+from tidemark.sources.changes import raw_schema, read_changes_stream, to_raw
 from tidemark.sources.snapshot import SnapshotTable
 from tidemark.spec import TableSpec
+from tidemark.streaming.publish import query_id
 
 DEFAULT_SCHEDULE = "5 minutes"
 
 AUDIT_COLUMNS = ("batch_id long, table_name string, started_at timestamp_ntz, "
                  "finished_at timestamp_ntz, rows_in long, rows_rejected long, "
-                 "keys_merged long, applied boolean, state string")
+                 "keys_merged long, applied boolean, state string, error string")
 
 
 def _trigger(writer, once: bool, schedule: str):
@@ -74,32 +75,50 @@ def merge_batch(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableS
                 source: str = "") -> bool:
     """One micro-batch: quarantine, de-duplicate, merge, audit.  Idempotent
     per ``source``, the id of the query that numbers the batches."""
-    spark = df.sparkSession
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    batch_ts = batch_ts or started
+    row = {"n_in": 0, "n_bad": 0, "n_keys": 0}
+    try:
+        applied = _merge(df, batch_id, table, spec, batch_ts or started, strict_reference, on_overflow,
+                         quarantine_path, strategy, source, bool(audit_path), row)
+    except Exception as e:
+        if audit_path:  # beside the row that a repeated, successful run writes
+            _audit(df.sparkSession, f"{audit_path}/{source}{batch_id:020d}-failed-{started:%Y%m%dT%H%M%S%f}",
+                   batch_id, spec, started, row, False, "FAILED", f"{type(e).__name__}: {e}"[:2000])
+        raise
+    if audit_path and row["n_in"]:
+        _audit(df.sparkSession, f"{audit_path}/{source}{batch_id:020d}", batch_id, spec, started, row, applied,
+               "SUCCEEDED" if applied else "SKIPPED", None)
+    return applied
+
+
+def _audit(spark: SparkSession, path: str, batch_id: int, spec: TableSpec, started: _dt.datetime,
+           row: dict, applied: bool, state: str, error: str | None) -> None:
+    finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    data = [(int(batch_id), spec.name, started, finished, row["n_in"], row["n_bad"], row["n_keys"],
+             applied, state, error)]
+    spark.createDataFrame(data, AUDIT_COLUMNS).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _merge(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableSpec, batch_ts: _dt.datetime,
+           strict_reference: bool, on_overflow: str, quarantine_path: str | None, strategy: str,
+           source: str, audited: bool, row: dict) -> bool:
     tagged = tag_rejects(df, spec, strict_reference, on_overflow).persist()
     try:
         counts = tagged.agg(F.count(F.lit(1)).alias("n"),
                             F.count("_reject_reason").alias("bad")).first()
-        n_in, n_bad = int(counts["n"]), int(counts["bad"])
-        if n_in == 0:  # a zero-row file still fires a batch: skip like no data
+        row["n_in"], row["n_bad"] = int(counts["n"]), int(counts["bad"])
+        if row["n_in"] == 0:  # a zero-row file still fires a batch: skip like no data
             return False
         good, bad = split_tagged(tagged)
-        if quarantine_path and n_bad:
+        if quarantine_path and row["n_bad"]:
             bad.write.mode("overwrite").parquet(f"{quarantine_path}/{source}{batch_id:020d}")
         latest = latest_events(rename_to_curated(good, spec), spec).persist()
         table.last_delta_rows = None
         applied = table.apply(latest, batch_id, batch_ts, strategy, source)
-        n_keys = table.last_delta_rows
-        if n_keys is None:  # replayed batch: apply returned before measuring
-            n_keys = latest.count() if audit_path else 0
+        row["n_keys"] = table.last_delta_rows
+        if row["n_keys"] is None:  # replayed batch: apply returned before measuring
+            row["n_keys"] = latest.count() if audited else 0
         latest.unpersist()
-        if audit_path:
-            finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-            row = [(int(batch_id), spec.name, started, finished, n_in, n_bad, n_keys,
-                    applied, "SUCCEEDED" if applied else "SKIPPED")]
-            (spark.createDataFrame(row, AUDIT_COLUMNS).coalesce(1).write.mode("overwrite")
-             .parquet(f"{audit_path}/{source}{batch_id:020d}"))
         return applied
     finally:
         tagged.unpersist()
@@ -109,16 +128,16 @@ def start_merge(spark: SparkSession, raw_path: str, table: SnapshotTable, spec:
                 checkpoint: str, once: bool = False, schedule: str = DEFAULT_SCHEDULE,
                 max_files_per_trigger: int | None = None, **kwargs) -> StreamingQuery:
     """Change stream over RAW -> scheduled MERGE into the curated table."""
-    reader = (spark.readStream.schema(read_raw(spark, raw_path, spec).schema)
-              .option("recursiveFileLookup", "true"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(raw_path)  # a merge may start before the first ingest
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    reader = (spark.readStream.schema(raw_schema(spec)).option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_path)
 
     def _run(df: DataFrame, batch_id: int) -> None:
         # the id of the query's checkpoint: a new checkpoint has another one
-        query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        merge_batch(df, batch_id, table, spec, **{"source": query, **kwargs})
+        merge_batch(df, batch_id, table, spec, **{"source": query_id(df), **kwargs})
 
     w = stream.writeStream.foreachBatch(_run).option("checkpointLocation", checkpoint)
     return _trigger(w, once, schedule).start()
