@@ -41,7 +41,9 @@ from tidemark.llm.common import blocks, record, table, texts, unpack
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Segments that a worker remembers, and the characters of the longest of them.
-REMEMBERED, SHORT = 1 << 17, 64
+REMEMBERED, SHORT = 1 << 18, 64
+#: Bytes of text that are encoded together.
+BLOCK = 1 << 18
 #: Kinds of a piece in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -91,7 +93,7 @@ class Pieces:
             automaton.add_word(p, (i, len(p)))
         automaton.make_automaton()
         self.ends = automaton.iter
-        self.fit: dict[tuple[int, int], bool] = {}
+        self.fit: dict[int, bool] = {}  # by the first id times 2^32, plus the second
         self.known = Segments(self)
         self._surfaces(proto)
 
@@ -153,12 +155,9 @@ class Pieces:
     # -- encoding ------------------------------------------------------------
     def fits(self, a: int, b: int) -> bool:
         """Whether token ``b`` may follow token ``a``: no merge crosses."""
-        key = (a, b)
-        got = self.fit.get(key)
-        if got is None:
-            if len(self.fit) >= REMEMBERED:
-                self.fit.clear()
-            got = self.fit[key] = self._fits(self.text[a], self.text[b])
+        if len(self.fit) >= REMEMBERED:
+            self.fit.clear()
+        got = self.fit[a << 32 | b] = self._fits(self.text[a], self.text[b])
         return got
 
     def _fits(self, left: str, right: str) -> bool:
@@ -185,13 +184,21 @@ class Pieces:
         if len(s) == 1 and s not in self.ids:
             return [self.byte_ids[b] for b in s.encode("utf-8", "replace")]
         last = [-1] * (len(s) + 1)
-        fits = self.fits
+        known = self.fit.get
         for end, (token, size) in self.ends(s):
             end += 1
             if last[end] < 0:
                 start = end - size
-                if start == 0 or (last[start] >= 0 and fits(last[start], token)):
-                    last[end] = token
+                if start:
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    fits = known(before << 32 | token)
+                    if fits is None:
+                        fits = self.fits(before, token)
+                    if not fits:
+                        continue
+                last[end] = token
         out, at = [], len(s)
         while at:
             out.append(last[at])
@@ -283,7 +290,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, output: str
         pieces = load(model)
         for batch in batches:
             raw = texts(batch.column("text"))
-            for a, b in blocks(raw):
+            for a, b in blocks(raw, BLOCK):
                 ids, per = pieces.encode([v.decode("utf-8", "replace") for v in raw[a:b]])
                 yield pa.RecordBatch.from_arrays([batch.column("rec").slice(a, b - a), _lists(ids, per)],
                                                  names=["rec", "ids"])
