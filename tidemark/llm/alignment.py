@@ -51,11 +51,32 @@ _CUT = [("row", T.LongType()), ("piece", T.IntegerType()), ("a_from", T.LongType
 _MET = [("row", T.LongType()), ("piece", T.IntegerType()), ("n_a", T.LongType()), ("n_b", T.LongType()),
         ("head_a", T.StringType()), ("head_b", T.StringType()), ("mid", T.StringType()),
         ("tail_a", T.StringType()), ("tail_b", T.StringType()), ("links", T.ArrayType(T.LongType()))]
-_DONE = [("n_a", T.LongType()), ("n_b", T.LongType()), ("groups", T.StringType()), ("links", T.ArrayType(T.LongType()))]
+#: A document: its groups as compressed text, several times as short as plain.
+_DONE = [("n_a", T.LongType()), ("n_b", T.LongType()), ("packed", T.BinaryType()), ("links", T.ArrayType(T.LongType()))]
 #: Small row groups: a writer holds one in memory, and the rows are wide.
 _WRITER = {"parquet.block.size": str(16 << 20)}
 
 
+#: Bytes of text that are tokenised and met together.
+BLOCK = 1 << 18
+#: Characters of groups that leave a task together.
+OUT_CHARS = 4 << 20
+
+
+def _pack(values: list[str]) -> pa.Array:
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return pa.array([squeeze(v.encode()) if v else b"" for v in values], pa.binary())
+
+
+def _unpack(values: list[bytes]) -> list[str]:
+    import zstandard
+
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(v).decode() if v else "" for v in values]
+
+
 def _schema(rec: T.DataType, fields: list) -> T.StructType:
     return T.StructType([T.StructField("rec", rec)] + [T.StructField(n, t) for n, t in fields])
 
@@ -165,7 +186,7 @@ def _cut(piece: int, vocabulary: str, model: str):
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             raw = texts(batch.column("text"))
-            for lo, hi in blocks(raw):
+            for lo, hi in blocks(raw, BLOCK):
                 a, n_a, b, n_b = tokenise(raw[lo:hi], vocabulary, model)
                 a_at, b_at = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
                 data_a, data_b = a.astype("<i4").tobytes(), b.astype("<i4").tobytes()
@@ -194,7 +215,7 @@ def _cut(piece: int, vocabulary: str, model: str):
                      column([o[4] for o in out], pa.binary()), column([o[5] for o in out], pa.binary()),
                      pa.array(met["n_a"].tolist() + [None] * wide, pa.int64()),
                      pa.array(met["n_b"].tolist() + [None] * wide, pa.int64()),
-                     pa.array(met["mid"] + [None] * wide, pa.string()),
+                     pa.concat_arrays([_pack(met["mid"]), pa.nulls(wide, pa.binary())]),
                      pa.concat_arrays([met["links"], pa.nulls(wide, met["links"].type)])],
                     names=["rec"] + [n for n, _ in _CUT + _DONE])
                 row += hi - lo
@@ -305,7 +326,7 @@ def _stitch(rows: pa.Table) -> pa.Table:
         "rec": rows.column("rec").slice(0, 1),
         "n_a": pa.array([sum(rows.column("n_a").to_pylist())], pa.int64()),
         "n_b": pa.array([sum(rows.column("n_b").to_pylist())], pa.int64()),
-        "groups": pa.array([";".join(said)], pa.string()),
+        "packed": _pack([";".join(said)]),
         "links": pa.ListArray.from_arrays(pa.array([0, len(links)], pa.int32()), links)})
 
 
@@ -338,12 +359,17 @@ def align(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, mod
             edge = column.offsets.to_numpy() - column.offsets[0].as_py()
             at = np.searchsorted(pair, column.flatten().to_numpy())
             sums = [np.diff(np.concatenate(([0], np.cumsum(v)))[edge]) for v in (is_best[at].astype(np.int64), times[at])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rec"), batch.column("n_a"), batch.column("n_b"), batch.column("groups"),
-                 pa.array(np.diff(edge), pa.int64()), *[pa.array(s, pa.int64()) for s in sums]],
-                names=["rec", "n_a", "n_b", "groups", "n_links", "n_best", "count_sum"])
+            packed = texts(batch.column("packed"))
+            # A few documents at a time: their groups are much longer than what came in.
+            for lo, hi in blocks(packed, OUT_CHARS >> 3):
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rec"), part.column("n_a"), part.column("n_b"),
+                     pa.array(_unpack(packed[lo:hi]), pa.string()), pa.array(np.diff(edge)[lo:hi], pa.int64()),
+                     *[pa.array(v[lo:hi], pa.int64()) for v in sums]],
+                    names=["rec", "n_a", "n_b", "groups", "n_links", "n_best", "count_sum"])
 
-    fields = _DONE[:3] + [(c, T.LongType()) for c in ("n_links", "n_best", "count_sum")]
+    fields = _DONE[:2] + [("groups", T.StringType())] + [(c, T.LongType()) for c in ("n_links", "n_best", "count_sum")]
     scored = done.mapInArrow(score, _schema(kind, fields))
     # Every group ends where one token of each side ends.
     return scored.select(*unpack(kept, {
