@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
 from tidemark.spec import TableSpec
 
 
@@ -34,6 +35,28 @@ def assign_keys(rows: DataFrame, keys: Sequence[str], name: str,
             .drop("_slot", "_rn"))
 
 
+def dense_keys(rows: DataFrame, order: Sequence[str], name: str, base: int = 0) -> DataFrame:
+    """Gap-free surrogate keys ``base + 1, base + 2, ...`` in the order of the
+    columns ``order``, which must be unique.
+
+    Two passes and no single task: the rows are ranged and sorted by ``order``
+    and written with their place in their partition; the partitions' row counts
+    (a row a partition) are prefix-summed into offsets and broadcast.  The
+    result depends on the rows alone, not on the number of partitions or any
+    setting: a stream that numbers each batch's new rows by key and a replay
+    that numbers all rows by (first batch, key) give the same keys.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_part"), at.alias("_at")), "keys")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+               .select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")))
+    return (placed.join(F.broadcast(offsets), "_part")
+            .withColumn(name, (F.lit(int(base) + 1).cast("bigint") + F.col("_before") + F.col("_at")).cast("bigint"))
+            .drop("_part", "_at", "_before"))
+
+
 def with_computed(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Add (or refresh) the computed columns of ``spec`` from stored columns."""
     if not spec.computed:

@@ -15,24 +15,27 @@ Physical strategy (chosen per batch from the measured size of the delta):
   and keeps the rest, inserts are ``latest LEFT ANTI broadcast(touched)`` with
   ``touched = target.keys LEFT SEMI broadcast(latest.keys)``.  The target is
   streamed once per join and never shuffled.
-* ``shuffle``: one full outer join on the key (sort-merge or shuffled hash,
-  AQE splits skewed partitions).  Used when the delta is too large to
-  broadcast; a full outer join cannot broadcast either side.
+* ``shuffle``: one full outer join on the key.  Used when the delta is too
+  large to broadcast; a full outer join can neither broadcast a side nor have
+  its partitions split, but both sides hold each key once, so none is skewed.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.keys import assign_keys, with_computed
+from tidemark.operators.keys import assign_keys, dense_keys, with_computed
 from tidemark.spec import OP_DELETE, OP_INSERT, OP_UPDATE, TableSpec
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Spark's own default threshold, which says nothing about the user's wish.
+SPARK_DEFAULT = 10 * 1024 * 1024
 
 
 def size_terms(df: DataFrame) -> tuple[int, Column]:
@@ -63,14 +66,15 @@ def estimated_bytes(df: DataFrame) -> tuple[int, int]:
 
 
 def broadcast_limit(df: DataFrame, override: int | None = None) -> int:
+    """Bytes up to which a measured delta is broadcast: ``override``, else the
+    session's ``spark.sql.autoBroadcastJoinThreshold`` where it is set to other
+    than Spark's default (-1: never), else ``DEFAULT_BROADCAST_BYTES``."""
     if override is not None:
         return override
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        v = int(str(conf).lower().replace("b", "")) if conf else -1
-    except ValueError:
-        v = -1
-    return max(v, DEFAULT_BROADCAST_BYTES)
+    text = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text).groups()
+    size = int(number) * 1024 ** " kmgt".index(unit or " ")
+    return DEFAULT_BROADCAST_BYTES if size == SPARK_DEFAULT else size
 
 
 def choose_strategy(latest: DataFrame, strategy: str = "auto",
@@ -133,13 +137,16 @@ def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
                   batch_ts: _dt.datetime | Column, *, strategy: str = "auto",
                   key_base: int | Column = 0, guard_late: bool = False,
                   max_broadcast_bytes: int | None = None,
-                  delta_bytes: int | None = None, key_slots: int | None = None) -> DataFrame:
+                  delta_bytes: int | None = None, key_slots: int | None = None,
+                  dense: bool = False) -> DataFrame:
     """Apply one batch of de-duplicated events ``latest`` to ``target``.
 
     ``latest`` has one row per key with ``spec.op_col``, ``spec.ts_col`` and
     the curated event columns.  ``target`` has ``spec.curated_columns``
     (computed columns may be absent; they are recomputed).  Returns the new
-    full table.  ``key_base`` is the largest surrogate key already used.
+    full table.  ``key_base`` is the largest surrogate key already used;
+    ``dense`` numbers the new rows without gaps, in key order (``key_base`` is
+    then the number of rows of ``target``).
     """
     keys = list(spec.keys)
     bts = batch_ts if isinstance(batch_ts, Column) else F.lit(batch_ts)
@@ -178,8 +185,9 @@ def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
         raise ValueError(f"unknown strategy {strategy!r}")
 
     if spec.surrogate_key:
-        new = assign_keys(new.drop(spec.surrogate_key), keys, spec.surrogate_key, key_base,
-                          key_slots)
+        new = new.drop(spec.surrogate_key)
+        new = (dense_keys(new, keys, spec.surrogate_key, int(key_base)) if dense
+               else assign_keys(new, keys, spec.surrogate_key, key_base, key_slots))
     out = kept.unionByName(new)
     out = with_computed(out, spec)
     cols = [c for c in spec.curated_columns if c in out.columns]

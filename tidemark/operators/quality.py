@@ -131,7 +131,8 @@ def total_mismatch(parent: DataFrame, lines: DataFrame, key: str, parent_total:
     """Parents whose stored total differs from the sum of their lines (Q7).
 
     Lines are summed per key (partial aggregate map-side) before the join, so
-    the join sees one row per parent.  A parent without lines has sum 0.
+    the join sees one row per parent.  A parent without lines has sum 0; a
+    stored total of NULL differs from every sum.
     """
     sums = lines.groupBy(key).agg(F.sum(line_amount).cast(f"decimal({precision},2)")
                                   .alias("line_sum"))
@@ -139,7 +140,7 @@ def total_mismatch(parent: DataFrame, lines: DataFrame, key: str, parent_total:
                           .alias("stored_total"))
             .join(sums, key, "left")
             .withColumn("line_sum", F.coalesce("line_sum", F.lit(0).cast(f"decimal({precision},2)")))
-            .where(F.col("stored_total") != F.col("line_sum")))
+            .where(~F.col("stored_total").eqNullSafe(F.col("line_sum"))))
 
 
 def recomputed_mismatch(df: DataFrame, stored: str, recomputed: Column) -> DataFrame:

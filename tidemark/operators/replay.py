@@ -24,13 +24,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import assign_keys, with_computed
+from tidemark.operators.keys import assign_keys, dense_keys, with_computed
 from tidemark.operators.latest import latest_events
 from tidemark.spec import OP_DELETE, TableSpec
 
 
 def replay_changes(events: DataFrame, spec: TableSpec, batch_col: str,
-                   batch_ts_col: str | None = None, with_keys: bool = True) -> DataFrame:
+                   batch_ts_col: str | None = None, with_keys: bool = True,
+                   dense: bool = False) -> DataFrame:
+    """The curated table.  ``dense`` gives the surrogate keys that batch-wise
+    merges with ``dense`` give: gap-free, by first batch and key."""
     keys = list(spec.keys)
     op = spec.op_col
     batch_ts_col = batch_ts_col or batch_col
@@ -63,9 +66,10 @@ def replay_changes(events: DataFrame, spec: TableSpec, batch_col: str,
         cols.append(F.col("_ins._bts").alias("dw_first_seen_at"))
     cols.append(F.col("_last._bts").alias("dw_last_updated_at"))
     cols.append((F.col("_last._op") == F.lit(OP_DELETE)).alias("is_deleted"))
-    out = folded.select(*cols)
-    out = with_computed(out, spec)
-    if with_keys and spec.surrogate_key:
+    out = with_computed(folded.select(*cols, "_first_live"), spec)
+    if with_keys and spec.surrogate_key and dense:
+        out = dense_keys(out, ["_first_live", *keys], spec.surrogate_key)
+    elif with_keys and spec.surrogate_key:
         out = assign_keys(out, keys, spec.surrogate_key, key_base=F.lit(0))
     return out.select(*[c for c in spec.curated_columns
                         if c in out.columns])

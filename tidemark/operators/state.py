@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import assign_keys, with_computed
+from tidemark.operators.keys import dense_keys, with_computed
 from tidemark.operators.latest import latest_events
 from tidemark.spec import OP_DELETE, TableSpec
 
@@ -71,7 +71,8 @@ def advance(state: DataFrame | None, events: DataFrame, spec: TableSpec, batch_c
 
 
 def curated(state: DataFrame, spec: TableSpec, with_keys: bool = True) -> DataFrame:
-    """The curated table that a state stands for (equal to :func:`replay_changes`)."""
+    """The curated table that a state stands for (equal to :func:`replay_changes`
+    with ``dense`` keys)."""
     keys, upd, _ = _columns(spec)
     cols = [F.col(k) for k in keys]
     cols += [F.col(f"_live.{c}" if c in upd else f"_first.{c}").alias(c)
@@ -80,7 +81,8 @@ def curated(state: DataFrame, spec: TableSpec, with_keys: bool = True) -> DataFr
         cols.append(F.col("_first._bts").alias("dw_first_seen_at"))
     cols += [F.col("_last._bts").alias("dw_last_updated_at"),
              (F.col("_last._op") == F.lit(OP_DELETE)).alias("is_deleted")]
-    out = with_computed(state.where(F.col("_first").isNotNull()).select(*cols), spec)
+    first = F.col(f"_first.{BATCH}").alias("_first_live")
+    out = with_computed(state.where(F.col("_first").isNotNull()).select(*cols, first), spec)
     if with_keys and spec.surrogate_key:
-        out = assign_keys(out, keys, spec.surrogate_key, key_base=F.lit(0))
+        out = dense_keys(out, ["_first_live", *keys], spec.surrogate_key)
     return out.select(*[c for c in spec.curated_columns if c in out.columns])

@@ -20,7 +20,9 @@ from tidemark.operators.latest import latest_events
 from tidemark.operators.merge import empty_target, merge_changes, size_terms
 from tidemark.operators.replay import replay_changes
 from tidemark.plans import views as V
+from tidemark.plans.curated import QUERIES as CURATED
 from tidemark.session import cut_lineage
+from tidemark.sources.changes import with_ingest_metadata
 from tidemark.spec import ORDERS, Field, TableSpec
 
 SNAPSHOT_CUTOFF = _dt.datetime(1998, 7, 1)
@@ -96,8 +98,9 @@ def merge_batches(log: DataFrame, spec: TableSpec, batch_col: str = "b",
         if target is None:
             target = empty_target(log.sparkSession, spec, latest.schema)
         bts = V.BATCH_BASE + _dt.timedelta(days=int(b))
-        target = cut_lineage(merge_changes(target, latest, spec, bts, strategy=strategy,
-                                           delta_bytes=sizes[b]), spec.name)
+        used = target.count() if spec.surrogate_key else 0  # keys are dense
+        target = cut_lineage(merge_changes(target, latest, spec, bts, strategy=strategy, key_base=used,
+                                           delta_bytes=sizes[b], dense=True), spec.name)
     return target
 
 
@@ -167,7 +170,7 @@ def raw_project(spark, d):
         F.col("o_orderdate").alias("order_date"), F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("total_amount"),
         F.col("o_orderpriority").alias("shipping_method"))
-    typed = cast_row(o, ORDERS).drop("_cast_errors")
+    typed = cast_row(o, ORDERS).withColumnRenamed("_cast_errors", "cast_errors")
     return rename_to_curated(typed, ORDERS)
 
 
@@ -296,32 +299,35 @@ def layer_counts(spark, d):
     })
 
 
-# -- A3 / A4 / S4 / S7 (rows-only: outputs hold absolute file paths) ---------
+# -- A3 / A4 / S4 / S7 (A4 is rows-only: SQL cannot list files) ---------------
 LOADED_AT = _dt.datetime(2024, 1, 15, 6)
 RAW_TABLES = ("orders", "lineitem", "events")
 
 
-def _raw_layer(spark, d):
-    """The three change-carrying tables as one RAW-like frame: source file,
-    row number in file and load time per row (``_metadata``)."""
-    from tidemark.sources.changes import with_ingest_metadata
+def _file_log(spark, d):
+    """The file log as ingest keeps it: a row per landed file, written once."""
+    from tidemark.sources.changes import list_files
 
-    out = None
+    logs = None
     for t in RAW_TABLES:
-        part = with_ingest_metadata(V.table(spark, d, t).select(F.lit(t).alias("tbl")),
-                                    LOADED_AT)
-        out = part if out is None else out.unionByName(part)
-    return out
+        rows = with_ingest_metadata(V.table(spark, d, t).select(F.lit("").alias("_cast_errors")), LOADED_AT)
+        files = [r.path for r in list_files(spark, f"{d}/{t}.parquet", "*.parquet").select("path").collect()]
+        part = audit.file_log(rows, files, t, LOADED_AT)
+        logs = part if logs is None else logs.unionByName(part)
+    return cut_lineage(logs, "file-log")
 
 
 def load_history(spark, d):
-    return audit.load_history(_raw_layer(spark, d), since=LOADED_AT - _dt.timedelta(hours=24))
+    """Rows and load times per file, by file name, out of the file log."""
+    h = audit.load_history(_file_log(spark, d), since=LOADED_AT - _dt.timedelta(hours=24))
+    return h.select(F.regexp_extract("_source_file", "([^/]+)$", 1).alias("file_name"), "row_count",
+                    "first_load_time", "last_load_time")
 
 
 def ingest_status(spark, d):
     from tidemark.sources.changes import list_files
 
-    return audit.ingest_status(list_files(spark, d, "*.parquet"), _raw_layer(spark, d))
+    return audit.ingest_status(list_files(spark, d, "*.parquet"), _file_log(spark, d))
 
 
 QUERIES: dict[str, Query] = {
@@ -359,4 +365,5 @@ QUERIES: dict[str, Query] = {
     "layer_counts": layer_counts,
     "load_history": load_history,
     "ingest_status": ingest_status,
+    **CURATED,
 }

@@ -123,7 +123,8 @@ FROM ({IC_SQL}) i""",
                      "FROM events",
     "raw_project": """SELECT o_orderkey AS order_id, o_custkey AS customer_id,
   CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status,
-  CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount, o_orderpriority AS shipping_method
+  CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount, o_orderpriority AS shipping_method,
+  '' AS cast_errors
 FROM orders""",
     "date_minus_days": "SELECT o_orderkey, CAST(o_orderdate AS DATE) - 10 AS order_date_minus_10 "
                        "FROM orders",
@@ -162,6 +163,9 @@ FROM orders o LEFT JOIN (
   FROM lineitem GROUP BY l_orderkey) s ON s.l_orderkey = o.o_orderkey
 WHERE CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS DECIMAL(18,2))
    <> CAST(coalesce(s.line_sum, 0) AS DECIMAL(18,2))""",
+    "load_history": "\nUNION ALL\n".join(
+        f"SELECT '{t}.parquet' AS file_name, count(*) AS row_count, TIMESTAMP '2024-01-15 06:00:00' AS first_load_time, "
+        f"TIMESTAMP '2024-01-15 06:00:00' AS last_load_time FROM {t}" for t in ("orders", "lineitem", "events")),
     "layer_counts": f"""SELECT 'raw' AS layer, count(*) AS n FROM ({EV_SQL}) e
 UNION ALL SELECT 'latest' AS layer, count(DISTINCT k) AS n FROM ({EV_SQL}) e
 UNION ALL SELECT 'live' AS layer, count(*) AS n FROM ({REPLAY_EV}) r WHERE NOT is_deleted

@@ -44,14 +44,32 @@ def _trigger(writer, once: bool, schedule: str):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=schedule)
 
 
+def without_repeats(stream: DataFrame, spec: TableSpec, within: str) -> DataFrame:
+    """Change rows that arrive for the first time within ``within``.
+
+    A capture tool that repeats a delivery (at least once, under other file
+    names) sends the same rows again: same key, capture time, op and values.
+    Merged in a later batch they would undo what came between.  The watermark
+    runs on the time of *arrival*, so no event is ever too late, however old
+    its capture time, and a row's place in the state store is freed ``within``
+    after it came: the state holds that much of the feed, not the table.
+    """
+    cells = [x for f in spec.field_names for x in (F.col(f), F.col(f).isNull())]  # the hash skips nulls
+    return (stream.withColumns({"_arrived": F.current_timestamp(), "_same": F.xxhash64(*cells)})
+            .withWatermark("_arrived", within)
+            .dropDuplicatesWithinWatermark([*spec.keys, spec.ts_col, spec.op_col, "_same"])
+            .drop("_arrived", "_same"))
+
+
 def start_ingest(spark: SparkSession, landing: str, raw_path: str, spec: TableSpec,
                  checkpoint: str, fmt: str = "parquet", once: bool = False,
-                 schedule: str = DEFAULT_SCHEDULE,
-                 header: Sequence[str] | None = None) -> StreamingQuery:
+                 schedule: str = DEFAULT_SCHEDULE, header: Sequence[str] | None = None,
+                 repeats_within: str | None = None) -> StreamingQuery:
     """Auto-ingest: every new change file under ``landing`` is appended to RAW.
 
     CSV values that do not fit their type go to RAW as NULL with their reason
-    in ``_cast_errors``; the merge quarantines such rows.
+    in ``_cast_errors``; the merge quarantines such rows.  ``repeats_within``
+    drops repeated deliveries (:func:`without_repeats`).
     """
     changes = read_changes_stream(spark, landing, spec, fmt, header=header)
     if fmt == "csv":
@@ -63,6 +81,8 @@ def start_ingest(spark: SparkSession, landing: str, raw_path: str, spec: TableSp
                        ",", "_bad_ts", F.nullif("_cast_errors", F.lit(""))))
                    .withColumn(spec.ts_col, ts.try_cast("timestamp_ntz")))
     raw = to_raw(changes, spec, row_index=fmt == "parquet")
+    if repeats_within:
+        raw = without_repeats(raw, spec, repeats_within)
     w = (raw.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .option("path", raw_path).outputMode("append"))
     return _trigger(w, once, schedule).start()
@@ -126,7 +146,8 @@ def _merge(df: DataFrame, batch_id: int, table: SnapshotTable, spec: TableSpec,
 
 def start_merge(spark: SparkSession, raw_path: str, table: SnapshotTable, spec: TableSpec,
                 checkpoint: str, once: bool = False, schedule: str = DEFAULT_SCHEDULE,
-                max_files_per_trigger: int | None = None, **kwargs) -> StreamingQuery:
+                max_files_per_trigger: int | None = None, repeats_within: str | None = None,
+                **kwargs) -> StreamingQuery:
     """Change stream over RAW -> scheduled MERGE into the curated table."""
     path = spark._jvm.org.apache.hadoop.fs.Path(raw_path)  # a merge may start before the first ingest
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
@@ -134,6 +155,8 @@ def start_merge(spark: SparkSession, raw_path: str, table: SnapshotTable, spec:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_path)
+    if repeats_within:
+        stream = without_repeats(stream, spec, repeats_within)
 
     def _run(df: DataFrame, batch_id: int) -> None:
         # the id of the query's checkpoint: a new checkpoint has another one

@@ -31,7 +31,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.casting import rename_to_curated
 from tidemark.functions.ordering import sortable
-from tidemark.operators.keys import with_computed
+from tidemark.operators.keys import dense_keys, with_computed
 from tidemark.operators.latest import event_order
 from tidemark.operators.quality import split_tagged, tag_rejects
 from tidemark.sources.changes import raw_schema
@@ -162,9 +162,12 @@ def upsert_schema(spec: TableSpec) -> T.StructType:
 
 def read_upserts(spark: SparkSession, out_path: str, spec: TableSpec) -> DataFrame:
     """The curated table: the newest row of each key (one keyed aggregation with
-    map-side combine over the folder).  Surrogate keys are given by the reader."""
+    map-side combine over the folder).  Surrogate keys are numbered by first
+    batch and key, so they stay the same as the folder grows."""
     rows = spark.read.schema(upsert_schema(spec)).option("recursiveFileLookup", "true").parquet(out_path)
     rest = [c for c in rows.columns if c not in spec.keys and c != VERSION]
-    newest = rows.groupBy(*spec.keys).agg(F.max_by(F.struct(*rest), VERSION).alias("_r"))
-    out = with_computed(newest.select(*spec.keys, "_r.*"), spec)
+    newest = rows.groupBy(*spec.keys).agg(F.max_by(F.struct(*rest), VERSION).alias("_r"), F.min(VERSION).alias("_first"))
+    out = with_computed(newest.select(*spec.keys, "_r.*", "_first"), spec)
+    if spec.surrogate_key:
+        out = dense_keys(out, ["_first", *spec.keys], spec.surrogate_key)
     return out.select(*[c for c in spec.curated_columns if c in out.columns])
