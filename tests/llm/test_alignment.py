@@ -113,7 +113,7 @@ def test_diagonals():
 def test_links_are_suffixes():
     """The bound of the broadcast table: linked tokens are suffixes of one another."""
     a, _, b, _ = alignment.tokenise([b"some words, and 123 others: internationalisation"])
-    spell = alignment._fast(alignment.VOCABULARY)[1], alignment._piece_spelling(pieces.MODEL)
+    spell = alignment._fast(alignment.VOCABULARY)[1], alignment._pieces(pieces.MODEL)[1]
     x = [spell[0].join(a[:k + 1]) for k in range(len(a))]
     y = [spell[1].join(b[:k + 1]) for k in range(len(b))]
     linked = [(a[x.index(s)], b[y.index(s)]) for s in set(x) & set(y)]

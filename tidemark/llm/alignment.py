@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -121,11 +122,18 @@ def _fast(vocabulary: str):
 
 
 @lru_cache(maxsize=2)
-def _piece_spelling(model: str) -> Spelling:
-    p = sentence.load(model)
-    ends = np.concatenate((p.surface_at, [len(p.surface_bytes)]))
-    data = p.surface_bytes.tobytes()
-    return Spelling([data[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())])
+def _pieces(model: str):
+    """The library's engine of a piece model, which holds little memory, and its spelling."""
+    import sentencepiece
+
+    engine = sentencepiece.SentencePieceProcessor(model_file=sentence.model_file(model))
+    return engine, Spelling([bytes([int(p[3:5], 16)]) if engine.is_byte(i) else p.replace(sentence.SPACE, " ").encode()
+                             for i, p in enumerate(engine.id_to_piece(list(range(engine.vocab_size()))))])
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    per = np.array([len(x) for x in ids], np.int64)
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(per.sum())), per
 
 
 @lru_cache(maxsize=8)
@@ -139,20 +147,13 @@ def tokenise(values: list[bytes], vocabulary: str = VOCABULARY, model: str = sen
     """(a, n_a, b, n_b): ids of both tokenizers, text behind text, and how many
     a text has; none for a text that is not given back byte for byte."""
     fast, spell_a = _fast(vocabulary)
+    engine, spell_b = _pieces(model)
     whole = [v.decode("utf-8", "replace") for v in values]
-    ids = []
-    for v in whole:
-        if not v:
-            ids.append(np.zeros(0, np.int32))
-        elif v.isascii() or max(v) < chr(FAST_BELOW):
-            ids.append(np.array(fast.encode_ordinary(" " + v), np.int32))
-        else:
-            ids.append(np.array(_exact(vocabulary).encode(" " + v, add_special_tokens=False).ids, np.int32))
-    n_a = np.array([len(x) for x in ids], np.int64)
-    a = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    b, n_b = sentence.load(model).encode(whole)
+    a, n_a = _flat([[] if not v else fast.encode_ordinary(" " + v) if v.isascii() or max(v) < chr(FAST_BELOW)
+                    else _exact(vocabulary).encode(" " + v, add_special_tokens=False).ids for v in whole])
+    b, n_b = _flat(engine.encode(whole, num_threads=1) if whole else [])
     ok = np.ones(len(values), bool)
-    for got, per, spell in ((a, n_a, spell_a), (b, n_b, _piece_spelling(model))):
+    for got, per, spell in ((a, n_a, spell_a), (b, n_b, spell_b)):
         spelt = spell.join(got)
         edge = np.concatenate(([0], np.cumsum(spell.size[got])))[np.concatenate(([0], np.cumsum(per)))].tolist()
         ok &= [spelt[s:e] == (b" " + v if v else b"") for s, e, v in zip(edge, edge[1:], values)]
@@ -182,7 +183,7 @@ def _cut(piece: int, vocabulary: str, model: str):
     """Rows -> documents of one piece, met at once, and the pieces of longer
     ones as they are; the record goes with a document's first piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell_a, spell_b = _fast(vocabulary)[1], _piece_spelling(model)
+        spell_a, spell_b = _fast(vocabulary)[1], _pieces(model)[1]
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             raw = texts(batch.column("text"))
@@ -288,7 +289,7 @@ def meet(a: list[bytes], b: list[bytes], a_from: np.ndarray, b_from: np.ndarray,
 
 def _meet(vocabulary: str, model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell_a, spell_b = _fast(vocabulary)[1], _piece_spelling(model)
+        spell_a, spell_b = _fast(vocabulary)[1], _pieces(model)[1]
         for batch in batches:
             a, b = texts(batch.column("a")), texts(batch.column("b"))
             for lo, hi in blocks(a):
