@@ -141,19 +141,32 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _POW: tuple[np.ndarray, np.ndarray] = (np.zeros(0, U64), np.zeros(0, U64))
 
 
+#: Masks of the first 0 to 8 bytes of a lane.
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+
+
 def words(values: list[bytes], separators: np.ndarray = SPACES
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A 64-bit id per lower-cased word, words per row, and each word's first
-    byte in its row.  A row's words are consecutive."""
+    byte in its row.  A row's words are consecutive.
+
+    An id sums a word's eight-byte lanes, each scrambled with its place by a
+    bijection that no polynomial describes, and the length: words that differ
+    in one lane never share an id, others by chance only (1 in 2^64)."""
     data, begins = joined(values)
     low = LOWER[data]
-    sep = separators[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], sep)).astype(np.int8)))
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], separators[data])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    power, inverse = powers(len(low) + 1)
-    sums = np.concatenate((np.zeros(1, U64), np.cumsum((low.astype(U64) + U64(1)) * power[:-1])))
-    ids = (sums[ends] - sums[starts]) * inverse[starts]
-    ids = mix(ids + (ends - starts).astype(U64) * K2)
+    size = ends - starts
+    lanes = (size + 7) >> 3
+    lane = np.cumsum(lanes) - lanes
+    word = np.repeat(np.arange(len(size)), lanes)
+    k = np.arange(len(word)) - lane[word]
+    padded = np.concatenate((low, np.zeros(8, np.uint8)))
+    view = np.ndarray((len(low) + 1,), "<u8", padded, strides=(1,))  # eight bytes from each byte on
+    x = view[starts[word] + 8 * k] & _HEAD[np.minimum(size[word] - 8 * k, 8)]
+    x = mix(mix(x ^ K1) + (k + 1).astype(U64) * K2)
+    ids = mix((np.add.reduceat(x, lane) if len(lane) else x) + size.astype(U64) * K3)
     per = np.diff(np.searchsorted(starts, begins))
     first = starts - np.repeat(begins[:-1], per)
     return ids, per, first
