@@ -264,7 +264,8 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
 
     keyed = (docs.select(F.col(text).alias("text"))
              .mapInArrow(_keyed(n, num, den), "s1 bigint, need int, list array<bigint>")
-             .select(F.explode("list").alias("k"), "s1", "need"))
+             .select(F.explode("list").alias("k"), "s1", "need")
+             .repartition("k"))  # one exchange for both sides of ``met``: texts are shingled once
 
     def met(rows):
         """Rows of buckets with two sets or more."""
