@@ -76,12 +76,13 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 class Items:
     """A block of the benchmark: item ids, words and seeds sorted by name and item."""
 
-    def __init__(self, ids: list, values: list[bytes], min_score: float = MIN_SCORE):
+    def __init__(self, ids: list, values: list[bytes], min_score: float = MIN_SCORE, whole_below: int = 0):
         self.ids = ids
         self.words, self.per, _ = words(values, _SEPARATORS)
         self.begins = np.concatenate(([0], np.cumsum(self.per)))
         # Least score, seeds that it leaves, and words that its gaps can shift it by.
-        self.least = np.maximum(1, np.ceil(2 * min_score * self.per - 1e-9)).astype(np.int64)
+        share = np.where(self.per < whole_below, 1.0, min_score)
+        self.least = np.maximum(1, np.ceil(2 * share * self.per - 1e-9)).astype(np.int64)
         left = (self.least + 1) // 2 - 1
         self.shift = np.maximum(0, 2 * self.per - self.least)
         row = np.repeat(np.arange(len(self.per)), self.per)
@@ -221,22 +222,25 @@ def _blocks(benchmark: DataFrame, text: str, item_id: str, limit: int) -> Iterat
         yield ids, values
 
 
-def _prepared(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str, min_score: float, block: int):
+def _prepared(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str, min_score: float, block: int,
+              whole_below: int = 0):
     """Blocks of the benchmark with their seeds, broadcast."""
     sc = rows.sparkSession.sparkContext
     kind = benchmark.schema[item_id].dataType.simpleString()
     for ids, values in _blocks(benchmark, item_text, item_id, block):
-        items = Items(ids, values, min_score)
+        items = Items(ids, values, min_score, whole_below)
         items.names = pa.array(ids, pa.int64() if kind in ("int", "bigint", "smallint") else pa.string())
         yield sc.broadcast(items)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text",
-                  item_id: str = "item_id", min_score: float = MIN_SCORE, block: int = BLOCK) -> DataFrame:
-    """The documents that hold no benchmark passage."""
+                  item_id: str = "item_id", min_score: float = MIN_SCORE, block: int = BLOCK,
+                  whole_below: int = 0) -> DataFrame:
+    """The documents that hold no benchmark passage.  Items of fewer than
+    ``whole_below`` words must match whole: half of ``the war`` is no leak."""
     rows = docs.select(record(docs), F.col(text).alias("text"))
     out = rows
-    for items in _prepared(rows, benchmark, item_text, item_id, min_score, block):
+    for items in _prepared(rows, benchmark, item_text, item_id, min_score, block, whole_below):
         out = out.mapInArrow(_leaks(items, clean=True), rows.schema)
     return out.select(*unpack(docs.columns, {}))
 
