@@ -13,7 +13,8 @@ kept; every one but the last returns the columns it was given.
   however short the words, and strings of ``PASSAGE_BYTES`` bytes, which have
   fewer words where those are long or not set apart by blanks.  A character cut
   in two goes as a whole.  Documents stay, even empty.
-* ``decontaminate`` drops documents that hold a benchmark passage.
+* ``decontaminate`` drops documents that hold a benchmark passage: half of an
+  item, or the whole of one with fewer than ``WHOLE_BELOW`` words.
 * ``packing`` returns the pieces of the packed sequences.
 """
 
@@ -29,6 +30,8 @@ MIN_SHARE = 0.2
 SHINGLE, SIMILAR = 5, (80, 100)
 #: A repeated passage has more words than this, or this many bytes.
 PASSAGE, PASSAGE_BYTES = 50, 400
+#: Benchmark items of fewer words are leaked only as a whole.
+WHOLE_BELOW = 5
 
 
 def language_id(spark, docs, sf_dir):
@@ -75,7 +78,7 @@ def repeated_passages(spark, docs, sf_dir):
 
 def decontaminate(spark, docs, sf_dir):
     ship(spark)
-    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"), whole_below=WHOLE_BELOW)
 
 
 def pack(spark, docs, sf_dir):
