@@ -56,6 +56,36 @@ def test_sharding(spark):
     assert sharding.shard(frame(spark).where("false")).count() == 0
 
 
+def test_pages_of_one_key(spark, monkeypatch):
+    def sizes(df, limit, **k):
+        out = sharding.shard(df, key="source", limit=limit, **k).collect()
+        held = Counter()
+        for r in out:
+            held[r.shard] += r.row_bytes
+        assert all(held[r.shard] == r.shard_bytes and (r.shard_bytes <= limit or r.row_bytes == r.shard_bytes) for r in out)
+        return out, held
+
+    same = spark.createDataFrame([("web", "x" * 50, i) for i in range(300)], "source string, text string, n int")
+    out, held = sizes(same, 1000)
+    assert len(out) == 300 and len(held) == 15  # twenty rows of fifty bytes a page
+    # Unlike rows whose nulls are swapped, equal rows, and rows over the limit.
+    rows = [("web", "y" * 900, None, 5), ("web", "y" * 900, 5, None)] + [("web", "z" * 400, 1, 1)] * 30 + [("web", "w" * 5000, 2, 2)] * 3
+    odd = spark.createDataFrame(rows, "source string, text string, a int, b int").repartition(4)
+    out, held = sizes(odd, 1000)
+    assert len(out) == len(rows) and sorted(held.values())[-3:] == [5000] * 3
+    # A third of all rows have one key; several tasks share it.
+    monkeypatch.setattr(sharding, "PAGES", 2)
+    rng = random.Random(3)
+    mixed = [("hot" if i % 3 == 0 else f"s{i % 400}", "t" * rng.randrange(200), i) for i in range(3000)]
+    df = spark.createDataFrame(mixed, "source string, text string, n int").repartition(6)
+    out, held = sizes(df, 2000)
+    assert sorted((r.source, r.text, r.n) for r in out) == sorted(mixed)
+    pages = {r.shard for r in out if r.source == "hot"}
+    assert len({p.split(".")[1] for p in pages}) > 5  # tasks
+    total = sum(len(t) for s, t, _ in mixed if s == "hot")
+    assert len(pages) <= total / 2000 * 1.5 + 2
+
+
 # -- op3 ---------------------------------------------------------------------
 #: The scrubbed strings, told without regard to time.
 PLAIN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|\+?[0-9][0-9() .-]{5,}[0-9]"

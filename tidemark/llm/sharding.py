@@ -7,8 +7,11 @@ sums of hash cells, pre-aggregated in the tasks: cells of as many bits as the
 total asks for, and then, round by round, finer cells of the oversized buckets
 only.  A shard is the shortest prefix that fits; it is named by its bits.
 
-A bucket that no bit can split (rows with one key) is cut into pages: as many
-equal rows a page as fit.  One row larger than the limit is a shard by itself.
+A bucket that no bit can split (rows with one key) is cut into pages.  Such rows
+are written with a number each and dealt by key and number to as many tasks as
+their bytes ask for, so a key of any size is split among tasks; a task fills
+page after page up to the limit, and only its last page of a key is not full.
+One row larger than the limit is a shard by itself.
 
 Edge cases: a null key hashes as empty text; null text is 0 bytes; an empty
 table has no shard; repeated rows are placed each.
@@ -17,9 +20,13 @@ table has no shard; repeated rows are placed each.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import materialise, record, table, unpack
 
@@ -27,6 +34,8 @@ BITS = 60
 LIMIT = 1 << 20
 #: Bits that a round adds for oversized buckets.
 ROUND = 8
+#: Full pages that a task cuts, about.
+PAGES = 64
 
 
 def hash60(key: Column) -> Column:
@@ -48,6 +57,41 @@ def directory(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
         "cell", F.coalesce("s.depth", F.lit(-1)).alias("depth"), F.col("s.bytes").alias("bytes"), F.col("s.n").alias("n"))
 
 
+def _fill(limit: int):
+    """Rows in order of key -> pages of at most ``limit`` bytes, or one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, page, now, held, size = TaskContext.get().partitionId(), 0, None, [], 0
+
+        def full():
+            rows = pa.Table.from_batches(held).combine_chunks()
+            name = pa.array([f"{part}.{page}"] * len(rows), pa.string())
+            return rows.append_column("page", name).append_column("shard_bytes", pa.array([size] * len(rows), pa.int64()))
+
+        for batch in batches:
+            first = 0
+            for i, (h, b) in enumerate(zip(batch.column("h").to_pylist(), batch.column("b").to_pylist())):
+                if (h != now or size + b > limit) and (held or first < i):
+                    held.append(batch.slice(first, i - first))
+                    yield from full().to_batches()
+                    page, held, size, first = (page + 1 if h == now else 0), [], 0, i
+                now, size = h, size + b
+            held.append(batch.slice(first))
+        if now is not None:
+            yield from full().to_batches()
+    return run
+
+
+def pages(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows (rec, h, b) of keys that no bit splits -> with ``page`` and ``shard_bytes``."""
+    # The number is fixed by writing it, so that a repeated task deals alike.
+    rows = materialise(rows.withColumn("i", F.monotonically_increasing_id()), "unsplit")
+    total = rows.agg(F.sum("b")).first()[0] or 0
+    dealt = rows.repartitionByRange(max(1, -(-total // (PAGES * limit))), "h", "i").sortWithinPartitions("h", "i")
+    kind = T.StructType(rows.schema.fields + [T.StructField("page", T.StringType()), T.StructField("shard_bytes", T.LongType())])
+    # Written, for the names hold the number of the task.
+    return materialise(dealt.mapInArrow(_fill(limit), kind), "pages")
+
+
 def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """``docs`` with ``shard`` (the prefix bits, ``.page`` for cut buckets),
     ``depth``, ``row_bytes`` and ``shard_bytes``."""
@@ -70,15 +114,10 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int =
         if found.where("depth < 0").isEmpty():
             break
         open_ = named.where("depth < 0").select("rec", "h", "b")
-        if high == BITS:  # equal keys: equal rows are interchangeable, so they are counted and cut
-            same = (open_.groupBy("h", "b", "rec").agg(F.count("*").alias("n"))
-                    .withColumn("a", F.greatest(F.lit(1), (limit / F.greatest("b", F.lit(1))).cast("bigint")))
-                    .select("rec", "h", "b", "a", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("i"))
-                    .withColumn("page", F.floor(F.col("i") / F.col("a"))))
-            placed.append(same.select(
+        if high == BITS:
+            placed.append(pages(open_, limit).select(
                 "rec", "b", F.lit(BITS).alias("depth"),
-                F.concat_ws(".", F.lpad(F.bin("h"), BITS, "0"), F.abs(F.xxhash64("rec")).cast("string"), F.col("page").cast("string")).alias("shard"),
-                (F.least("a", F.col("n") - F.col("page") * F.col("a")) * F.col("b")).alias("shard_bytes")))
+                F.concat_ws(".", F.lpad(F.bin("h"), BITS, "0"), "page").alias("shard"), "shard_bytes"))
             break
         low, high = high + 1, min(BITS, high + ROUND)
     out = placed[0]
