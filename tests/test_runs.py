@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from test_pipeline import _change_file
 from tidemark.operators.audit import run_history
-from tidemark.sources.changes import file_schema, read_raw
+from tidemark.operators.quality import orphans
+from tidemark.sources.changes import file_schema, raw_schema, read_raw
 from tidemark.sources.snapshot import SnapshotTable
 from tidemark.spec import CUSTOMERS, ORDER_ITEMS, ORDERS
+from tidemark.streaming.monitor import RunLog, read_runs
 from tidemark.streaming.pipeline import merge_batch, read_audit, start_ingest, start_merge
+from tidemark.streaming.references import open_orphans, start_orphan_watch
 
 
 def names(spark, table):
@@ -121,6 +124,83 @@ def test_a_failed_run_is_in_the_history(spark, scratch):
     assert got == [(0, "SUCCEEDED", None, 1), (0, "FAILED", "RuntimeError: no space left", 1)]
 
 
+def test_the_listener_logs_batches_and_failures(spark, scratch):
+    log = RunLog(spark, f"{scratch}/runs")
+    spark.streams.addListener(log)
+    try:
+        _change_file(spark, f"{scratch}/land/f1", [("I", 1, 1, "Ann", "Lee"), ("U", 2, 1, "Ann", "Kim")])
+        start_ingest(spark, f"{scratch}/land", f"{scratch}/raw", CUSTOMERS, f"{scratch}/i", once=True).awaitTermination()
+        start_ingest(spark, f"{scratch}/land", f"{scratch}/raw", CUSTOMERS, f"{scratch}/i", once=True).awaitTermination()
+
+        class Broken(SnapshotTable):
+            def apply(self, *a, **k):
+                raise RuntimeError("no space left")
+
+        with pytest.raises(Exception):
+            start_merge(spark, f"{scratch}/raw", Broken(spark, f"{scratch}/d", CUSTOMERS), CUSTOMERS, f"{scratch}/m",
+                        once=True).awaitTermination()
+        for _ in range(100):  # the listener runs beside the queries
+            if len([f for f in os.listdir(f"{scratch}/runs") if f.endswith(".json") and not f.startswith(".")]) == 2:
+                break
+            time.sleep(0.1)
+        got = run_history(read_runs(spark, f"{scratch}/runs")).collect()
+    finally:
+        spark.streams.removeListener(log)
+    by = {r.state: r for r in got}
+    assert len(got) == 2 and set(by) == {"SUCCEEDED", "FAILED"}
+    done = by["SUCCEEDED"]
+    assert (done.batch_id, done.rows_in, done.observed, done.error) == (0, 2, {"ingest": {"rows": 2, "rejected": 0}}, None)
+    assert done.duration_ms > 0 and "no space left" in by["FAILED"].error
+
+
+def _raw(spark, path, spec, at, **columns):
+    """RAW rows of one load at minute ``at``; each column a list of values."""
+    rows = [dict(zip(columns, v)) for v in zip(*columns.values())]
+    base = spark.createDataFrame([], raw_schema(spec))
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(
+        f"{c} {base.schema[c].dataType.simpleString()}" for c in columns))
+    df = df.withColumn("_loaded_at", F.lit(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=at)).cast("timestamp_ntz"))
+    base.unionByName(df, allowMissingColumns=True).coalesce(1).write.parquet(path)
+
+
+def test_facts_wait_for_their_parent(spark, scratch):
+    orders, customers, out = f"{scratch}/o", f"{scratch}/c", f"{scratch}/out"
+    known = {"rows": []}
+
+    def parents():
+        return spark.createDataFrame([(k,) for k in known["rows"]], "customer_id bigint") if known["rows"] else None
+
+    def run():
+        start_orphan_watch(spark, orders, ORDERS, customers, CUSTOMERS, "customer_id", parents, out, f"{scratch}/ck",
+                           wait="10 minutes", once=True).awaitTermination()
+
+    def logged():
+        rows = spark.read.option("recursiveFileLookup", "true").parquet(out) if os.path.exists(out) else None
+        return sorted(r.order_id for r in rows.collect()) if rows is not None else []
+
+    known["rows"] = [1]  # long there, not in the stream
+    _raw(spark, f"{orders}/a", ORDERS, 0, op=["I"] * 5, order_id=[1, 2, 3, 4, 5], customer_id=[1, 2, 3, 4, None])
+    _raw(spark, f"{customers}/a", CUSTOMERS, 0, op=["I"], customer_id=[50])
+    run()
+    assert logged() == []  # all wait
+    _raw(spark, f"{customers}/b", CUSTOMERS, 5, op=["I", "D", "U"], customer_id=[2, 3, 2])  # 2 came in time; 3 is a delete
+    _raw(spark, f"{orders}/b", ORDERS, 6, op=["I"], order_id=[6], customer_id=[2])
+    known["rows"] = [1, 2, 50]
+    run()
+    assert logged() == []
+    _raw(spark, f"{orders}/c", ORDERS, 30, op=["I"], order_id=[7], customer_id=[2])
+    _raw(spark, f"{customers}/c", CUSTOMERS, 31, op=["I"], customer_id=[4])  # too late for order 4's wait
+    run()
+    run()  # the watermark moves with the next batch
+    assert logged() == [3, 4]
+    known["rows"] = [1, 2, 4, 50]
+    now = open_orphans(spark, out, ORDERS, "customer_id", parents())
+    assert [(r.order_id, r.customer_id) for r in now.collect()] == [(3, 3)]
+    # The batch anti join over the facts that have waited long enough says the same.
+    facts = spark.read.option("recursiveFileLookup", "true").parquet(orders).where("order_id < 7")
+    assert [r.order_id for r in orphans(facts, parents(), {"customer_id": "customer_id"}).collect()] == [3]
+
+
 def read_schema():
     from tidemark.sources.changes import raw_schema
     return raw_schema(CUSTOMERS)

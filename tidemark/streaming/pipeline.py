@@ -83,6 +83,7 @@ def start_ingest(spark: SparkSession, landing: str, raw_path: str, spec: TableSp
     raw = to_raw(changes, spec, row_index=fmt == "parquet")
     if repeats_within:
         raw = without_repeats(raw, spec, repeats_within)
+    raw = raw.observe("ingest", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_cast_errors") != "").alias("rejected"))
     w = (raw.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .option("path", raw_path).outputMode("append"))
     return _trigger(w, once, schedule).start()
