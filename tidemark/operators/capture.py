@@ -88,3 +88,60 @@ def changes_between(log: DataFrame, spec: TableSpec, columns: Sequence[str],
             .select(F.col(spec.op_col), ts.cast("timestamp_ntz").alias(ts_col_out), *keys,
                     *[F.when(in_c, F.col(f"_c.{x}")).otherwise(F.col(f"_p.{x}")).alias(x)
                       for x in columns]))
+
+
+def cut_over(load: DataFrame, events: DataFrame, marks: DataFrame, chunk_of: str, spec: TableSpec) -> DataFrame:
+    """A full load taken while changes go on, and the changes, as one log.
+
+    The load is read chunk by chunk; ``marks`` (``_chunk``, ``_low``, ``_high``)
+    says when each chunk's read began and ended, and ``chunk_of`` is the SQL
+    expression that gives a key's chunk.  A row of the load may be older or
+    newer than the events captured while its chunk was read, so it gives way
+    to them: a row whose key has an event in ``[_low, _high]`` is dropped, any
+    other stood unchanged all that time and becomes an insert at ``_low``.
+    Replayed with the events, however both interleave, the table ends as the
+    complete log would leave it.
+
+    The events meet the marks, a row a chunk, on the chunk; what remains are
+    distinct keys, combined map-side, so a key with a third of all events is
+    one row a task; the load meets those keys once.  ``load`` has the columns
+    of ``events`` but for op and capture time; columns it lacks are NULL.
+    """
+    keys, ts = list(spec.keys), spec.ts_col
+    window = marks.select("_chunk", "_low", "_high")
+    touched = (events.select(*keys, ts, F.expr(chunk_of).alias("_chunk")).join(window, "_chunk")
+               .where((F.col(ts) >= F.col("_low")) & (F.col(ts) <= F.col("_high"))).select(*keys).distinct())
+    kept = (load.withColumn("_chunk", F.expr(chunk_of)).join(window, "_chunk").join(touched, keys, "left_anti")
+            .withColumns({spec.op_col: F.lit(OP_INSERT), ts: F.col("_low").cast(events.schema[ts].dataType)})
+            .drop("_chunk", "_low", "_high"))
+    return events.unionByName(kept, allowMissingColumns=True)
+
+
+ACTION, IS_UPDATE = "action", "is_update"
+
+
+def change_feed(prev: DataFrame, curr: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Pre- and post-images between two states of a table.
+
+    ``action`` is ``DELETE`` for a pre-image and ``INSERT`` for a post-image; an
+    update is both, with ``is_update``.  One full outer join on the key, from
+    which each changed key gives one row or two.
+    """
+    keys = list(keys)
+    p = prev.select(*keys, F.struct(*columns).alias("_p"))
+    c = curr.select(*keys, F.struct(*columns).alias("_c"))
+    both = p.join(c, keys, "full_outer").where(~F.col("_p").eqNullSafe(F.col("_c")))
+    update = F.col("_p").isNotNull() & F.col("_c").isNotNull()
+    images = F.filter(F.array(F.struct(F.lit("DELETE").alias(ACTION), F.col("_p").alias("row")),
+                              F.struct(F.lit("INSERT").alias(ACTION), F.col("_c").alias("row"))),
+                      lambda x: x["row"].isNotNull())
+    return (both.select(*keys, update.alias(IS_UPDATE), F.inline(images))
+            .select(ACTION, IS_UPDATE, *keys, "row.*"))
+
+
+def apply_feed(prev: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The state after a feed: pre-images leave, post-images enter."""
+    keys = list(keys)
+    gone = feed.where(F.col(ACTION) == "DELETE").select(*keys)
+    new = feed.where(F.col(ACTION) == "INSERT").select(*prev.columns)
+    return prev.join(gone, keys, "left_anti").unionByName(new)

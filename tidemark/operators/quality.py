@@ -10,7 +10,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.spec import OP_INSERT, OP_UPDATE, OPS, TableSpec
+from tidemark.operators.latest import event_order
+from tidemark.spec import OP_DELETE, OP_INSERT, OP_UPDATE, OPS, TableSpec
 
 
 def reject_reason(df: DataFrame, spec: TableSpec, strict_reference: bool = False,
@@ -156,3 +157,24 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
         part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layer"), "n")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def layer_totals(events: DataFrame, spec: TableSpec, batch_col: str) -> DataFrame:
+    """(layer, n) of the layers that one log leads to: its events (``raw``), its
+    keys (``latest``), and the live and deleted rows of the table it builds.
+
+    One scan and one chain of aggregations with map-side combine, the ones of
+    the replay without its columns, instead of a replay a layer.
+    """
+    order = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(event_order(spec))])
+    op, b = F.col(spec.op_col), F.col(batch_col)
+    batches = events.groupBy(*spec.keys, batch_col).agg(F.count(F.lit(1)).alias("_n"), F.max_by(op, order).alias("_op"))
+    keys = batches.groupBy(*spec.keys).agg(
+        F.sum("_n").alias("_n"), F.max(F.when(F.col("_op") != OP_DELETE, 1)).alias("_live"),
+        F.max_by("_op", b).alias("_last"))
+    there = F.col("_live").isNotNull()
+    total = keys.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("raw"), F.count(F.lit(1)).alias("latest"),
+        F.count_if(there & (F.col("_last") != OP_DELETE)).alias("live"),
+        F.count_if(there & (F.col("_last") == OP_DELETE)).alias("deleted"))
+    return total.unpivot([], ["raw", "latest", "live", "deleted"], "layer", "n")

@@ -289,14 +289,7 @@ def order_total_mismatch(spark, d):
 
 
 def layer_counts(spark, d):
-    log = _ev(spark, d)
-    dim = replay_changes(log, V.EV_SPEC, "b", "_bts")
-    return quality.layer_counts({
-        "raw": log,
-        "latest": latest_events(log, V.EV_SPEC, "agg"),
-        "live": dim.where(~F.col("is_deleted")),
-        "deleted": dim.where(F.col("is_deleted")),
-    })
+    return quality.layer_totals(V.ev(spark, d), V.EV_SPEC, "b")
 
 
 # -- A3 / A4 / S4 / S7 (A4 is rows-only: SQL cannot list files) ---------------

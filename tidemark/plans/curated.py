@@ -10,20 +10,21 @@ ship year; several events a key, ties on the ship date).
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import batch_time, line_total
-from tidemark.operators import quality
+from tidemark.operators import capture, quality, reconcile
 from tidemark.operators.constraints import constraint_report as report, foreign_key_report
 from tidemark.operators.latest import latest_events
-from tidemark.operators.marts import live_rows
+from tidemark.operators.marts import live_rows, total_by
 from tidemark.operators.replay import replay_changes
 from tidemark.operators.state import advance, curated
 from tidemark.plans import views as V
-from tidemark.plans.oracle import REPLAY_IC
+from tidemark.plans.oracle import EV_SQL, IC_ATTRS, REPLAY_IC, SNAPSHOT_DIFF, snapshot_sql
 from tidemark.session import checkpoint_dir, cut_lineage
 from tidemark.sources.mixed import read_mixed
 from tidemark.spec import CUSTOMERS, ORDER_ITEMS, ORDERS, SPECS, TableSpec
@@ -189,15 +190,67 @@ def order_total_check(spark, d):
     return quality.total_mismatch(o, lines, "o_orderkey", "stored", price)
 
 
+# -- S8: a load that overlaps the changes --------------------------------------
+LOG_STARTS, CHUNKS = _dt.datetime(2024, 1, 8), 8
+
+
+def cut_over_load(spark, d):
+    """Users loaded in eight chunks, each read over two days while changes go on
+    (every key at another moment of its chunk's window); the log begins with the
+    first chunk.  Returns the live rows after load and log, latest event first."""
+    log = V.ev(spark, d).drop("b", "_bts")
+    day = lambda c: F.lit(LOG_STARTS).cast("timestamp_ntz") + F.make_dt_interval(days=c)
+    chunk = f"CAST(pmod(k, {CHUNKS}) AS INT)"
+    read_at = day(F.expr(chunk) + F.pmod("k", F.lit(3)).cast("int"))
+    seen = latest_events(log.where(F.col("ts") <= read_at), V.EV_SPEC, method="agg").where("op <> 'D'")
+    load = seen.drop("op", "ts").withColumn("seq", F.lit(-1).cast("bigint"))
+    marks = spark.range(CHUNKS).select(F.col("id").cast("int").alias("_chunk"), day(F.col("id")).alias("_low"),
+                                       day(F.col("id") + 2).alias("_high"))
+    whole = capture.cut_over(load, log.where(F.col("ts") >= F.lit(LOG_STARTS)), marks, chunk, V.EV_SPEC)
+    return latest_events(whole, V.EV_SPEC, method="agg").where("op <> 'D'").select("k", "status", "amount")
+
+
+# -- T1 / F6 and Q5 / J5: between two states of the items ------------------------
+def _states(spark, d):
+    from tidemark.plans.catalog import SNAPSHOT_CUTOFF
+    log = V.ic(spark, d)
+    return (capture.snapshot_as_of(log, V.IC_SPEC, cutoff) for cutoff in (SNAPSHOT_CUTOFF, None))
+
+
+def item_feed(spark, d):
+    """Pre- and post-images that lead from the state of 1998-07-01 to the last."""
+    return capture.change_feed(*_states(spark, d), ["k1", "k2"], IC_ATTRS)
+
+
+def inserted_items(spark, d):
+    """The feed's inserts that are no updates (the action filter)."""
+    return item_feed(spark, d).where("action = 'INSERT' and not is_update").drop("action", "is_update")
+
+
+def reconcile_items(spark, d):
+    """``snapshot_diff`` by checksums of hash ranges."""
+    from tidemark.plans.catalog import DIFF_CAPTURED_AT
+    return reconcile.reconcile(*_states(spark, d), ["k1", "k2"], IC_ATTRS, DIFF_CAPTURED_AT)
+
+
 def live_fact_orders(spark, d):
     """Live orders of live customers (F5, J3): soft-deleted ones are no parents."""
     orders, customers = live_rows(replayed(spark, d, ORDERS)), live_rows(replayed(spark, d, CUSTOMERS))
     return orders.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
+def live_revenue(spark, d):
+    """Line totals of live items of live orders of live customers, per state."""
+    tables = {s.name: live_rows(replay_changes(change_log(spark, d, s), s, "b", "_bts", with_keys=False))
+              for s in SPECS.values()}
+    out = total_by("order_items", F.col("line_total"), "state", tables, SPECS, "revenue")
+    return out.withColumn("revenue", F.col("revenue").cast("decimal(18,2)"))
+
+
 QUERIES = {f.__name__: f for f in (
     merge_dim_customers, merge_fact_orders, merge_fact_order_items, replay_dim_customers, replay_incremental,
-    cast_changes, constraint_report, line_total_check, order_total_check, live_fact_orders)}
+    cast_changes, constraint_report, line_total_check, order_total_check, live_fact_orders, cut_over_load,
+    item_feed, inserted_items, reconcile_items, live_revenue)}
 
 
 # -- oracle ---------------------------------------------------------------------
@@ -259,7 +312,22 @@ def _constraints() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _feed() -> str:
+    attrs = ", ".join(IC_ATTRS)
+    before, after = (f"SELECT k1, k2, {attrs} FROM ({snapshot_sql(t)}) s" for t in ("1998-07-01 00:00:00", None))
+    changed = f"SELECT k1, k2 FROM ({SNAPSHOT_DIFF}) d WHERE op = 'U'"
+    return f"""WITH p AS ({before}), c AS ({after}), u AS ({changed})
+SELECT 'DELETE' AS action, (k1, k2) IN (SELECT (k1, k2) FROM u) AS is_update, * FROM (SELECT * FROM p EXCEPT SELECT * FROM c) x
+UNION ALL
+SELECT 'INSERT' AS action, (k1, k2) IN (SELECT (k1, k2) FROM u) AS is_update, * FROM (SELECT * FROM c EXCEPT SELECT * FROM p) y"""
+
+
 ORACLE = {
+    "cut_over_load": f"""SELECT k, status, amount FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {V.EO}) AS rn
+  FROM ({EV_SQL}) e) w WHERE rn = 1 AND op <> 'D'""",
+    "item_feed": _feed(),
+    "inserted_items": f"""SELECT k1, k2, {', '.join(IC_ATTRS)} FROM ({SNAPSHOT_DIFF}) d WHERE op = 'I'""",
+    "reconcile_items": SNAPSHOT_DIFF,
     "merge_dim_customers": final_table(CUSTOMERS),
     "merge_fact_orders": final_table(ORDERS),
     "merge_fact_order_items": final_table(ORDER_ITEMS),
@@ -282,6 +350,10 @@ FROM (SELECT o.o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN coalesce(sum(CAST
              coalesce(sum(CAST(l_extendedprice AS DECIMAL(12,2))), 0) AS line_sum
       FROM orders o LEFT JOIN lineitem l ON l_orderkey = o_orderkey GROUP BY o.o_orderkey, o_orderstatus) t
 WHERE stored IS DISTINCT FROM line_sum""",
+    "live_revenue": f"""SELECT c.state, CAST(sum(i.line_total) AS DECIMAL(18,2)) AS revenue
+FROM ({final_table(ORDER_ITEMS)}) i JOIN ({final_table(ORDERS)}) o ON i.order_id = o.order_id AND NOT o.is_deleted
+  JOIN ({final_table(CUSTOMERS)}) c ON o.customer_id = c.customer_id AND NOT c.is_deleted
+WHERE NOT i.is_deleted GROUP BY c.state""",
     "live_fact_orders": f"""SELECT * FROM ({final_table(ORDERS)}) o WHERE NOT is_deleted AND customer_id IN (
   SELECT customer_id FROM ({final_table(CUSTOMERS)}) c WHERE NOT is_deleted)""",
 }

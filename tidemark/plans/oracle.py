@@ -63,15 +63,15 @@ CUSTOMER_DIM = closed_form(
 IC_ATTRS = ["pk", "sk", "q", "price", "disc", "tax"]
 
 
-def _snapshot(before: str | None) -> str:
+def snapshot_sql(before: str | None) -> str:
     where = f"WHERE ts < TIMESTAMP '{before}'" if before else ""
     return f"""SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY k1, k2 ORDER BY {IO}) AS rn
   FROM ({IC_SQL}) v {where}) x WHERE rn = 1 AND op <> 'D'"""
 
 
-SNAPSHOT_DIFF = f"""WITH p AS ({_snapshot('1998-07-01 00:00:00')}),
-c AS ({_snapshot(None)}),
+SNAPSHOT_DIFF = f"""WITH p AS ({snapshot_sql('1998-07-01 00:00:00')}),
+c AS ({snapshot_sql(None)}),
 j AS (SELECT coalesce(p.k1, c.k1) AS k1, coalesce(p.k2, c.k2) AS k2,
              p.k1 IS NOT NULL AS in_p, c.k1 IS NOT NULL AS in_c,
              {', '.join(f'p.{a} AS p_{a}, c.{a} AS c_{a}' for a in IC_ATTRS)}

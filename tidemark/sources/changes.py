@@ -32,6 +32,13 @@ def layer_path(base: str, layer: str, table: str) -> str:
     return f"{base.rstrip('/')}/{layer.lower()}/{table}"
 
 
+def landing_path(root: str, spec: TableSpec) -> str:
+    """Where a table's change files land under a shared root: its prefix."""
+    if not spec.source_prefix:
+        raise ValueError(f"{spec.name} has no source prefix")
+    return f"{root.rstrip('/')}/{spec.source_prefix.strip('/')}"
+
+
 def file_schema(spec: TableSpec, as_text: bool = False) -> T.StructType:
     """Read schema of a change file; ``as_text`` reads every field as string
     (CSV), leaving the typed cast to :func:`cast_row`."""

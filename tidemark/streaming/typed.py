@@ -12,12 +12,13 @@ history and ingest status never read RAW.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.audit import file_log
-from tidemark.sources.changes import read_raw
+from tidemark.sources.changes import landing_path, layer_path, read_raw
 from tidemark.sources.mixed import read_mixed
 from tidemark.spec import TableSpec
 from tidemark.streaming.publish import batch_folder, publish, published, query_id
@@ -60,3 +61,15 @@ def start_typed_ingest(spark: SparkSession, landing: str, raw_path: str, spec: T
 
     w = names.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w.trigger(processingTime=schedule)).start()
+
+
+def start_tables(spark: SparkSession, root: str, base: str, specs: Iterable[TableSpec], checkpoint: str,
+                 **options) -> dict[str, StreamingQuery]:
+    """One ingest query per table, each reading its own prefix of a shared
+    landing ``root`` into ``<base>/raw/<table>`` and logging its files (F4, T6)."""
+    for spec in specs:  # a stream needs its folder, before the first file lands
+        path = spark._jvm.org.apache.hadoop.fs.Path(landing_path(root, spec))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return {s.name: start_typed_ingest(spark, landing_path(root, s), layer_path(base, "raw", s.name), s,
+                                       f"{checkpoint.rstrip('/')}/{s.name}", log_path=f"{base.rstrip('/')}/files/{s.name}",
+                                       **options) for s in specs}
