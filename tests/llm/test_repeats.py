@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
 
 from tidemark.llm.repeats import op2_bucket_pointers, remove_repeats
 
@@ -105,3 +107,41 @@ def test_over_words(spark):
         got = {r.doc_id: r.kept for r in remove_repeats(df, length=4000, over_words=over).collect()}
         want = {i: bytes(c for c, h in zip((v or "").encode(), hits[i]) if not h) for i, v in enumerate(values)}
         assert got == want and any(map(any, hits)) and not all(map(all, hits))
+
+
+def test_told_passages(spark):
+    """Bytes in repeated strings of more than so many words, which stay."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 5)))
+    shared = [[word() for _ in range(n)] for n in (9, 12, 30)]
+    rows = []
+    for i in range(60):
+        parts = [word() + str(i) for _ in range(rng.randrange(30))]
+        if i % 3 == 0:
+            at = rng.randrange(len(parts) + 1)
+            parts[at:at] = shared[i % 4 % 3]
+        rows.append((i, " ".join(parts)))
+    rows += [(60, None), (61, ""), (62, " ".join(shared[2][:11])), (63, " ".join(shared[2][:10]))]
+    over = 10
+    count = Counter()
+    for _, t in rows:
+        w = (t or "").split()
+        count.update(tuple(w[k:k + over + 1]) for k in range(len(w) - over))
+    want = {}
+    for i, t in rows:
+        w = (t or "").split()
+        begin, at = [], 0
+        for x in w:
+            at = (t or "").index(x, at)
+            begin.append(at)
+            at += len(x)
+        hit = set()
+        for k in range(len(w) - over):
+            if count[tuple(w[k:k + over + 1])] > 1:
+                hit.update(range(begin[k], begin[k + over] + len(w[k + over])))
+        want[i] = len(hit)
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(4).withColumn("N_passage", F.lit("x"))
+    got = remove_repeats(df, tell_words=over)
+    assert {r.doc_id: r.n_passage for r in got.collect()} == want and any(want.values()) and not all(want.values())
+    assert all(r.kept.decode() == (r.text or "") and r.n_removed == 0 for r in got.collect())  # under 400 bytes
+    assert got.columns == ["doc_id", "text", "n_bytes", "n_removed", "removed", "kept", "n_passage"]

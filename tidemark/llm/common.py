@@ -124,52 +124,37 @@ def joined(values: list[bytes], gap: bytes = b"\n") -> tuple[np.ndarray, np.ndar
     return data, np.concatenate(([0], np.cumsum(sizes)))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """p^i and p^-i modulo 2^64 for i < n."""
-    global _POW
-    if len(_POW[0]) < n:
-        size = max(n, 1 << 16)
-        out = []
-        for base in (int(K3), pow(int(K3), -1, 1 << 64)):
-            a = np.full(size, base, U64)
-            a[0] = 1
-            out.append(np.multiply.accumulate(a))
-        _POW = tuple(out)
-    return _POW[0][:n], _POW[1][:n]
-
+#: Masks of the first 0 to 8 bytes of a lane.
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
-_POW: tuple[np.ndarray, np.ndarray] = (np.zeros(0, U64), np.zeros(0, U64))
 
+def named(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit id of each string ``data[start:end]``, none of them empty.
 
-#: Masks of the first 0 to 8 bytes of a lane.
-_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+    It sums the string's eight-byte lanes, each scrambled with its place by a
+    bijection that no polynomial describes, and the length: strings that differ
+    in one lane never share an id, others by chance only (1 in 2^64)."""
+    size = ends - starts
+    lanes = (size + 7) >> 3
+    lane = np.cumsum(lanes) - lanes
+    of = np.repeat(np.arange(len(size)), lanes)
+    k = np.arange(len(of)) - lane[of]
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    view = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # eight bytes from each byte on
+    x = view[starts[of] + 8 * k] & _HEAD[np.minimum(size[of] - 8 * k, 8)]
+    x = mix(mix(x ^ K1) + (k + 1).astype(U64) * K2)
+    return mix((np.add.reduceat(x, lane) if len(lane) else x) + size.astype(U64) * K3)
 
 
 def words(values: list[bytes], separators: np.ndarray = SPACES
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A 64-bit id per lower-cased word, words per row, and each word's first
-    byte in its row.  A row's words are consecutive.
-
-    An id sums a word's eight-byte lanes, each scrambled with its place by a
-    bijection that no polynomial describes, and the length: words that differ
-    in one lane never share an id, others by chance only (1 in 2^64)."""
+    byte in its row.  A row's words are consecutive."""
     data, begins = joined(values)
-    low = LOWER[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], separators[data])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    size = ends - starts
-    lanes = (size + 7) >> 3
-    lane = np.cumsum(lanes) - lanes
-    word = np.repeat(np.arange(len(size)), lanes)
-    k = np.arange(len(word)) - lane[word]
-    padded = np.concatenate((low, np.zeros(8, np.uint8)))
-    view = np.ndarray((len(low) + 1,), "<u8", padded, strides=(1,))  # eight bytes from each byte on
-    x = view[starts[word] + 8 * k] & _HEAD[np.minimum(size[word] - 8 * k, 8)]
-    x = mix(mix(x ^ K1) + (k + 1).astype(U64) * K2)
-    ids = mix((np.add.reduceat(x, lane) if len(lane) else x) + size.astype(U64) * K3)
     per = np.diff(np.searchsorted(starts, begins))
-    first = starts - np.repeat(begins[:-1], per)
-    return ids, per, first
+    return named(LOWER[data], starts, ends), per, starts - np.repeat(begins[:-1], per)
 
 
 def write_arrow(schema: pa.Schema, **columns) -> pa.RecordBatch:

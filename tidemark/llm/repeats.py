@@ -27,7 +27,8 @@ rows with one text share one result and nothing needs a row number.
 
 Edge cases: null is empty; texts shorter than ``length`` lose nothing; repeated
 rows are each other's copies, so they lose every byte (if long enough).  Very
-long texts are cut into overlapping pieces (``PIECE`` windows), no window lost.
+long texts are cut into overlapping pieces (``PIECE`` windows), no window lost.  An
+empty table gives no row; a caller's column named like an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -41,9 +42,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (K1, K2, SPACES, U64, blocks, byte_class, discard, joined, materialise, mix,
-                                 powers, record, table, texts, unpack)
+                                 named, record, table, texts, unpack)
 
 LENGTH = 400
+#: The query tells of repeated strings of more words than this, too.
+PASSAGE_WORDS = 50
 #: Window starts handled at a time.
 PIECE = 1 << 18
 #: One position in so many is a candidate for an anchor at first.
@@ -322,10 +325,7 @@ def _word_anchors(count: int):
                 begin, end = word_places(data)
                 if len(begin) < count:
                     continue
-                power, inverse = powers(len(data) + 1)
-                sums = np.concatenate((np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * power[:-1])))
-                name = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(U64) * K2)
-                h = 1
+                name, h = named(data, begin, end), 1
                 while h < size:
                     name = _refine(name[:-h], name[h:])
                     h *= 2
@@ -381,9 +381,19 @@ def repeated_words(docs: DataFrame, text: str, over: int) -> DataFrame:
     return spans
 
 
+def _covered(places: pa.Array, size: int) -> np.ndarray:
+    """Which bytes of a text some span covers."""
+    edge = np.zeros(size + 1, np.int32)
+    np.add.at(edge, places.field(0).to_numpy(), 1)
+    np.add.at(edge, places.field(1).to_numpy(), -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def _cut(batches, whole_characters: bool):
     for batch in batches:
         values = texts(batch.column("text"))
+        passages = [0 if p.values is None or not len(p.values) else int(_covered(p.values, len(v)).sum())
+                    for v, p in zip(values, batch.column("passages"))]
         kept, removed, runs = [], [], []
         for v, spans in zip(values, batch.column("spans")):
             places = spans.values
@@ -392,10 +402,7 @@ def _cut(batches, whole_characters: bool):
                 removed.append(0)
                 runs.append([])
                 continue
-            edge = np.zeros(len(v) + 1, np.int32)
-            np.add.at(edge, places.field(0).to_numpy(), 1)
-            np.add.at(edge, places.field(1).to_numpy(), -1)
-            hit = np.cumsum(edge[:-1]) > 0
+            hit = _covered(places, len(v))
             if whole_characters:
                 lead = np.flatnonzero((np.frombuffer(v, np.uint8) & 0xC0) != 0x80)
                 lead = np.union1d(lead, [0])
@@ -408,34 +415,44 @@ def _cut(batches, whole_characters: bool):
             [batch.column("rec"), pa.array([len(v) for v in values], pa.int64()),
              pa.array(removed, pa.int64()),
              pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-             pa.array(kept, pa.binary())],
-            names=["rec", "n_bytes", "n_removed", "removed", "kept"])
+             pa.array(kept, pa.binary()), pa.array(passages, pa.int64())],
+            names=["rec", "n_bytes", "n_removed", "removed", "kept", "n_passage"])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, keep: list[str] | None = None,
-                   whole_characters: bool = False, over_words: int | None = None) -> DataFrame:
+                   whole_characters: bool = False, over_words: int | None = None,
+                   tell_words: int | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep`` only, so that texts need not travel
     twice) with ``n_bytes``, ``n_removed``, ``removed`` (maximal runs, an array of
     start and stop) and ``kept`` (the remaining bytes).  With
     ``whole_characters`` a character that a run cuts in two goes as a whole.
     With ``over_words`` repeated strings of more words than that go too, though
-    they have fewer bytes than ``length``."""
+    they have fewer bytes than ``length``.  With ``tell_words`` a column
+    ``n_passage`` says how many bytes lie in repeated strings of more words than
+    that, which stay (a passage of short words has fewer bytes than ``length``)."""
     spans = repeated_spans(docs, text, length)
+    told = None
+    if tell_words is not None:
+        told = repeated_words(docs, text, tell_words).withColumnRenamed("spans", "passages")
     if over_words is not None:
         both = spans.unionByName(repeated_words(docs, text, over_words))
         spans = both.groupBy("r1", "r2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     names = docs.columns if keep is None else keep
     rows = docs.select(record(docs, keep=names), F.col(text).alias("text"), *_digest(F.col(text)))
     rec = rows.schema["rec"].dataType.simpleString()
-    cut = (rows.join(spans, ["r1", "r2"], "left").select("rec", "text", "spans")
+    none = F.lit(None).cast("array<struct<s:bigint,e:bigint>>").alias("passages")
+    if told is not None:  # one row a text on either side: the texts are dealt once
+        spans, none = spans.join(told, ["r1", "r2"], "full_outer"), F.col("passages")
+    cut = (rows.join(spans, ["r1", "r2"], "left").select("rec", "text", "spans", none)
            .mapInArrow(lambda batches: _cut(batches, whole_characters), f"rec {rec}, n_bytes bigint, n_removed bigint, "
-                             "removed array<struct<start:bigint,stop:bigint>>, kept binary"))
-    outs = {c: F.col(c) for c in ("n_bytes", "n_removed", "removed", "kept")}
+                             "removed array<struct<start:bigint,stop:bigint>>, kept binary, n_passage bigint"))
+    outs = {c: F.col(c) for c in ("n_bytes", "n_removed", "removed", "kept")
+            + (("n_passage",) if tell_words is not None else ())}
     return cut.select(*unpack(names, outs))
 
 
 def op2_bucket_pointers(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = remove_repeats(docs, keep=["doc_id"])
+    cut = remove_repeats(docs, keep=["doc_id"], tell_words=PASSAGE_WORDS)
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), "n_passage", (F.col("n_passage") > 0).alias("has_passage"))
