@@ -41,7 +41,7 @@ CUSTOMER_LOG = {
     "address_line1": "CAST(event_id AS STRING) || ' Main Street'",
     "address_line2": "CAST(NULL AS STRING)",
     "city": "substr(props, 1, 20)",
-    "state": "CASE WHEN user_id % 2 = 0 THEN 'NY' ELSE 'CA' END",
+    "state": "CASE user_id % 3 WHEN 0 THEN 'NY' WHEN 1 THEN 'CA' ELSE 'TX' END",
     "postal_code": "CAST(user_id AS STRING)",
     "country": "'US'",
     "customer_status": "CASE event_type WHEN 'view' THEN 'CLOSED' WHEN 'click' THEN 'INACTIVE' ELSE 'ACTIVE' END",
