@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import K1, K2, K3, U64, blocks, discard, materialise, mix, record, table, texts, unpack, words
@@ -264,13 +264,13 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
 
     keyed = (docs.select(F.col(text).alias("text"))
              .mapInArrow(_keyed(n, num, den), "s1 bigint, need int, list array<bigint>")
-             .select(F.explode("list").alias("k"), "s1", "need")
-             .repartition("k"))  # one exchange for both sides of ``met``: texts are shingled once
+             .select(F.explode("list").alias("k"), "s1", "need"))
 
     def met(rows):
-        """Rows of buckets with two sets or more."""
-        shared = rows.groupBy("k").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b").select("k")
-        return rows.join(shared, "k", "left_semi")
+        """Rows of buckets with two sets or more: one exchange and one sort."""
+        bucket = Window.partitionBy("k")
+        return (rows.select("*", F.min("s1").over(bucket).alias("_a"), F.max("s1").over(bucket).alias("_b"))
+                .where("_a <> _b").select("k", "s1", "need"))
 
     near = kept(met(keyed), "near")
     for _ in range(PEELS):
