@@ -147,6 +147,14 @@ def test_top_k(spark):
         best = sorted((-sum(a * int(np.floor(64 * b)) for a, b in zip(v, rows[c][1])), c) for c in range(60) if c != q)
         want += [(q, i + 1, c, -s) for i, (s, c) in enumerate(best[:7])]
     assert got == sorted(want)
+    # Few components each: short postings, and rows that share none with a query.
+    thin = [(i, [float(rng.integers(-9, 9)) if rng.random() < .06 else 0.0 for _ in range(30)]) for i in range(200)]
+    got = topk.top_k(spark.createDataFrame(thin, "vec_id int, embedding array<double>"), F.col("vec_id") % 40 == 0, k=9)
+    want = []
+    for q in range(0, 200, 40):
+        best = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(thin[q][1], thin[c][1])), c) for c in range(200) if c != q)
+        want += [(q, i + 1, c, -s) for i, (s, c) in enumerate(best[:9])]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
     assert len(topk.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0).collect()) == 2
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
 

@@ -2,16 +2,18 @@
 
 Vectors become integer rows, ``floor(scale * x)``.  Candidates and queries are
 dealt into blocks; each pair of a query block and a candidate block is one
-group.  There the candidates are turned into postings (per component, the rows
-with a non-zero weight); for a few components at a time the queries scatter
-their weights times the postings into dense score arrays, and a partition
-selection keeps each query's best.  A merge by query ranks what the blocks kept.
+group.  There the candidates are turned into postings: per component, the rows
+with a non-zero weight and their weights.  A query's terms are its non-zero
+components; term by term, its weight times the term's posting is scattered into
+a dense score array over the block, which stays in cache, and a partition
+selection keeps the query's best.  A merge by query ranks what the blocks kept.
 
 Edge cases: rows whose vector is null, or holds a null, NaN or infinite
 component, take no part; vectors of other lengths count their missing
 components as zero; a query's own id is no candidate; repeated rows of one id
 and vector ask once, and are candidates each; ties go to the smaller id.  Row
-ids must not be null (such rows take no part).
+ids must not be null (such rows take no part).  An empty table gives no row; the
+result has no column of the caller's.
 """
 
 from __future__ import annotations
@@ -26,10 +28,31 @@ from tidemark.llm.common import table
 K, SCALE = 20, 64
 #: Rows of a candidate block and of a query block.
 CANDIDATES, QUERIES = 8192, 2048
-#: Queries and candidates whose score array is filled at a time (stays in cache).
-TILE_Q, TILE_C = 64, 2048
-#: Components whose postings are scattered together.
-TERMS = 16
+
+
+def _postings(block: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
+    """(rows, weights) of each component's non-zero entries, rows ascending.  A
+    posting with a quarter of the rows is kept at full length, zeros included:
+    a run of memory is scattered faster than so many places."""
+    out = []
+    for column in block.T:
+        rows = np.flatnonzero(column)
+        full = 4 * len(rows) >= len(block)
+        out.append((slice(None), column.copy()) if full else (rows, column[rows].copy()))
+    return out
+
+
+def _scores(query: np.ndarray, postings: list, buffer: np.ndarray) -> np.ndarray:
+    """One query's scores: each of its terms scatters its weighted posting."""
+    score = np.zeros(len(buffer), buffer.dtype)
+    for term in np.flatnonzero(query):
+        rows, weights = postings[term]
+        part = np.multiply(weights, query[term], out=buffer[:len(weights)])
+        if isinstance(rows, slice):
+            score += part
+        else:
+            score[rows] += part
+    return score
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -54,35 +77,24 @@ def _best(k: int):
             twin = queries.column("twin").to_numpy()
             order = np.argsort(cid, kind="stable")
             c, cid = c[order], cid[order]
-            for a in range(0, len(q), TILE_Q):
-                part = q[a:a + TILE_Q]
-                score = np.zeros((len(part), len(c)), kind)
-                for b in range(0, len(c), TILE_C):
-                    tile, block = score[:, b:b + TILE_C], c[b:b + TILE_C]
-                    for t in range(0, dim, TERMS):  # the postings of a few components
-                        weight, posting = part[:, t:t + TERMS], block[:, t:t + TERMS]
-                        has = np.flatnonzero(posting.any(1))
-                        if len(has) == len(block):
-                            tile += weight @ posting.T
-                        elif len(has) and weight.any():
-                            tile[:, has] += weight @ posting[has].T
-                for i in range(len(part)):
-                    s, ids = score[i], cid
-                    own = np.searchsorted(ids, qid[a + i]), np.searchsorted(ids, qid[a + i], "right")
-                    if own[0] < own[1]:
-                        s, ids = np.delete(s, np.arange(*own)), np.delete(ids, np.arange(*own))
-                    if not len(s):
-                        continue
-                    if len(s) > k:
-                        least = np.partition(s, len(s) - k)[len(s) - k]
-                        above = np.flatnonzero(s > least)
-                        top = np.concatenate((above, np.flatnonzero(s == least)[: k - len(above)]))  # ids ascend
-                    else:
-                        top = np.arange(len(s))
-                    out["query_id"].append(np.full(len(top), qid[a + i]))
-                    out["twin"].append(np.full(len(top), twin[a + i]))
-                    out["vec_id"].append(ids[top])
-                    out["score"].append(s[top].astype(np.int64))
+            postings, buffer = _postings(c), np.empty(len(c), kind)
+            for i in range(len(q)):
+                s, ids = _scores(q[i], postings, buffer), cid
+                own = np.searchsorted(ids, qid[i]), np.searchsorted(ids, qid[i], "right")
+                if own[0] < own[1]:
+                    s, ids = np.delete(s, np.arange(*own)), np.delete(ids, np.arange(*own))
+                if not len(s):
+                    continue
+                if len(s) > k:
+                    least = np.partition(s, len(s) - k)[len(s) - k]
+                    above = np.flatnonzero(s > least)
+                    top = np.concatenate((above, np.flatnonzero(s == least)[: k - len(above)]))  # ids ascend
+                else:
+                    top = np.arange(len(s))
+                out["query_id"].append(np.full(len(top), qid[i]))
+                out["twin"].append(np.full(len(top), twin[i]))
+                out["vec_id"].append(ids[top])
+                out["score"].append(s[top].astype(np.int64))
         return pa.table({n: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
                          for n, v in out.items()})
     return run
@@ -106,7 +118,8 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
     q_blocks = max(1, -(-asked.count() // QUERIES))
 
     def dealt(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return (df.withColumn(own, F.pmod(F.xxhash64("id", "v"), F.lit(own_n)))
+        # The row's number goes in, so that copies of one row do not share a block.
+        return (df.withColumn(own, F.pmod(F.xxhash64("id", "v", F.monotonically_increasing_id()), F.lit(own_n)))
                 .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(other_n - 1).cast("bigint")))))
 
     left = dealt(asked, "qb", q_blocks, "cb", c_blocks).groupBy("qb", "cb")
