@@ -29,7 +29,9 @@ vertical fragments, and with it every text's set.
 Edge cases: a text with fewer words than ``n`` is one n-gram of all its words;
 null, empty and blank texts have the empty set, are linked with nothing, and
 keep their own id; null ids count as larger than all others, and a component
-of null ids alone has a null id.  Repeated rows are copies like any others.
+of null ids alone has a null id.  Repeated rows are copies like any others; an
+empty table gives no row; a very long text is one set of all its n-grams; a
+caller's column named like an output is replaced by it.
 """
 
 from __future__ import annotations

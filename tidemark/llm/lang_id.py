@@ -14,7 +14,8 @@ count decides; its share of the text's n-grams is the score.
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; rows
 without language are not learned from; with nothing learned every row is
 ``und``; no hit at all gives the language with most training texts, score 0;
-ties go to the smallest language name.
+ties go to the smallest language name.  An empty table gives no row; a very long
+text counts all its n-grams; a caller's column named like an output is replaced.
 """
 
 from __future__ import annotations

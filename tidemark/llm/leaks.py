@@ -19,7 +19,9 @@ scanned for by itself; so what is sent never grows with the benchmark.  No
 document text is shuffled.
 
 Edge cases: null and empty texts and items match nothing; repeated items give a
-row each; repeated documents too.
+row each; repeated documents too.  An empty table on either side gives no leak;
+of a very long text only the regions around seeds are aligned; a caller's column
+named like an output is replaced by it.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ Everything happens within the row: no shuffle, no join, no Python.  Texts
 without any keyword cost one pass.
 
 Edge cases: null text is empty: no words, no labels, score 0.  Repeated rows are
-scanned each.
+scanned each; an empty table gives no row; a very long text is scanned whole, in
+one task; a caller's column named like an output is replaced by it.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ same vocabulary (``byte_bpe_50k.tiktoken``), which gives the same ids there
 (tested); every other text goes through ``tokenizers``.
 
 Edge cases: a null or empty text has the end id alone; an empty table gives no
-row; repeated rows are packed as often as they occur.
+row; repeated rows are packed as often as they occur; a very long text has as
+many pieces as windows; a caller's column named like an output is replaced.
 """
 
 from __future__ import annotations

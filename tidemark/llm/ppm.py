@@ -20,7 +20,9 @@ them.
 
 Edge cases: null text is empty (its end alone is scored); with no training text
 all 257 symbols are equally likely and no word is known; repeated rows count
-and are scored each.
+and are scored each; an empty table gives no row; a text longer
+than a chunk is a chunk by itself; a caller's column named like an output is
+replaced by it.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ original text; edits of a text must not overlap and may come in any order
 (insertions at one place keep theirs).
 
 Edge cases: null text is empty; null edits are no edits; an edit past the end is
-cut to the text.  Repeated rows are counted each.
+cut to the text; edits must not overlap.  Repeated rows are counted each; an
+empty table gives no row; a very long text, or one long word, costs time in
+proportion to its length; a caller's column named like an output is replaced.
 """
 
 from __future__ import annotations
