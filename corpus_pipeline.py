@@ -16,6 +16,11 @@ kept; every one but the last returns the columns it was given.
 * ``decontaminate`` drops documents that hold a benchmark passage: half of an
   item, or the whole of one with fewer than ``WHOLE_BELOW`` words.
 * ``packing`` returns the pieces of the packed sequences.
+
+Edge cases: a row without text leaves at the first stage, one without words
+passes the others; a null id is an id like others; of equal rows one stays; an
+empty table gives no row; very long texts are worked on whole; columns beyond
+those of ``documents`` are carried along.
 """
 
 from __future__ import annotations
