@@ -76,7 +76,7 @@ def test_pages_of_one_key(spark, monkeypatch):
     # A third of all rows have one key; several tasks share it.
     monkeypatch.setattr(sharding, "PAGES", 2)
     rng = random.Random(3)
-    mixed = [("hot" if i % 3 == 0 else f"s{i % 400}", "t" * rng.randrange(200), i) for i in range(3000)]
+    mixed = [("hot" if i % 3 == 0 else f"s{i % 400}", "t" * rng.randrange(200), i) for i in range(1500)]
     df = spark.createDataFrame(mixed, "source string, text string, n int").repartition(6)
     out, held = sizes(df, 2000)
     assert sorted((r.source, r.text, r.n) for r in out) == sorted(mixed)
