@@ -27,7 +27,7 @@ def state(df):
     return sorted((r.k, r.v) for r in last.collect())
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_any_interleaving_of_load_and_log(spark, seed):
     """Chunks are read at any moment of their windows; the log begins with the first."""
     rnd = random.Random(seed)
@@ -75,7 +75,7 @@ def two_states(spark, seed, n=400, changes=25):
     return [spark.createDataFrame([(k, *v) for k, v in s.items()], COLS).repartition(3) for s in (a, b)] + [a, b]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_feed_leads_from_one_state_to_the_other(spark, seed):
     prev, curr, a, b = two_states(spark, seed)
     feed = change_feed(prev, curr, ["k"], ["v", "n"])
@@ -89,7 +89,7 @@ def test_feed_leads_from_one_state_to_the_other(spark, seed):
     assert change_feed(prev, prev, ["k"], ["v", "n"]).count() == 0
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("seed", [3])
 def test_reconcile_equals_the_join(spark, seed):
     prev, curr, *_ = two_states(spark, seed)
     at = dt.datetime(2024, 1, 1)

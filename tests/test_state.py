@@ -16,13 +16,13 @@ from tidemark.streaming.upsert import read_upserts, start_quarantine, start_upse
 from test_equivalence import canon, random_log
 
 
-@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("seed", [4])
 def test_any_grouping_of_batches(spark, seed):
     rnd = random.Random(seed)
     df = log(spark, random_log(seed, n=220, batches=6)).cache()
     want = canon(replay(df))
     folds = [fold_batches(df.where(F.col("b") == b), SPEC, "b", "_bts").cache() for b in range(6)]
-    for _ in range(3):
+    for _ in range(2):
         parts = list(folds)
         while len(parts) > 1:  # merge any two, in any order
             x, y = parts.pop(rnd.randrange(len(parts))), parts.pop(rnd.randrange(len(parts)))
@@ -85,7 +85,7 @@ def table(df):
     return sorted(((r.k, r.v, r.amount, r.big, r.created, r.shout, r.is_deleted) for r in df.collect()), key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_stream_equals_replay(spark, scratch, seed):
     rnd = random.Random(seed)
     raw, out, ckpt = (f"{scratch}/{n}" for n in ("raw", "out", "ckpt"))
