@@ -45,8 +45,6 @@ from tidemark.llm.common import (K1, K2, SPACES, U64, blocks, byte_class, discar
                                  named, record, table, texts, unpack)
 
 LENGTH = 400
-#: The query tells of repeated strings of more words than this, too.
-PASSAGE_WORDS = 50
 #: Window starts handled at a time.
 PIECE = 1 << 18
 #: One position in so many is a candidate for an anchor at first.
@@ -343,11 +341,18 @@ def _word_anchors(count: int):
 
 
 def _word_windows(count: int):
-    """Every string of ``count`` words of the needed anchors, with a 128-bit name."""
+    """Every string of ``count`` words of the needed anchors, with a 128-bit name.
+    Copies of a text come one after the other; two of them tell that it repeats,
+    so further ones say nothing more."""
     def run(batches):
+        last, copies = None, 0
         for batch in batches:
             r1, r2 = batch.column("r1"), batch.column("r2")
             for i, v in enumerate(texts(batch.column("text"))):
+                key = r1[i].as_py(), r2[i].as_py()
+                last, copies = key, copies + 1 if key == last else 1
+                if copies > 2:
+                    continue
                 need = batch.column("need").slice(i, 1).flatten()
                 at = _expand(need.field("first").to_numpy(), need.field("last").to_numpy())[1]
                 begin, end = word_places(np.frombuffer(v, np.uint8))
@@ -453,6 +458,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
 
 def op2_bucket_pointers(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = remove_repeats(docs, keep=["doc_id"], tell_words=PASSAGE_WORDS)
+    cut = remove_repeats(docs, keep=["doc_id"])
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"), "n_passage", (F.col("n_passage") > 0).alias("has_passage"))
+                      F.sha2("kept", 256).alias("kept_sha256"))
