@@ -18,19 +18,26 @@ Physical strategy (chosen per batch from the measured size of the delta):
 * ``shuffle``: one full outer join on the key.  Used when the delta is too
   large to broadcast; a full outer join can neither broadcast a side nor have
   its partitions split, but both sides hold each key once, so none is skewed.
+
+Batches that are all at hand (a backlog) go through :func:`merge_run`: their
+events meet the target's row once and the same clauses are applied to it batch
+after batch, so the table is not moved and written again for each of them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
-from typing import Sequence
+from functools import reduce
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.keys import assign_keys, dense_keys, with_computed
+from tidemark.operators.latest import packed_event
+from tidemark.session import cut_lineage
 from tidemark.spec import OP_DELETE, OP_INSERT, OP_UPDATE, TableSpec
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -94,29 +101,32 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
 
 
 def _project(spec: TableSpec, keys: list[str], t_present: Column, s_present: Column,
-             batch_ts: Column, guard_late: bool, target_cols: set[str]) -> list[Column]:
-    op = F.col("s__" + spec.op_col)
+             batch_ts: Column, guard_late: bool, target_cols: set[str],
+             old: Callable[[str], Column] = lambda c: F.col("t__" + c),
+             new: Callable[[str], Column] = lambda c: F.col("s__" + c)) -> list[Column]:
+    """The clauses for one row: keys, then the curated columns, out of the
+    target's cells (``old``) and the event's (``new``)."""
+    op = new(spec.op_col)
     matched = t_present & s_present
     fresh = F.lit(True)
     if guard_late:
         # opt-in: an event older than the applied one never overwrites it
-        fresh = F.col("t___last_event_ts").isNull() | \
-            (F.col("s__" + spec.ts_col) >= F.col("t___last_event_ts"))
+        fresh = old("_last_event_ts").isNull() | (new(spec.ts_col) >= old("_last_event_ts"))
     do_delete = matched & (op == OP_DELETE) & fresh
     do_update = matched & op.isin(OP_UPDATE, OP_INSERT) & fresh
     do_touch = do_delete | do_update
 
     def t(c: str) -> Column:
-        return F.col("t__" + c) if c in target_cols else F.lit(None)
+        return old(c) if c in target_cols else F.lit(None)
 
     out: list[Column] = [F.col(k) for k in keys]
     upd = [c for c in spec.update_columns if c not in keys]
     ins = [c for c in spec.insert_only if c not in keys and c not in upd]
     for c in upd:
-        out.append(F.when(~t_present | do_update, F.col("s__" + c))
+        out.append(F.when(~t_present | do_update, new(c))
                    .otherwise(t(c)).alias(c))
     for c in ins:
-        out.append(F.when(~t_present, F.col("s__" + c)).otherwise(t(c)).alias(c))
+        out.append(F.when(~t_present, new(c)).otherwise(t(c)).alias(c))
     if spec.surrogate_key:
         out.append(t(spec.surrogate_key).cast("bigint").alias(spec.surrogate_key))
     if spec.has_first_seen:
@@ -128,7 +138,7 @@ def _project(spec: TableSpec, keys: list[str], t_present: Column, s_present: Col
                .when(do_update, F.lit(False)).otherwise(t("is_deleted"))
                .alias("is_deleted"))
     if guard_late:
-        out.append(F.when(~t_present | do_touch, F.col("s__" + spec.ts_col))
+        out.append(F.when(~t_present | do_touch, new(spec.ts_col))
                    .otherwise(t("_last_event_ts")).alias("_last_event_ts"))
     return out
 
@@ -196,6 +206,76 @@ def merge_changes(target: DataFrame, latest: DataFrame, spec: TableSpec,
     return out.select(*cols)
 
 
+def aligned_events(log: DataFrame, spec: TableSpec, batch_col: str, batches: Sequence[int]) -> DataFrame:
+    """Keys and ``_events``: the latest event of each of the given batches, in
+    their order.
+
+    One keyed aggregation with a maximum a batch: map-side combined, so a key
+    with a third of all events is one row a task, and the only exchange of the
+    log.  A null key equals no other, not even itself, so its batches stay rows
+    of their own, as the join on the key leaves them.
+    """
+    keys = list(spec.keys)
+    columns = list(dict.fromkeys([spec.op_col, *[c for c in spec.event_columns if c not in keys]]))
+    event, place = packed_event(log, spec, columns)
+    picked = log.groupBy(*keys).agg(*[F.max(F.when(F.col(batch_col) == b, event)).alias(f"_b{i}")
+                                      for i, b in enumerate(batches)])
+    events = F.filter(F.array(*[
+        F.when(F.col(f"_b{i}").isNotNull(), F.struct(
+            F.lit(i).alias("_i"), *[F.col(f"_b{i}")[f].alias(c) for c, f in place.items()]))
+        for i in range(len(batches))]), lambda e: e.isNotNull())
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    runs = F.when(null_key, F.transform("_events", lambda e: F.array(e))).otherwise(F.array("_events"))
+    return picked.select(*keys, events.alias("_events")).select(*keys, F.explode(runs).alias("_events"))
+
+
+def merge_run(target: DataFrame | None, log: DataFrame, spec: TableSpec, batch_col: str,
+              batches: Mapping[int, _dt.datetime], key_base: int = 0) -> DataFrame:
+    """Apply whole batches of the change log ``log``, one after the other.
+
+    Equal to de-duplicating each of ``batches`` (batch -> merge time, in order)
+    and applying it by :func:`merge_changes` with ``dense`` keys.  The target,
+    None for an empty one, meets all events of a key in one join; then the
+    clauses run over them in batch order.  So the cost is one exchange of the
+    log and one of the target, however many batches there are.
+    """
+    keys = list(spec.keys)
+    log = log.where(F.col(batch_col).isin(list(batches)))
+    schema = (empty_target(log.sparkSession, spec, log.schema) if target is None else target).schema
+    cells = [c for c in spec.event_columns if c not in keys]
+    cells += [c for c in (spec.surrogate_key,) if c]
+    cells += [c for c in spec.curated_columns if c not in cells + keys and c not in spec.computed]
+    # ``_new`` is null for a row of the target, else the batch that inserted it.
+    state = T.StructType([schema[c] for c in cells] + [T.StructField("_new", T.IntegerType())])
+    nothing = F.lit(None).cast(state)
+    times = F.array(*[F.lit(t).cast("timestamp_ntz") for t in batches.values()])
+
+    def apply(row: Column, event: Column) -> Column:
+        there = row.isNotNull()
+        insertable = F.coalesce(event[spec.op_col] != F.lit(OP_DELETE), F.lit(False))
+        after = _project(spec, [], there, F.lit(True), F.get(times, event["_i"]), False, set(cells),
+                         lambda c: row[c], lambda c: event[c])
+        after.append(F.when(there, row["_new"]).otherwise(event["_i"]))
+        return F.when(there | insertable, F.struct(*after).cast(state)).otherwise(nothing)
+
+    rows = aligned_events(log, spec, batch_col, list(batches))
+    if target is None:
+        rows = rows.withColumn("_row", nothing)
+    else:
+        held = F.struct(*cells, F.lit(None).cast("int").alias("_new")).cast(state)
+        rows = target.select(*keys, held.alias("_row")).join(rows, keys, "full_outer")
+    merged = F.when(F.col("_events").isNull(), F.col("_row")).otherwise(F.aggregate("_events", F.col("_row"), apply))
+    rows = rows.select(*keys, merged.alias("_row")).where(F.col("_row").isNotNull()).select(*keys, "_row.*")
+    if spec.surrogate_key:
+        if target is not None:
+            rows = cut_lineage(rows, "run")
+        new = rows.where(F.col("_new").isNotNull()).drop(spec.surrogate_key)
+        new = dense_keys(new, ["_new", *keys], spec.surrogate_key, int(key_base))
+        rows = new if target is None else rows.where(F.col("_new").isNull()).unionByName(new)
+    out = with_computed(rows, spec)
+    return out.select(*[c for c in spec.curated_columns if c in out.columns])
+
+
 def empty_target(spark, spec: TableSpec, latest_schema: T.StructType,
                  guard_late: bool = False) -> DataFrame:
     """Empty curated table whose column types follow the event columns."""
