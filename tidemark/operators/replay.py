@@ -21,6 +21,8 @@ partition in each exchange.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +33,16 @@ from tidemark.spec import OP_DELETE, TableSpec
 
 def replay_changes(events: DataFrame, spec: TableSpec, batch_col: str,
                    batch_ts_col: str | None = None, with_keys: bool = True,
-                   dense: bool = False) -> DataFrame:
+                   dense: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
     """The curated table.  ``dense`` gives the surrogate keys that batch-wise
-    merges with ``dense`` give: gap-free, by first batch and key."""
+    merges with ``dense`` give: gap-free, by first batch and key.  ``columns``
+    names the event columns that are wanted: no other value of an event but its
+    order enters an exchange, and computed columns are left out."""
     keys = list(spec.keys)
     op = spec.op_col
     batch_ts_col = batch_ts_col or batch_col
-    upd = [c for c in spec.update_columns if c not in keys]
-    ins = [c for c in spec.insert_only if c not in keys and c not in upd]
+    upd = [c for c in spec.update_columns if c not in keys and (columns is None or c in columns)]
+    ins = [c for c in spec.insert_only if c not in keys and c not in upd and (columns is None or c in columns)]
 
     needed = list(dict.fromkeys(
         keys + [op, spec.ts_col, *spec.tiebreak, batch_col, batch_ts_col] + upd + ins))
@@ -49,7 +53,7 @@ def replay_changes(events: DataFrame, spec: TableSpec, batch_col: str,
     live_b = F.when(live, F.col(batch_col))
     aggs = [
         F.min(live_b).alias("_first_live"),
-        F.max_by(F.when(live, F.struct(*upd)), live_b).alias("_upd"),
+        *([F.max_by(F.when(live, F.struct(*upd)), live_b).alias("_upd")] if upd else []),
         F.min_by(F.when(live, F.struct(*ins, F.col(batch_ts_col).alias("_bts"))),
                  live_b).alias("_ins"),
         F.max_by(F.struct(F.col(op).alias("_op"), F.col(batch_ts_col).alias("_bts")),
@@ -59,14 +63,15 @@ def replay_changes(events: DataFrame, spec: TableSpec, batch_col: str,
 
     cols = [F.col(k) for k in keys]
     for c in spec.event_columns:
-        if c in keys:
-            continue
-        cols.append((F.col("_upd")[c] if c in upd else F.col("_ins")[c]).alias(c))
+        if c in upd or c in ins:
+            cols.append((F.col("_upd")[c] if c in upd else F.col("_ins")[c]).alias(c))
     if spec.has_first_seen:
         cols.append(F.col("_ins._bts").alias("dw_first_seen_at"))
     cols.append(F.col("_last._bts").alias("dw_last_updated_at"))
     cols.append((F.col("_last._op") == F.lit(OP_DELETE)).alias("is_deleted"))
-    out = with_computed(folded.select(*cols, "_first_live"), spec)
+    out = folded.select(*cols, "_first_live")
+    if columns is None:
+        out = with_computed(out, spec)
     if with_keys and spec.surrogate_key and dense:
         out = dense_keys(out, ["_first_live", *keys], spec.surrogate_key)
     elif with_keys and spec.surrogate_key:
