@@ -228,9 +228,13 @@ def inserted_items(spark, d):
 
 
 def reconcile_items(spark, d):
-    """``snapshot_diff`` by checksums of hash ranges."""
+    """``snapshot_diff`` by checksums of hash ranges.
+
+    A state is a fold of the log that the levels and the final join each read,
+    so it is written once as the layer it stands for."""
     from tidemark.plans.catalog import DIFF_CAPTURED_AT
-    return reconcile.reconcile(*_states(spark, d), ["k1", "k2"], IC_ATTRS, DIFF_CAPTURED_AT)
+    layers = [cut_lineage(s.select("k1", "k2", *IC_ATTRS), "layer") for s in _states(spark, d)]
+    return reconcile.reconcile(*layers, ["k1", "k2"], IC_ATTRS, DIFF_CAPTURED_AT)
 
 
 def live_fact_orders(spark, d):
