@@ -86,3 +86,20 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in op10_vertical_partitions(spark, d).collect()), key=repr)
     assert got == brute(rows)
+
+
+def test_common_fragments_bring_few_together(spark, monkeypatch):
+    from tidemark.llm import jaccard
+
+    rng, sizes, real = random.Random(5), [], jaccard.materialise
+
+    def counted(df, name, **options):
+        out = real(df, name, **options)
+        if name == "near":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    base = [f"b{i}" for i in range(80)]
+    jaccard.link_components(spark.createDataFrame([(edited(rng, base, 1),) for _ in range(12)], "text string").repartition(1))
+    assert 0 < sizes[-1] < 0.9 * sizes[-2]  # texts like each other have most buckets in common

@@ -11,7 +11,10 @@ vertical fragments, and with it every text's set.
   enter the border's own class).  A set that occupies ``m`` fragments shares
   ``m - H`` of them with any partner, so one that meets others in fewer is taken
   out before anything is compared.  Nor is a pair compared whose n-grams that
-  other candidates have could not make up the overlap.  A set whose n-grams occupy only ``H``
+  other candidates have could not make up the overlap.  Of the ``m - H`` shared
+  fragments one at least is outside the ``m - H - 1`` that most sets have, so a set
+  leaves these buckets: what is common to many texts brings few of them together.
+  A set whose n-grams occupy only ``H``
   fragments or fewer could miss a set like itself; such sets (nearly always
   none) also meet by the n-grams of their prefixes.  No bucket is capped.
 * **Counting.**  For a candidate pair the overlap is counted in each of
@@ -269,21 +272,31 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
              .select(F.explode("list").alias("k"), "s1", "need"))
 
     def met(rows):
-        """Rows of buckets with two sets or more: one exchange and one sort."""
+        """Rows of buckets with two sets or more, and how many: one exchange and one sort."""
         bucket = Window.partitionBy("k")
-        return (rows.select("*", F.min("s1").over(bucket).alias("_a"), F.max("s1").over(bucket).alias("_b"))
-                .where("_a <> _b").select("k", "s1", "need"))
+        return (rows.select("k", "s1", "need", F.min("s1").over(bucket).alias("_a"), F.max("s1").over(bucket).alias("_b"),
+                            F.count("*").over(bucket).alias("often"))
+                .where("_a <> _b").select("k", "s1", "need", "often"))
+
+    def replaced(before, rows):
+        after = kept(rows, "near")
+        used.remove(before)
+        discard([before])
+        return after
 
     near = kept(met(keyed), "near")
+    scheme = F.col("k").bitwiseAND(F.lit(255)).alias("scheme")
     for _ in range(PEELS):
         # Linked sets share ``need`` buckets of a scheme at least: a set that
         # meets others in fewer has no partner there.  Copies of a row from
         # several tasks count once.
-        scheme = F.col("k").bitwiseAND(F.lit(255)).alias("scheme")
         enough = (near.groupBy("s1", scheme, "need", "k").agg(F.lit(1))
                   .groupBy("s1", "scheme", "need").agg(F.count("*").alias("n")).where("n >= need").select("s1", "scheme"))
-        near = kept(met(near.withColumn("scheme", scheme).join(enough, ["s1", "scheme"], "left_semi")
-                               .select("k", "s1", "need")), "near")
+        near = replaced(near, met(near.withColumn("scheme", scheme).join(enough, ["s1", "scheme"], "left_semi")))
+    # Of ``need`` shared buckets one is outside any ``need - 1`` of either set, in
+    # one order of all buckets: each set leaves those most others have.
+    rank = F.dense_rank().over(Window.partitionBy("s1", scheme, "need").orderBy(F.desc("often"), F.desc("k")))
+    near = replaced(near, met(near.select("*", rank.alias("_r")).where("_r >= need")))
     bodies = (named_sets(docs.select(F.struct(F.col(text).alias("t")).alias("rec"), F.col(text).alias("text")), n, once=True)
               .select("s1", "s2", F.col("rec.t").alias("text"))
               .join(near.select("s1").distinct(), "s1", "left_semi"))
