@@ -103,3 +103,31 @@ def test_common_fragments_bring_few_together(spark, monkeypatch):
     base = [f"b{i}" for i in range(80)]
     jaccard.link_components(spark.createDataFrame([(edited(rng, base, 1),) for _ in range(12)], "text string").repartition(1))
     assert 0 < sizes[-1] < 0.9 * sizes[-2]  # texts like each other have most buckets in common
+
+
+def test_unlinked_texts_of_a_hot_group_are_not_all_compared(spark, monkeypatch):
+    from tidemark.llm import jaccard
+
+    rng, sizes, real = random.Random(8), {}, jaccard.materialise
+
+    def counted(df, name, **options):
+        out = real(df, name, **options)
+        sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    # Words left out of one text, up to six: alike in most fragments, often not linked.
+    base, rows = [f"b{i}" for i in range(120)], []
+    for i in range(240):
+        out = set(rng.sample(range(120), rng.randrange(7)))
+        rows.append((i, " ".join(w for j, w in enumerate(base) if j not in out)))
+    # Two groups with half their text in common, one of texts unlike their group's first.
+    for i in range(60):
+        other = [f"c{j}" for j in range(60)] + base[60:]
+        for _ in range(i % 9):
+            other.pop(rng.randrange(len(other)))
+        rows.append((1000 + i, " ".join(other)))
+    want = brute(rows)
+    assert len({c for _, _, c in want}) > 40
+    check(spark, rows)
+    assert sizes["pairs"] < 2 * len(rows)  # thousands when pivots met them one by one

@@ -21,12 +21,16 @@ vertical fragments, and with it every text's set.
   ``PARTS`` vertical parts separately and summed per pair; the exact integer
   test ``den * both >= num * union`` decides.
 * **Groups.**  Equal sets are one node from the start, so copies are never
-  expanded.  In each round every bucket's pivots (one a hash slot, ``MORE``
-  times as many slots each round) are compared with the bucket's members of other
-  components only; a compared pivot leaves its bucket, and a bucket whose
-  members are all connected is closed.  The rounds go on until no bucket is
-  open, so no link between components is lost, though pairs inside a component
-  need not be compared.
+  expanded.  Every bucket's pivot (the member with most in common with others)
+  is compared with all its members; those compared with the same pivot ``p`` are
+  a family, and two sets that meet are in a family.  In it a set is known by its
+  difference from ``p``, ``e``.  Two members that differ in ``d`` n-grams have
+  ``(e + e' - d) / 2`` n-grams of their differences in common, and linked ones in
+  different components one at least: were ``e + e' <= d``, both would be linked
+  with ``p``.  So they are found by the rarest n-grams of the differences, and
+  compared if enough n-grams are left after the first common one.  What all
+  texts of a family have in common brings none of them together.  No link between
+  components is lost, though pairs inside a component need not be compared.
 * **Components** by alternating large-star and small-star steps.
 
 Edge cases: a text with fewer words than ``n`` is one n-gram of all its words;
@@ -50,8 +54,6 @@ N = 4
 NUM, DEN = 85, 100
 #: Vertical parts in which overlaps are counted.
 PARTS = 8
-#: Pivots a bucket in the first round, and how much more in each next one.
-SLOTS, MORE = 1, 8
 #: How often sets that meet others too rarely are taken out before comparing.
 PEELS = 2
 
@@ -271,12 +273,12 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
              .mapInArrow(_keyed(n, num, den), "s1 bigint, need int, list array<bigint>")
              .select(F.explode("list").alias("k"), "s1", "need"))
 
-    def met(rows):
+    def met(rows, *more):
         """Rows of buckets with two sets or more, and how many: one exchange and one sort."""
         bucket = Window.partitionBy("k")
-        return (rows.select("k", "s1", "need", F.min("s1").over(bucket).alias("_a"), F.max("s1").over(bucket).alias("_b"),
+        return (rows.select("k", "s1", "need", *more, F.min("s1").over(bucket).alias("_a"), F.max("s1").over(bucket).alias("_b"),
                             F.count("*").over(bucket).alias("often"))
-                .where("_a <> _b").select("k", "s1", "need", "often"))
+                .where("_a <> _b").select("k", "s1", "need", *more, "often"))
 
     def replaced(before, rows):
         after = kept(rows, "near")
@@ -295,8 +297,10 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
         near = replaced(near, met(near.withColumn("scheme", scheme).join(enough, ["s1", "scheme"], "left_semi")))
     # Of ``need`` shared buckets one is outside any ``need - 1`` of either set, in
     # one order of all buckets: each set leaves those most others have.
-    rank = F.dense_rank().over(Window.partitionBy("s1", scheme, "need").orderBy(F.desc("often"), F.desc("k")))
-    near = replaced(near, met(near.select("*", rank.alias("_r")).where("_r >= need")))
+    own = Window.partitionBy("s1", scheme, "need")
+    rank = F.dense_rank().over(own.orderBy(F.desc("often"), F.desc("k")))
+    weight = F.avg("often").over(own) * F.max("_r").over(own)  # rows of a copy are averaged away
+    near = replaced(near, met(near.select("*", rank.alias("_r")).withColumn("weight", weight).where("_r >= need"), "weight"))
     bodies = (named_sets(docs.select(F.struct(F.col(text).alias("t")).alias("rec"), F.col(text).alias("text")), n, once=True)
               .select("s1", "s2", F.col("rec.t").alias("text"))
               .join(near.select("s1").distinct(), "s1", "left_semi"))
@@ -315,52 +319,73 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
         """Whether an overlap of ``core`` is enough for sizes ``x`` and ``y``."""
         return den * core >= num * (x + y - core)
 
-    members = near.join(cores, "s1").select("k", "node", "size", "core").distinct()
+    members = near.join(cores, "s1").groupBy("k", "node", "size", "core").agg(F.max("weight").alias("weight"))
     smallest = members.groupBy("k").agg(F.min("size").alias("least"), F.count("*").alias("m")).where("m > 1")
     members = kept(
         members.join(smallest, "k")
         .where(linkable(F.col("core"), F.col("size"), F.greatest("least", "core")))
-        .select("k", "node", "size", "core"), "members")
-    labels, links, done, slots, round_ = None, None, None, SLOTS, 0
-    while True:
-        named = (members.withColumn("comp", F.col("node")) if labels is None else
-                 members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        open_ = (named.groupBy("k").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
-                 .where("a <> b").select("k"))
-        named = kept(named.join(open_, "k", "left_semi"), "open")
-        if named.isEmpty():
-            break
-        slot = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(slots))
-        pivots = (named.groupBy("k", slot.alias("slot"))
-                  .agg(F.min(F.struct("node", "comp", "size", "core")).alias("p")).select("k", "p"))
-        pairs = (named.join(pivots, (named["k"] == pivots["k"]) & (F.col("comp") != F.col("p.comp"))
-                            & linkable(F.least("core", "p.core"), F.col("size"), F.col("p.size")))
-                 .select(F.least("node", "p.node").alias("x"), F.greatest("node", "p.node").alias("y")).distinct())
-        if done is not None:
-            pairs = pairs.join(done, ["x", "y"], "left_anti")
-        pairs = kept(pairs, "pairs")
-        done = pairs if done is None else done.union(pairs)
-        left = parts.select(F.col("node").alias("x"), F.col("size").alias("xs"), "part", F.col("own").alias("xo"))
-        right = parts.select(F.col("node").alias("y"), F.col("size").alias("ys"), "part", F.col("own").alias("yo"))
-        # Partial overlaps per vertical part, summed per pair.
-        found = (pairs.join(left, "x").join(right, ["y", "part"])
-                 .select("x", "y", "xs", "ys", F.size(F.array_intersect("xo", "yo")).alias("both"))
-                 .groupBy("x", "y", "xs", "ys").agg(F.sum("both").alias("both"))
-                 .where(den * F.col("both") >= num * (F.col("xs") + F.col("ys") - F.col("both")))
-                 .select(F.col("x").alias("u"), F.col("y").alias("v")))
-        found = kept(found, "links")
-        if labels is None or not found.isEmpty():
-            links = found if links is None else found.union(links)
-            labels = kept(components(links), "labels")
-        # A pivot has met its whole bucket: it leaves.
-        gone = pivots.select("k", F.col("p.node").alias("node"))
-        members = kept(named.join(gone, ["k", "node"], "left_anti")
-                              .select("k", "node", "size", "core"), "members")
-        slots, round_ = slots * MORE, round_ + 1
-    out = materialise(members.select("node", F.col("node").alias("comp")).where("false") if labels is None else labels,
-                      "labels")
+        .select("k", "node", "size", "weight"), "members")
+    left = parts.select(F.col("node").alias("x"), F.col("size").alias("xs"), "part", F.col("own").alias("xo"))
+    right = parts.select(F.col("node").alias("y"), F.col("size").alias("ys"), "part", F.col("own").alias("yo"))
+
+    def counted(pairs):
+        """Partial overlaps per vertical part, summed per pair."""
+        return (pairs.join(left, "x").join(right, ["y", "part"])
+                .select("x", "y", "xs", "ys", F.size(F.array_intersect("xo", "yo")).alias("both"))
+                .groupBy("x", "y", "xs", "ys").agg(F.sum("both").alias("both")))
+
+    def linked(pairs):
+        return pairs.where(linkable(F.col("both"), F.col("xs"), F.col("ys"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
+
+    pivots = members.groupBy("k").agg(F.max(F.struct("weight", "node")).alias("p")).select("k", F.col("p.node").alias("y"))
+    family = kept(counted(members.join(pivots, "k").where("node <> y").select(F.col("node").alias("x"), "y").distinct()),
+                  "family")
+    links = linked(family)
+    labels = kept(components(links), "labels")
+    seeds = kept(_seeds(family, labels, left, right, num, den), "seeds")
+    found = kept(linked(counted(kept(_alike(seeds, family, num, den), "pairs"))), "links")
+    if not found.isEmpty():
+        labels = kept(components(links.union(found)), "labels")
+    used.remove(labels)
     discard(used)
-    return out
+    return labels
+
+
+def _seeds(family: DataFrame, labels: DataFrame, left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
+    """(y, h, m, rest): of each family ``y`` and member ``m`` the n-grams of their
+    difference that a partner in another component must have one of, and how many
+    they can have in common if this is the first."""
+    named = (family.join(labels.toDF("x", "xc"), "x", "left").join(labels.toDF("y", "yc"), "y", "left")
+             .select("x", "y", "xs", "ys", F.coalesce("xc", "x").alias("comp"),
+                     (F.coalesce("xc", "x") == F.coalesce("yc", "y")).alias("inside"),
+                     (F.col("xs") + F.col("ys") - 2 * F.col("both")).alias("e")))
+    unsettled = named.groupBy("y").agg(F.max("xs").alias("most"), F.bool_and("inside").alias("settled")).where("not settled")
+    # What x must have in common with any partner: all but what linked sets differ
+    # in; and if the partner is not linked with the pivot, half of what is beyond.
+    partner = F.least("most", F.expr(f"xs * {den} div {num}"))
+    outside = f"(e + 2 - ({den - num} * greatest(xs - ys, 0L) + {den + num - 1}) div {den + num}) div 2"
+    named = (named.join(unsettled, "y").withColumn("partner", partner)
+             .withColumn("need", F.greatest(F.lit(1), F.expr(f"e - {den - num} * (xs + partner) div {den + num}"),
+                                            F.when(F.col("inside"), F.expr(outside))))
+             .select("x", "y", "comp", "e", "need"))
+    shared = (named.join(left, "x").join(right, ["y", "part"])
+              .select(F.struct("x", "comp", "e", "need", "xs").alias("m"), "y",
+                      F.explode(F.concat(F.array_except("xo", "yo"), F.array_except("yo", "xo"))).alias("h"))
+              .withColumn("n", F.count("*").over(Window.partitionBy("y", "h"))).where("n > 1"))
+    own = Window.partitionBy("y", "m")
+    return (shared.select("y", "h", "m", F.row_number().over(own.orderBy("n", "h")).alias("at"), F.count("*").over(own).alias("c"))
+            .where("at <= c - m.need + 1").select("y", "h", "m", (F.col("c") - F.col("at") + 1).alias("rest")))
+
+
+def _alike(seeds: DataFrame, family: DataFrame, num: int, den: int) -> DataFrame:
+    """(x, y): the pairs of a family in different components that have enough left
+    in common at a shared seed, but those with a pivot, which are compared already."""
+    a, b = seeds.alias("a"), seeds.alias("b")
+    enough = F.expr(f"{den + num} * (a.m.e + b.m.e - 2 * least(a.rest, b.rest)) <= {den - num} * (a.m.xs + b.m.xs)")
+    pairs = (a.join(b, ["y", "h"]).where((F.col("a.m.x") < F.col("b.m.x")) & (F.col("a.m.comp") != F.col("b.m.comp")) & enough)
+             .select(F.col("a.m.x").alias("x"), F.col("b.m.x").alias("y")).distinct())
+    met = family.select("x", "y")
+    return pairs.join(met.union(met.select("y", "x")).distinct(), ["x", "y"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = N,
