@@ -131,3 +131,51 @@ def test_unlinked_texts_of_a_hot_group_are_not_all_compared(spark, monkeypatch):
     assert len({c for _, _, c in want}) > 40
     check(spark, rows)
     assert sizes["pairs"] < 2 * len(rows)  # not every pair of a bucket
+
+
+def test_differences_come_from_one_comparison(spark, monkeypatch):
+    from tidemark.llm import jaccard
+
+    made, plans, real = {}, {}, jaccard.materialise
+
+    def noted(df, name, **options):
+        out = real(df, name, **options)
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        if name in ("parts", "alone", "compared", "family"):
+            made.setdefault(name, []).append([r.asDict(True) for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    rng, base, rows = random.Random(9), [f"b{i}" for i in range(120)], []
+    for i in range(60):
+        out = set(rng.sample(range(120), rng.randrange(7)))
+        rows.append((i, " ".join(w for j, w in enumerate(base) if j not in out)))
+    rows += rows[:9]
+    check(spark, rows)
+
+    def name(node):
+        return node["s1"], node["s2"]
+
+    whole, alone = {}, {}
+    (parts,), (compared,), (family,) = made["parts"], made["compared"], made["family"]
+    for r in parts:
+        whole.setdefault(name(r["node"]), []).extend(r["own"])
+    assert len(parts) == jaccard.PARTS * len(whole)  # copies are cut once
+    apart = {}
+    for r in compared:
+        apart.setdefault((name(r["x"]), name(r["y"])), []).extend(r["apart"])
+    assert len(compared) == jaccard.PARTS * len(apart) and len(family) == len(apart)
+    for r in family:
+        x, y = set(whole[name(r["x"])]), set(whole[name(r["y"])])
+        got = apart[name(r["x"]), name(r["y"])]
+        assert len(got) == len(set(got)) and set(got) == x ^ y and r["both"] == len(x & y)
+    assert "own#" not in plans["seeds"]  # the sets are not met again
+    often = {}
+    for own in whole.values():
+        for h in own:
+            often[h] = often.get(h, 0) + 1
+    assert len(made["alone"]) == 2  # half of the n-grams is shuffled at a time
+    for r in (r for half in made["alone"] for r in half):
+        alone[name(r["node"])] = alone.get(name(r["node"]), 0) + r["alone"]
+    want = {k: sum(often[h] == 1 for h in own) for k, own in whole.items()}
+    assert alone == {k: v for k, v in want.items() if v}

@@ -19,7 +19,8 @@ vertical fragments, and with it every text's set.
   none) also meet by the n-grams of their prefixes.  No bucket is capped.
 * **Counting.**  For a candidate pair the overlap is counted in each of
   ``PARTS`` vertical parts separately and summed per pair; the exact integer
-  test ``den * both >= num * union`` decides.
+  test ``den * both >= num * union`` decides.  What a pivot and a member do not
+  have in common is kept from that one comparison.
 * **Groups.**  Equal sets are one node from the start, so copies are never
   expanded.  Every bucket's pivot (the member with most in common with others)
   is compared with all its members; those compared with the same pivot ``p`` are
@@ -303,15 +304,23 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
     near = replaced(near, met(near.select("*", rank.alias("_r")).withColumn("weight", weight).where("_r >= need"), "weight"))
     bodies = (named_sets(docs.select(F.struct(F.col(text).alias("t")).alias("rec"), F.col(text).alias("text")), n, once=True)
               .select("s1", "s2", F.col("rec.t").alias("text"))
-              .join(near.select("s1").distinct(), "s1", "left_semi"))
+              .join(near.select("s1").distinct(), "s1", "left_semi").dropDuplicates(["s1", "s2"]))
     parts = kept(bodies.mapInArrow(
         _cut_sets(n), "s1 bigint, s2 bigint, size bigint, part int, own array<bigint>")
-        .dropDuplicates(["s1", "s2", "part"]).select(node, "size", "part", "own"), "parts")
+        .select(node, "size", "part", "own"), "parts")
+
+    def alone(first, last):
+        """How many n-grams of vertical parts ``first`` to ``last`` each candidate has alone."""
+        return (parts.where(F.col("part").between(first, last)).select("node", F.explode("own").alias("h")).groupBy("h")
+                .agg(F.count("*").alias("n"), F.min("node.s1").alias("s1"), F.min("node.s2").alias("s2"))
+                .where("n = 1").groupBy(node).agg(F.count("*").alias("alone")))
+
     # N-grams of one candidate only are in no overlap: ``core`` counts the rest.
-    alone = (parts.select("node", F.explode("own").alias("h")).groupBy("h")
-             .agg(F.count("*").alias("n"), F.first("node.s1").alias("s1"), F.first("node.s2").alias("s2"))
-             .where("n = 1").groupBy(node).agg(F.count("*").alias("alone")))
-    cores = (parts.where("part = 0").join(alone, "node", "left")
+    # A part's n-grams are in no other, so half of the parts is shuffled at a time.
+    half = PARTS // 2
+    apart = (kept(alone(0, half - 1), "alone").union(kept(alone(half, PARTS - 1), "alone"))
+             .groupBy("node").agg(F.sum("alone").alias("alone")))
+    cores = (parts.where("part = 0").join(apart, "node", "left")
              .select("node", F.col("node.s1").alias("s1"), "size",
                      (F.col("size") - F.coalesce("alone", F.lit(0))).alias("core")))
 
@@ -328,9 +337,13 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
     left = parts.select(F.col("node").alias("x"), F.col("size").alias("xs"), "part", F.col("own").alias("xo"))
     right = parts.select(F.col("node").alias("y"), F.col("size").alias("ys"), "part", F.col("own").alias("yo"))
 
+    def met_parts(pairs):
+        """Each pair in each vertical part."""
+        return pairs.join(left, "x").join(right, ["y", "part"])
+
     def counted(pairs):
         """Partial overlaps per vertical part, summed per pair."""
-        return (pairs.join(left, "x").join(right, ["y", "part"])
+        return (met_parts(pairs)
                 .select("x", "y", "xs", "ys", F.size(F.array_intersect("xo", "yo")).alias("both"))
                 .groupBy("x", "y", "xs", "ys").agg(F.sum("both").alias("both")))
 
@@ -338,11 +351,16 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
         return pairs.where(linkable(F.col("both"), F.col("xs"), F.col("ys"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
     pivots = members.groupBy("k").agg(F.max(F.struct("weight", "node")).alias("p")).select("k", F.col("p.node").alias("y"))
-    family = kept(counted(members.join(pivots, "k").where("node <> y").select(F.col("node").alias("x"), "y").distinct()),
-                  "family")
+    pivoted = kept(members.join(pivots, "k").where("node <> y").select(F.col("node").alias("x"), "y").distinct(), "pivoted")
+    # The n-grams that only one of the two has stay with each part, for the seeds.
+    compared = kept(met_parts(pivoted).select(
+        "x", "y", "xs", "ys", (F.size("xo") + F.size("yo")).alias("held"),
+        F.concat(F.array_except("xo", "yo"), F.array_except("yo", "xo")).alias("apart")), "compared")
+    family = kept(compared.groupBy("x", "y", "xs", "ys")
+                  .agg(F.expr("sum((held - size(apart)) div 2)").alias("both")), "family")
     links = linked(family)
     labels = kept(components(links), "labels")
-    seeds = kept(_seeds(family, labels, left, right, num, den), "seeds")
+    seeds = kept(_seeds(family, compared, labels, num, den), "seeds")
     found = kept(linked(counted(kept(_alike(seeds, family, num, den), "pairs"))), "links")
     if not found.isEmpty():
         labels = kept(components(links.union(found)), "labels")
@@ -351,7 +369,7 @@ def link_components(docs: DataFrame, text: str = "text", n: int = N, num: int =
     return labels
 
 
-def _seeds(family: DataFrame, labels: DataFrame, left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
+def _seeds(family: DataFrame, compared: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """(y, h, m, rest): of each family ``y`` and member ``m`` the n-grams of their
     difference that a partner in another component must have one of, and how many
     they can have in common if this is the first."""
@@ -367,10 +385,9 @@ def _seeds(family: DataFrame, labels: DataFrame, left: DataFrame, right: DataFra
     named = (named.join(unsettled, "y").withColumn("partner", partner)
              .withColumn("need", F.greatest(F.lit(1), F.expr(f"e - {den - num} * (xs + partner) div {den + num}"),
                                             F.when(F.col("inside"), F.expr(outside))))
-             .select("x", "y", "comp", "e", "need"))
-    shared = (named.join(left, "x").join(right, ["y", "part"])
-              .select(F.struct("x", "comp", "e", "need", "xs").alias("m"), "y",
-                      F.explode(F.concat(F.array_except("xo", "yo"), F.array_except("yo", "xo"))).alias("h"))
+             .select("x", "y", "xs", "comp", "e", "need"))
+    shared = (named.join(compared.select("x", "y", "apart"), ["x", "y"])
+              .select(F.struct("x", "comp", "e", "need", "xs").alias("m"), "y", F.explode("apart").alias("h"))
               .withColumn("n", F.count("*").over(Window.partitionBy("y", "h"))).where("n > 1"))
     own = Window.partitionBy("y", "m")
     return (shared.select("y", "h", "m", F.row_number().over(own.orderBy("n", "h")).alias("at"), F.count("*").over(own).alias("c"))
