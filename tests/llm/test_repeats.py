@@ -145,3 +145,30 @@ def test_told_passages(spark):
     assert {r.doc_id: r.n_passage for r in got.collect()} == want and any(want.values()) and not all(want.values())
     assert all(r.kept.decode() == (r.text or "") and r.n_removed == 0 for r in got.collect())  # under 400 bytes
     assert got.columns == ["doc_id", "text", "n_bytes", "n_removed", "removed", "kept", "n_passage"]
+
+
+def test_query_tells_passages(spark, scratch):
+    """Repeated strings of over 50 words but under 400 bytes: the query tells
+    of them, and what it removes stays that of 400-byte strings."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    shared, short = " ".join(word() for _ in range(51)), " ".join(word() for _ in range(50))
+    own = lambda: " ".join(word() for _ in range(80))
+    line = "to be. "
+    rows = [(i, f"{own()} q{i} {shared} p{i} {own()}") for i in range(4)]
+    rows += [(i, f"{own()} q{i} {short} p{i} {own()}") for i in range(4, 7)]  # 50 words only
+    rows += [(7, shared[:-1] + "z " + own()), (8, own()), (9, ""), (10, None), (None, own())]
+    rows += [(11, line * 40), (12, f"q {shared}"), (13, own() + " " + line * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: r for r in op2_bucket_pointers(spark, scratch).collect()}
+    told = {i: len(shared) for i in (0, 1, 2, 3, 12)} | {11: len(line) * 40 - 2, 13: len(line) * 30 - 2}
+    assert {i: r.n_passage for i, r in got.items()} == {i: told.get(i, 0) for i, _ in rows}
+    want = {i: (a, b, c, hashlib.sha256(k).hexdigest())
+            for (i, _), (a, b, c, k) in zip(rows, brute([t for _, t in rows], 400))}
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
+
+
+def test_single_words_told(spark):
+    df = spark.createDataFrame([(0, "a a a b"), (1, "c a. d")], "doc_id int, text string")
+    assert {r.doc_id: r.n_passage for r in remove_repeats(df, tell_words=0).collect()} == {0: 3, 1: 1}

@@ -33,7 +33,6 @@ empty table gives no row; a caller's column named like an output is replaced by
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +44,10 @@ from tidemark.llm.common import (K1, K2, SPACES, U64, blocks, byte_class, discar
                                  named, record, table, texts, unpack)
 
 LENGTH = 400
+#: The query tells of repeated strings of more words than this, too.
+PASSAGE_WORDS = 50
 #: Window starts handled at a time.
 PIECE = 1 << 18
-#: One position in so many is a candidate for an anchor at first.
-SPARSE = 32
 #: Bytes that a word needs one of: letters and digits of ASCII, and all beyond ASCII.
 _LETTERS = ~byte_class("".join(chr(i) for i in range(128) if not chr(i).isalnum()))
 
@@ -101,25 +100,19 @@ def anchors(grams: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.n
     """For windows of ``width`` grams: the positions that are some window's first
     smallest name, and the first and last such window of each."""
     n = len(grams)
-    value = grams ^ (grams >> U64(32))
-    value = value * K1
-    found = np.flatnonzero(value < U64((1 << 64) // SPARSE))
-    edge = np.concatenate(([-1], found, [n]))
-    bare = np.flatnonzero(np.diff(edge) > width)
-    if len(bare):  # windows without a candidate: all their positions are candidates
-        found = np.sort(np.concatenate([found] + [np.arange(edge[i] + 1, edge[i + 1]) for i in bare]))
-    v, at = value[found].tolist(), found.tolist()
-    before, after, stack = [-1] * len(v), [n] * len(v), []
-    for i, x in enumerate(v):
-        while stack and v[stack[-1]] > x:
-            after[stack.pop()] = at[i]
-        if stack:
-            before[i] = at[stack[-1]]
-        stack.append(i)
-    first = np.maximum(np.array(before, np.int64) + 1, np.maximum(found - width + 1, 0))
-    last = np.minimum(found, np.array(after, np.int64) - width)
-    ok = first <= last
-    return found[ok], first[ok], last[ok]
+    if n < width:
+        return (np.zeros(0, np.int64),) * 3
+    key = (grams ^ (grams >> U64(32))) * K1
+    key &= U64(0xFFFFFFFF00000000)  # half a name, then the place: of equal ones the first
+    key |= np.arange(n, dtype=U64)
+    h = 1
+    while 2 * h <= width:
+        key = np.minimum(key[:-h], key[h:])
+        h *= 2
+    key = np.minimum(key[:n - width + 1], key[width - h:])
+    at = (key & U64(0xFFFFFFFF)).astype(np.int64)
+    first = np.append(0, np.flatnonzero(np.diff(at)) + 1)
+    return at[first], first, np.append(first[1:], len(at)) - 1
 
 
 def pieces(values: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -242,6 +235,14 @@ def _digest(text):
     return [F.xxhash64(text).alias("r1"), F.xxhash64(F.lit(7), text).alias("r2")]
 
 
+def _shared(found: DataFrame, members, name: str) -> DataFrame:
+    """The anchors whose bucket has two members, in place of all."""
+    twice = found.groupBy("g").agg(F.sum(members).alias("n")).where("n > 1").select("g")
+    some = materialise(found.join(twice, "g", "left_semi"), name)
+    discard([found])
+    return some
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """(r1, r2, spans): places ``[s, e)`` that repeated strings cover, overlapping
     or not, per text digest; texts without any are left out."""
@@ -251,6 +252,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     found = materialise(read.mapInArrow(
         _anchor_rows(length),
         "r1 bigint, r2 bigint, at bigint, l0 int, l1 int, g bigint, e1 bigint, e2 bigint"), "anchors")
+    found = _shared(found, F.lit(1), "buckets")
     place = ["r1", "r2", "at"]
 
     def split(rows, bucket, extent):
@@ -300,17 +302,36 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
 def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each word: what stands between blanks and has a letter
     or digit, without the marks at its two ends."""
-    at = np.flatnonzero(_LETTERS[data])
-    if not len(at):
-        return at, at
-    token = np.cumsum(SPACES[data])[at]  # letters with no blank between are one word's
-    new = np.flatnonzero(np.diff(token))
-    return at[np.append(0, new + 1)], at[np.append(new, len(at) - 1)] + 1
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], _LETTERS[data], [False])).view(np.int8)))
+    begin, end = edge[::2], edge[1::2]
+    if not len(begin):
+        return begin, end
+    blanks = np.cumsum(SPACES[data], dtype=np.int32)
+    new = blanks[begin[1:]] > blanks[end[:-1] - 1]  # letters with no blank between are one word's
+    return begin[np.append(True, new)], end[np.append(new, True)]
+
+
+def _word_names(data: np.ndarray, begin: np.ndarray, end: np.ndarray, count: int):
+    """Names of the words, and a function that names the strings of ``count``
+    words that begin at given ones, from the first word's begin to the last one's end."""
+    word = named(data, begin, end)
+    name, h, rest = None, 1, count - 1
+    if rest:
+        name = _refine(word[:-1], named(data, end[:-1], begin[1:]))  # a word and what parts it from the next
+        while 2 * h <= rest:
+            name = _refine(name[:-h], name[h:])
+            h *= 2
+
+    def whole(at):
+        return _refine(_refine(name[at], name[at + rest - h]), word[at + rest]) if rest else word[at]
+    return word, whole
 
 
 def _word_anchors(count: int):
     """As ``_anchor_rows`` with words for bytes: the name of an anchor's words,
-    and the words that its first and last window begin at."""
+    that of its extent (the strings of ``count`` words that it stands for), and
+    the extent's place.  Equal anchors in a row, as of a line that repeats, are
+    one row with their number, the first one's end and the last one's."""
     size = 1 << max(0, (count // 3).bit_length() - 1)
     width = count - size + 1
 
@@ -323,7 +344,8 @@ def _word_anchors(count: int):
                 begin, end = word_places(data)
                 if len(begin) < count:
                     continue
-                name, h = named(data, begin, end), 1
+                word, whole = _word_names(data, begin, end, count)
+                name, h = word, 1
                 while h < size:
                     name = _refine(name[:-h], name[h:])
                     h *= 2
@@ -334,55 +356,80 @@ def _word_anchors(count: int):
                 last = np.minimum(last, lines[row + 1] - count)
                 ok = first <= last
                 at, first, last, row = at[ok], first[ok], last[ok], row[ok]
+                extent = _refine(_refine(whole(first), whole(last)), (at - last << 32 | at - first).astype(U64))
+                g, s, e = name[at], begin[first] - edges[row], end[last + count - 1] - edges[row]
+                new = np.flatnonzero(np.concatenate((
+                    [True] * min(1, len(g)),
+                    (np.diff(row) != 0) | (g[1:] != g[:-1]) | (extent[1:] != extent[:-1]) | (count == 1))))
+                n = np.diff(np.append(new, len(g)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r1[x + row]), pa.array(r2[x + row]), pa.array(first - lines[row]),
-                     pa.array(last - lines[row]), _signed(name[at])], names=["r1", "r2", "first", "last", "g"])
+                    [pa.array(r1[x + row[new]]), pa.array(r2[x + row[new]]), _signed(g[new]), _signed(extent[new]),
+                     pa.array(s[new].astype(np.int32)), pa.array(e[new].astype(np.int32)),
+                     pa.array(e[new + n - 1].astype(np.int32)), pa.array(n.astype(np.int32))],
+                    names=["r1", "r2", "g", "k", "s", "one", "e", "n"])
     return run
 
 
 def _word_windows(count: int):
-    """Every string of ``count`` words of the needed anchors, with a 128-bit name.
-    Copies of a text come one after the other; two of them tell that it repeats,
-    so further ones say nothing more."""
+    """Every string of ``count`` words of the needed extents, of many texts at a time."""
     def run(batches):
-        last, copies = None, 0
+        seen: set[tuple[int, int]] = set()  # a text that meets a task again gives the same rows
         for batch in batches:
-            r1, r2 = batch.column("r1"), batch.column("r2")
-            for i, v in enumerate(texts(batch.column("text"))):
-                key = r1[i].as_py(), r2[i].as_py()
-                last, copies = key, copies + 1 if key == last else 1
-                if copies > 2:
-                    continue
-                need = batch.column("need").slice(i, 1).flatten()
-                at = _expand(need.field("first").to_numpy(), need.field("last").to_numpy())[1]
-                begin, end = word_places(np.frombuffer(v, np.uint8))
-                s, e = begin[at], end[at + count - 1]
-                for a in range(0, len(s), 1 << 14):
-                    x, y = s[a:a + (1 << 14)], e[a:a + (1 << 14)]
-                    name = [hashlib.blake2b(v[m:n], digest_size=16).digest() for m, n in zip(x.tolist(), y.tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r1[i].as_py()] * len(x), pa.int64()), pa.array([r2[i].as_py()] * len(x), pa.int64()),
-                         pa.array(x), pa.array(y), pa.array(name, pa.binary())], names=["r1", "r2", "s", "e", "name"])
+            new = []
+            for i, key in enumerate(zip(batch.column("r1").to_pylist(), batch.column("r2").to_pylist())):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            if not new:
+                continue
+            batch = batch.take(pa.array(new))
+            values, lists = texts(batch.column("text")), batch.column("need")
+            for x, y in blocks(values):
+                data, edges = joined(values[x:y])
+                begin, end = word_places(data)
+                _, whole = _word_names(data, begin, end, count)
+                text = np.repeat(np.arange(y - x), lists.slice(x, y - x).value_lengths().to_numpy())
+                need = lists.slice(x, y - x).flatten()
+                s, one, g, single = (need.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                row, at = _expand(np.searchsorted(begin, edges[text] + s),
+                                  np.searchsorted(end, edges[text] + one) - count + 1)
+                text = text[row]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("r1").take(pa.array(x + text)), batch.column("r2").take(pa.array(x + text)),
+                     pa.array((begin[at] - edges[text]).astype(np.int32)),
+                     pa.array((end[at + count - 1] - edges[text]).astype(np.int32)),
+                     pa.array(g[row]), _signed(whole(at)), pa.array(single[row])],
+                    names=["r1", "r2", "s", "e", "g", "w", "single"])
     return run
 
 
 def repeated_words(docs: DataFrame, text: str, over: int) -> DataFrame:
     """As ``repeated_spans``, of the strings of more than ``over`` words, whatever
-    their bytes: anchors are groups of words, and the strings of those that
-    have two members are named and counted."""
+    their bytes: anchors are groups of words, refined by the names of their
+    extents, and buckets that those split by every string of ``over + 1`` words,
+    one representative per refined bucket."""
     read = docs.select(*_digest(F.col(text)), F.col(text).alias("text"))
     found = materialise(read.mapInArrow(
-        _word_anchors(over + 1), "r1 bigint, r2 bigint, first bigint, last bigint, g bigint"), "word-anchors")
-    twice = found.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    # Rows with one text have the same anchors.
-    need = (found.join(twice, "g", "left_semi").groupBy("r1", "r2")
-            .agg(F.collect_set(F.struct("first", "last")).alias("need")))
+        _word_anchors(over + 1), "r1 bigint, r2 bigint, g bigint, k bigint, s int, one int, e int, n int"),
+        "word-anchors")
+    found = _shared(found, F.col("n"), "word-buckets")
+    parts = materialise(found.groupBy("g", "k").agg(*[F.first(c).alias(c) for c in ("r1", "r2", "s", "one")],  # of one row
+                                                   F.sum("n").alias("n")), "word-parts")
+    split = parts.groupBy("g").agg(F.count("*").alias("parts")).where("parts > 1").select("g")
+    need = (parts.join(split, "g", "left_semi").groupBy("r1", "r2")
+            .agg(F.collect_list(F.struct("s", "one", "g", (F.col("n") == 1).alias("single"))).alias("need")))
     windows = materialise(read.join(need, ["r1", "r2"]).mapInArrow(
-        _word_windows(over + 1), "r1 bigint, r2 bigint, s bigint, e bigint, name binary"), "word-windows")
-    again = windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    spans = materialise(windows.join(again, "name", "left_semi").select("r1", "r2", "s", "e").distinct()
-                        .groupBy("r1", "r2").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "word-spans")
-    discard([found, windows])
+        _word_windows(over + 1), "r1 bigint, r2 bigint, s int, e int, g bigint, w bigint, single boolean"),
+        "word-windows")
+    whole = (found.join(parts.where("n > 1").select("g", "k"), ["g", "k"], "left_semi")
+             .select("r1", "r2", "s", "e").distinct())
+    again = (windows.groupBy("g", "w").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n"))
+             .where("n > 1").select("g", "w"))
+    single = windows.where("single").join(again, ["g", "w"], "left_semi").select("r1", "r2", "s", "e")
+    place = F.struct(F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"))
+    spans = materialise(whole.unionByName(single).groupBy("r1", "r2").agg(F.collect_list(place).alias("spans")),
+                        "word-spans")
+    discard([found, parts, windows])
     return spans
 
 
@@ -458,6 +505,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
 
 def op2_bucket_pointers(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = remove_repeats(docs, keep=["doc_id"])
+    cut = remove_repeats(docs, keep=["doc_id"], tell_words=PASSAGE_WORDS)
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), "n_passage")
