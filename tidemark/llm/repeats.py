@@ -142,10 +142,21 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of rows that are equal in all columns."""
+    n = len(columns[0])
+    new = np.flatnonzero(np.logical_or.reduce([np.append(n > 0, c[1:] != c[:-1])[:n] for c in columns]))
+    return new, np.append(new[1:], n)[:len(new)] - 1
+
+
 _KEYS = ["g", "l0", "l1", "e1", "e2"]
 
 
 def _anchor_rows(length: int):
+    """Anchors with the distances to them from the last and the first window
+    that they stand for, and the names of their gram and those windows.  Equal
+    anchors in a row, as of a line that repeats, are one row; ``more`` is how
+    far the last lies behind the first."""
     width = length - gram_size(length) + 1
 
     def run(batches):
@@ -160,12 +171,15 @@ def _anchor_rows(length: int):
                 last = np.minimum(last, begins[piece + 1] - length)
                 ok = first <= last
                 at, first, last, piece = at[ok], first[ok], last[ok], piece[ok]
+                new, end = _runs(piece, at - last, at - first, grams[at], whole[first], whole[last])
+                more = (at[end] - at[new]).astype(np.int32)
+                at, first, last, piece = at[new], first[new], last[new], piece[new]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r1[rows[piece]]), pa.array(r2[rows[piece]]),
                      pa.array(at - begins[piece] + offsets[piece]),
                      pa.array((at - last).astype(np.int32)), pa.array((at - first).astype(np.int32)),
-                     _signed(grams[at]), _signed(whole[first]), _signed(whole[last])],
-                    names=["r1", "r2", "at", "l0", "l1", "g", "e1", "e2"])
+                     _signed(grams[at]), _signed(whole[first]), _signed(whole[last]), pa.array(more)],
+                    names=["r1", "r2", "at", "l0", "l1", "g", "e1", "e2", "more"])
     return run
 
 
@@ -235,11 +249,12 @@ def _digest(text):
     return [F.xxhash64(text).alias("r1"), F.xxhash64(F.lit(7), text).alias("r2")]
 
 
-def _shared(found: DataFrame, members, name: str) -> DataFrame:
-    """The anchors whose bucket has two members, in place of all."""
-    twice = found.groupBy("g").agg(F.sum(members).alias("n")).where("n > 1").select("g")
+def _shared(found: DataFrame, written: DataFrame, name: str) -> DataFrame:
+    """The anchors whose bucket has two members (a run, two and more, is ``n`` = 2)
+    in place of all, ``written``."""
+    twice = found.groupBy("g").agg(F.sum("n").alias("n")).where("n > 1").select("g")
     some = materialise(found.join(twice, "g", "left_semi"), name)
-    discard([found])
+    discard([written])
     return some
 
 
@@ -251,8 +266,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     read = docs.select(*_digest(F.col(text)), F.col(text).alias("text"))
     found = materialise(read.mapInArrow(
         _anchor_rows(length),
-        "r1 bigint, r2 bigint, at bigint, l0 int, l1 int, g bigint, e1 bigint, e2 bigint"), "anchors")
-    found = _shared(found, F.lit(1), "buckets")
+        "r1 bigint, r2 bigint, at bigint, l0 int, l1 int, g bigint, e1 bigint, e2 bigint, more int"), "anchors")
+    found = _shared(found.withColumn("n", F.when(F.col("more") > 0, 2).otherwise(1)), found, "buckets")
     place = ["r1", "r2", "at"]
 
     def split(rows, bucket, extent):
@@ -272,9 +287,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
         return read.join(need, ["r1", "r2"])
 
     # First refinement: by the extents of the anchors.
-    parts = coarse = split(found.withColumn("n", F.lit(1)), ["g"], ["l0", "l1", "e1", "e2"])
+    parts = coarse = split(found, ["g"], ["l0", "l1", "e1", "e2"])
     whole = (found.join(parts.where("settled").select(*_KEYS), _KEYS, "left_semi")
-             .select("r1", "r2", (F.col("at") - F.col("l1")).alias("s"), (F.col("at") - F.col("l0") + length).alias("e"))
+             .select("r1", "r2", (F.col("at") - F.col("l1")).alias("s"), (F.col("at") + F.col("more") - F.col("l0") + length).alias("e"))
              .distinct())
     # Second: by cells of windows; third: by single windows.
     cells = materialise(needed(parts, ["l0", "l1"]).mapInArrow(
@@ -331,7 +346,7 @@ def _word_anchors(count: int):
     """As ``_anchor_rows`` with words for bytes: the name of an anchor's words,
     that of its extent (the strings of ``count`` words that it stands for), and
     the extent's place.  Equal anchors in a row, as of a line that repeats, are
-    one row with their number, the first one's end and the last one's."""
+    one row with the first one's end and the last one's."""
     size = 1 << max(0, (count // 3).bit_length() - 1)
     width = count - size + 1
 
@@ -358,15 +373,12 @@ def _word_anchors(count: int):
                 at, first, last, row = at[ok], first[ok], last[ok], row[ok]
                 extent = _refine(_refine(whole(first), whole(last)), (at - last << 32 | at - first).astype(U64))
                 g, s, e = name[at], begin[first] - edges[row], end[last + count - 1] - edges[row]
-                new = np.flatnonzero(np.concatenate((
-                    [True] * min(1, len(g)),
-                    (np.diff(row) != 0) | (g[1:] != g[:-1]) | (extent[1:] != extent[:-1]) | (count == 1))))
-                n = np.diff(np.append(new, len(g)))
+                new, behind = _runs(row, g, extent, *[begin[first]] * (count == 1))  # no blanks between
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r1[x + row[new]]), pa.array(r2[x + row[new]]), _signed(g[new]), _signed(extent[new]),
                      pa.array(s[new].astype(np.int32)), pa.array(e[new].astype(np.int32)),
-                     pa.array(e[new + n - 1].astype(np.int32)), pa.array(n.astype(np.int32))],
-                    names=["r1", "r2", "g", "k", "s", "one", "e", "n"])
+                     pa.array(e[behind].astype(np.int32))],
+                    names=["r1", "r2", "g", "k", "s", "one", "e"])
     return run
 
 
@@ -410,9 +422,9 @@ def repeated_words(docs: DataFrame, text: str, over: int) -> DataFrame:
     one representative per refined bucket."""
     read = docs.select(*_digest(F.col(text)), F.col(text).alias("text"))
     found = materialise(read.mapInArrow(
-        _word_anchors(over + 1), "r1 bigint, r2 bigint, g bigint, k bigint, s int, one int, e int, n int"),
+        _word_anchors(over + 1), "r1 bigint, r2 bigint, g bigint, k bigint, s int, one int, e int"),
         "word-anchors")
-    found = _shared(found, F.col("n"), "word-buckets")
+    found = _shared(found.withColumn("n", F.when(F.col("e") > F.col("one"), 2).otherwise(1)), found, "word-buckets")
     parts = materialise(found.groupBy("g", "k").agg(*[F.first(c).alias(c) for c in ("r1", "r2", "s", "one")],  # of one row
                                                    F.sum("n").alias("n")), "word-parts")
     split = parts.groupBy("g").agg(F.count("*").alias("parts")).where("parts > 1").select("g")
